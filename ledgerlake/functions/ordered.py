@@ -8,10 +8,15 @@ Everything here avoids the two Spark patterns that break at scale:
   merge every distinct value into one task.
 
 The building block is :func:`dense_index`: one range-partitioned sort, the
-per-partition row counts (one row per shuffle partition, so the table that is
-broadcast is bounded by ``spark.sql.shuffle.partitions``, not by the data) and
+per-partition row counts (one row per sorted partition, so the table that is
+broadcast is bounded by the partition count, not by the data) and
 ``monotonically_increasing_id`` give every row its global position - the
-DataFrame form of ``zipWithIndex``.  On top of it:
+DataFrame form of ``zipWithIndex``.  The sorted, id-tagged rows are
+checkpointed to the session's checkpoint folder first: every later branch of
+the plan (counts, offsets, the rows themselves) then reads the same stored
+partitions, whatever AQE does to the shuffles of a pruned branch, and a lost
+executor cannot make a recomputation disagree with the stored ids.  On top of
+it:
 
 * :func:`exact_quantiles` - linear-interpolated quantiles (numpy / pandas /
   DuckDB ``quantile_cont`` rule) by rank selection, optionally per group.
@@ -31,6 +36,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOCAL_MASK = (1 << 33) - 1  # monotonically_increasing_id = pid << 33 | row
 DEFAULT_BLOCK_ROWS = 1 << 20
 
@@ -45,7 +52,9 @@ def dense_index(df: DataFrame, order: Sequence, idx_col: str = "_idx") -> DataFr
     ``order`` must be unique for a deterministic result (rows that tie may
     swap places, which is harmless only when they are identical).
     """
+    ensure_checkpoint_dir(df.sparkSession)
     s = df.orderBy(*_cols(order)).withColumn("_mid", F.monotonically_increasing_id())
+    s = s.checkpoint(eager=True)
     s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per range partition: the window below has no key, but its input
@@ -172,23 +181,19 @@ def carry_fill(ix: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     Inside a block a window does the fill; the value carried in from earlier
     (later) blocks comes from a per-block table with one row per
     (key, block), i.e. data size / block size rows."""
-    w = Window.partitionBy(*keys, "_blk").orderBy("_idx")
-    if forward:
-        frame = w.rowsBetween(Window.unboundedPreceding, 0)
-        inner = {c: F.last(c, ignorenulls=True).over(frame) for c in cols}
-        edge = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_idx"), F.col(c).alias("v")))).alias(c)
-                for c in cols]
-    else:
-        frame = w.rowsBetween(0, Window.unboundedFollowing)
-        inner = {c: F.first(c, ignorenulls=True).over(frame) for c in cols}
-        edge = [F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("_idx"), F.col(c).alias("v")))).alias(c)
-                for c in cols]
+    # Both directions use a running frame (unbounded preceding .. current
+    # row); the backward fill runs it in descending order, because a
+    # current .. unbounded following frame is re-evaluated for every row.
+    w = Window.partitionBy(*keys, "_blk").orderBy(F.col("_idx") if forward else F.col("_idx").desc())
+    frame = w.rowsBetween(Window.unboundedPreceding, 0)
+    inner = {c: F.last(c, ignorenulls=True).over(frame) for c in cols}
+    pick_edge = F.max if forward else F.min
+    edge = [pick_edge(F.when(F.col(c).isNotNull(), F.struct(F.col("_idx"), F.col(c).alias("v")))).alias(c)
+            for c in cols]
     per_blk = ix.groupBy(*keys, "_blk").agg(*edge)
-    bw = Window.partitionBy(*keys).orderBy("_blk")
-    bframe = bw.rowsBetween(Window.unboundedPreceding, -1) if forward else \
-        bw.rowsBetween(1, Window.unboundedFollowing)
-    pick = F.last if forward else F.first
-    carry = per_blk.select(*keys, "_blk", *[pick(F.col(c)["v"], ignorenulls=True).over(bframe).alias(f"_carry_{c}")
+    bw = Window.partitionBy(*keys).orderBy(F.col("_blk") if forward else F.col("_blk").desc())
+    bframe = bw.rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_blk.select(*keys, "_blk", *[F.last(F.col(c)["v"], ignorenulls=True).over(bframe).alias(f"_carry_{c}")
                                            for c in cols])
     filled = ix.select(*[F.col(x) for x in ix.columns if x not in cols],
                        *[inner[c].alias(c) for c in cols])

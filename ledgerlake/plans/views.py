@@ -31,7 +31,7 @@ def v_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 20 == 3, F.lit(None)).otherwise(F.col("l_quantity")).alias("credit_score"),
         F.col("l_discount").alias("debt_ratio"),
         F.col("l_tax").alias("tax"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("loan_amount"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("loan_amount"),
         F.when(F.col("l_suppkey") % 10 == 1, F.lit(None)).otherwise(F.col("l_returnflag")).alias("flag"),
         F.col("l_linestatus").alias("status"),
         F.col("l_shipdate").alias("ship_ts"),
@@ -45,7 +45,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
        WHEN l_orderkey % 997 = 0 THEN l_extendedprice*50 ELSE l_extendedprice END AS income,
   CASE WHEN l_partkey % 20 = 3 THEN NULL ELSE l_quantity END AS credit_score,
   l_discount AS debt_ratio, l_tax AS tax,
-  round(l_extendedprice / l_quantity, 2) AS loan_amount,
+  l_extendedprice / l_quantity AS loan_amount,
   CASE WHEN l_suppkey % 10 = 1 THEN NULL ELSE l_returnflag END AS flag,
   l_linestatus AS status, l_shipdate AS ship_ts,
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_default
