@@ -219,41 +219,58 @@ def ewm(df: DataFrame, value_col: str, alpha: float, order: Sequence[str],
         keys: Sequence[str] = (), out_col: str = "ewm",
         block_rows: int | None = None) -> DataFrame:
     """``y0 = x0, y = a*x + (1-a)*y_prev`` per key in ``order`` (pandas
-    ``ewm(adjust=False)``), exact to floating-point precision and JVM-only.
+    ``ewm(adjust=False)``); see :func:`ewm_multi`."""
+    return ewm_multi(df, [(value_col, alpha, out_col)], order, keys, block_rows=block_rows)
+
+
+def ewm_multi(df: DataFrame, specs: Sequence[tuple[str, float, str]], order: Sequence[str],
+              keys: Sequence[str] = (), indexed: bool = False, block_rows: int | None = None) -> DataFrame:
+    """Several EWMs ``(value_col, alpha, out_col)`` over the same rows, exact
+    to floating-point precision and JVM-only.
 
     Inside a block of B consecutive rows y is a prefix sum of x*r^-j scaled
     by r^j; the state entering a block is the previous block's last local
-    value, joined on (key, block - 1).  A key with a third of all rows is
-    spread over many blocks, so no task holds it whole.
+    value, joined on (key, block - 1).  B is at least ``ewm_block_rows`` for
+    every alpha, so r^B is below double precision and older blocks do not
+    matter.  A key with a third of all rows is spread over many blocks.
+    With ``indexed=True`` the frame already carries ``_idx`` (from
+    :func:`blocked` or :func:`dense_index`) in (keys, order) order.
     """
     keys = list(keys)
-    r = 1.0 - alpha
-    # Blocks shorter than ewm_block_rows would need carries over several
-    # blocks; the minimum keeps the one-join carry exact.
-    b = max(block_rows or 0, ewm_block_rows(alpha))
-    ix = dense_index(df, [*keys, *order]).withColumn("_blk", F.floor(F.col("_idx") / b))
+    b = max([block_rows or 0] + [ewm_block_rows(a) for _, a, _ in specs])
+    for _, a, _ in specs:
+        if b * -math.log(1.0 - a) > 690:
+            raise ValueError("alphas too far apart for one blocked pass; call ewm_multi per alpha")
+    ix = df if indexed else dense_index(df, [*keys, *order])
+    ix = ix.withColumn("_eblk", F.floor(F.col("_idx") / b))
     if keys:
         starts = ix.groupBy(*keys).agg(F.min("_idx").alias("_kstart"))
         ix = ix.join(starts, keys)
     else:
         ix = ix.withColumn("_kstart", F.lit(0).cast("long"))
-    gw = Window.partitionBy(*keys, "_blk")
+    gw = Window.partitionBy(*keys, "_eblk")
     ow = gw.orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
-    j = (F.col("_idx") - F.min("_idx").over(gw)).cast("double")
-    weight = F.when(F.col("_idx") == F.col("_kstart"), F.lit(1.0 / alpha)).otherwise(F.lit(1.0))
-    x = F.col(value_col).cast("double")
-    loc = ix.withColumn("_j", j)
-    loc = loc.withColumn("_local", F.lit(alpha) * F.pow(F.lit(r), F.col("_j")) *
-                         F.sum(weight * x * F.pow(F.lit(r), -F.col("_j"))).over(ow))
-    last = loc.groupBy(*keys, "_blk").agg(F.max_by("_local", "_idx").alias("_prev_end"))
-    last = last.withColumn("_blk", F.col("_blk") + 1)
-    out = loc.join(last, [*keys, "_blk"], "left")
-    y = F.col("_local") + F.pow(F.lit(r), F.col("_j") + 1) * F.coalesce(F.col("_prev_end"), F.lit(0.0))
-    return out.withColumn(out_col, y).drop("_idx", "_blk", "_kstart", "_j", "_local", "_prev_end")
+    loc = ix.withColumn("_j", (F.col("_idx") - F.min("_idx").over(gw)).cast("double"))
+    first = F.col("_idx") == F.col("_kstart")
+    for v, a, o in specs:
+        r = 1.0 - a
+        weight = F.when(first, F.lit(1.0 / a)).otherwise(F.lit(1.0))
+        loc = loc.withColumn(f"_loc_{o}", F.lit(a) * F.pow(F.lit(r), F.col("_j")) *
+                             F.sum(weight * F.col(v).cast("double") * F.pow(F.lit(r), -F.col("_j"))).over(ow))
+    last = loc.groupBy(*keys, "_eblk").agg(*[F.max_by(f"_loc_{o}", "_idx").alias(f"_prev_{o}") for _, _, o in specs])
+    last = last.withColumn("_eblk", F.col("_eblk") + 1)
+    out = loc.join(last, [*keys, "_eblk"], "left")
+    for _, a, o in specs:
+        out = out.withColumn(o, F.col(f"_loc_{o}") + F.pow(F.lit(1.0 - a), F.col("_j") + 1) *
+                             F.coalesce(F.col(f"_prev_{o}"), F.lit(0.0)))
+    drop = ["_eblk", "_kstart", "_j"] + [x for _, _, o in specs for x in (f"_loc_{o}", f"_prev_{o}")]
+    if not indexed:
+        drop.append("_idx")
+    return out.drop(*drop)
 
 
 def ewm_sql(value_expr: str, alpha: float, partition: str, order: str) -> str:
     """DuckDB oracle for :func:`ewm`: fold the ordered prefix with list_reduce."""
     return (f"list_reduce(list({value_expr}::DOUBLE) OVER (PARTITION BY {partition} ORDER BY {order} "
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
-            f"(acc, x) -> {alpha!r} * x + {1 - alpha!r} * acc)")
+            f"lambda acc, x: {alpha!r} * x + {1 - alpha!r} * acc)")
