@@ -40,6 +40,9 @@ from ..session import ensure_checkpoint_dir
 
 _LOCAL_MASK = (1 << 33) - 1  # monotonically_increasing_id = pid << 33 | row
 DEFAULT_BLOCK_ROWS = 1 << 20
+# Largest input (values over all groups and columns) for which the exact
+# in-memory ``percentile`` aggregate is used; above it, rank selection.
+EXACT_MAP_LIMIT = 2_000_000
 
 
 def _cols(xs) -> list:
@@ -76,7 +79,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), approx: bool = False,
-                    accuracy: int = 100000) -> DataFrame:
+                    accuracy: int = 100000, map_limit: int | None = None) -> DataFrame:
     """Quantiles with linear interpolation, returned long:
     (by..., column, prob, value).
 
@@ -84,11 +87,26 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``p*(n-1)`` per (group, column, prob).  No task ever holds more than its
     own sorted range, so a group holding a third of all rows is fine.
     ``approx=True`` is the one-pass ``percentile_approx`` alternative with
-    relative rank error 1/accuracy.
+    relative rank error 1/accuracy.  With ``map_limit`` (default
+    ``EXACT_MAP_LIMIT``) inputs of at most that many values use Spark's exact
+    one-pass ``percentile`` instead (same interpolation rule).
     """
+    if map_limit is None:
+        map_limit = EXACT_MAP_LIMIT
     by = list(by)
     probs = [float(p) for p in probs]
     lv = long_values(df, cols, by)
+    if not approx and map_limit:
+        # Size check: Spark's exact ``percentile`` merges one value map per
+        # (group, column) in the final task; take that one-pass path only
+        # when the whole input is under ``map_limit`` values.
+        n = lv.count()
+        if n <= map_limit:
+            arr = F.array(*[F.lit(p) for p in probs])
+            q = lv.groupBy(*by, "_c").agg(F.percentile("_v", arr).alias("_qs"))
+            out = q.select(*by, "_c", F.posexplode("_qs").alias("_i", "_q"))
+            return out.select(*by, F.col("_c").alias("column"), F.element_at(arr, F.col("_i") + 1).alias("prob"),
+                              F.col("_q").alias("value"))
     if approx:
         q = lv.groupBy(*by, "_c").agg(
             F.percentile_approx("_v", F.array(*[F.lit(p) for p in probs]), accuracy).alias("_qs"))
