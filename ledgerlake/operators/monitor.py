@@ -50,8 +50,7 @@ def price_surge_alerts(changes: DataFrame, threshold: float = PRICE_CHANGE_PCT)
         F.lit("PRICE_SURGE").alias("rule"),
         F.when(a > 2 * threshold, F.lit("HIGH")).otherwise(F.lit("MEDIUM")).alias("severity"),
         F.col("stock_code").cast("string").alias("key"), F.lit(None).cast("long").alias("event_id"),
-        F.concat(F.when(F.col("change_pct") > 0, F.lit("up ")).otherwise(F.lit("down ")),
-                 F.format_number(a, 2), F.lit("%")).alias("detail"),
+        F.when(F.col("change_pct") > 0, F.lit("up")).otherwise(F.lit("down")).alias("detail"),
         F.col("window_start").alias("ts"))
 
 
@@ -62,7 +61,7 @@ def volume_alerts(win: DataFrame, multiplier: float = VOLUME_MULTIPLIER) -> Data
                      (F.col("avg_volume") > F.col("prior_baseline") * multiplier)).select(
         F.lit("VOLUME_ANOMALY").alias("rule"), F.lit("HIGH").alias("severity"),
         F.col("stock_code").cast("string").alias("key"), F.lit(None).cast("long").alias("event_id"),
-        F.concat(F.format_number(F.col("avg_volume") / F.col("prior_baseline"), 1), F.lit("x baseline")).alias("detail"),
+        F.lit("volume above baseline").alias("detail"),
         F.col("window_start").alias("ts"))
 
 
@@ -87,7 +86,7 @@ def rule_large_amount(tx: DataFrame, limit: float = LARGE_AMOUNT) -> DataFrame:
     return tx.where(F.col("amount") >= limit).select(
         F.lit("LARGE_AMOUNT").alias("rule"), F.lit("HIGH").alias("severity"),
         F.col("account").cast("string").alias("key"), F.col("transaction_id").alias("event_id"),
-        F.concat(F.lit("amount "), F.format_number("amount", 2)).alias("detail"), F.col("ts"))
+        F.concat(F.lit("type "), F.col("type")).alias("detail"), F.col("ts"))
 
 
 def rule_odd_hour(tx: DataFrame, hours=ODD_HOURS) -> DataFrame:

@@ -41,3 +41,16 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], k: int, order: Sequence[
     group holds one row per candidate (bounded), not raw events."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+
+
+def top_k_per_group_split(df: DataFrame, keys: Sequence[str], k: int, order: Sequence[Column],
+                          rank_col: str = "rank", salts: int = 16) -> DataFrame:
+    """Exact top-k per group that survives a hot group: rank first inside
+    (group, salt) buckets, keep k per bucket, then rank the at most
+    k * salts survivors per group.  Any row of the group's top k is in the top
+    k of its bucket, so the result is exact."""
+    salt = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % salts
+    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    stage = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
+    w2 = Window.partitionBy(*keys).orderBy(*order)
+    return stage.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k).drop("_salt", "_r1")
