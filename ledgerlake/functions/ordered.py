@@ -292,3 +292,19 @@ def ewm_sql(value_expr: str, alpha: float, partition: str, order: str) -> str:
     return (f"list_reduce(list({value_expr}::DOUBLE) OVER (PARTITION BY {partition} ORDER BY {order} "
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
             f"lambda acc, x: {alpha!r} * x + {1 - alpha!r} * acc)")
+
+
+def prefix_sum(df: DataFrame, value_col: str, order: Sequence[str], out_col: str = "prefix",
+               inclusive: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Running sum of ``value_col`` in ``order`` over the whole table: a
+    running window inside each block plus the total of all earlier blocks
+    (one row per block, so that window is bounded by rows / block_rows)."""
+    ix = dense_index(df, order).withColumn("_blk", F.floor(F.col("_idx") / block_rows))
+    frame = Window.partitionBy("_blk").orderBy("_idx").rowsBetween(Window.unboundedPreceding,
+                                                                   0 if inclusive else -1)
+    inner = ix.withColumn(out_col, F.coalesce(F.sum(value_col).over(frame), F.lit(0)))
+    tot = ix.groupBy("_blk").agg(F.sum(value_col).alias("_bt"))
+    prior = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_blk", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_boff"))
+    out = inner.join(offs, "_blk").withColumn(out_col, F.col(out_col) + F.col("_boff"))
+    return out.drop("_idx", "_blk", "_boff")
