@@ -80,3 +80,13 @@ def stack_columns(names: Sequence[str], values: Sequence[Column], name_col="colu
     """An ``explode`` source that unpivots equally typed columns."""
     return F.explode(F.array(*[F.struct(F.lit(n).alias(name_col), v.alias(value_col))
                                for n, v in zip(names, values)]))
+
+
+def round_binary(c, digits: int = 2) -> Column:
+    """Round on the binary value (numpy's ``round`` and DuckDB's behaviour
+    for values that are not exact ties), unlike ``round``/``bround`` which
+    round the shortest decimal representation: 168.175 (stored as
+    168.17499999...) gives 168.17."""
+    p = 10.0 ** digits
+    x = col(c).cast("double")
+    return F.signum(x) * F.floor(F.abs(x) * p + 0.5) / p

@@ -33,4 +33,4 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     return REGISTRY
 
 
-PLAN_MODULES = ["credit", "prep", "series", "text", "monitor", "ml_queries", "web", "io_queries"]
+PLAN_MODULES = ["credit", "prep", "series", "text", "monitor", "ml_queries", "web", "io_queries", "dashboard"]
