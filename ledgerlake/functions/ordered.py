@@ -40,8 +40,8 @@ from ..session import ensure_checkpoint_dir
 
 _LOCAL_MASK = (1 << 33) - 1  # monotonically_increasing_id = pid << 33 | row
 DEFAULT_BLOCK_ROWS = 1 << 20
-# Largest input (values over all groups and columns) for which the exact
-# in-memory ``percentile`` aggregate is used; above it, rank selection.
+# Largest number of distinct (group, column, value) entries for which the
+# exact in-memory ``percentile`` aggregate is used; above it, rank selection.
 EXACT_MAP_LIMIT = 2_000_000
 
 
@@ -97,11 +97,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     probs = [float(p) for p in probs]
     lv = long_values(df, cols, by)
     if not approx and map_limit:
-        # Size check: Spark's exact ``percentile`` merges one value map per
-        # (group, column) in the final task; take that one-pass path only
-        # when the whole input is under ``map_limit`` values.
-        n = lv.count()
-        if n <= map_limit:
+        # Size check: Spark's exact ``percentile`` keeps one map of distinct
+        # values per (group, column) and merges it in the final task; take
+        # that one-pass path only when all maps together stay under
+        # ``map_limit`` entries (HyperLogLog estimate, 5% error, with a
+        # 1.25 safety factor).
+        n = lv.agg(F.approx_count_distinct(F.struct(*by, "_c", "_v"), 0.05)).first()[0] or 0
+        if n * 1.25 <= map_limit:
             arr = F.array(*[F.lit(p) for p in probs])
             q = lv.groupBy(*by, "_c").agg(F.percentile("_v", arr).alias("_qs"))
             out = q.select(*by, "_c", F.posexplode("_qs").alias("_i", "_q"))

@@ -12,12 +12,12 @@ def share_table(df: DataFrame, key, count_col: str = "count", pct_col: str = "pc
                 drop_null: bool = False, digits: int = 2) -> DataFrame:
     """Count and percent per key (``value_counts`` with ``normalize``).
 
-    The total comes from the grouped result itself (a window over the small
-    aggregate, one row per key), so the input is scanned once."""
+    The grouped counts are one aggregate; the total is their sum, fetched as
+    a single scalar (no keyless window over a possibly large key table)."""
     keys = [key] if isinstance(key, (str, Column)) else list(key)
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-    total = F.sum(count_col).over(Window.partitionBy())
-    g = g.withColumn(pct_col, F.round(F.col(count_col) * 100.0 / total, digits))
+    total = g.agg(F.sum(count_col)).first()[0] or 0
+    g = g.withColumn(pct_col, F.round(F.col(count_col) * 100.0 / F.lit(max(total, 1)), digits))
     if drop_null:
         for k in keys:
             g = g.where(F.col(k if isinstance(k, str) else str(k)).isNotNull())
