@@ -30,7 +30,9 @@ it:
 
 from __future__ import annotations
 
+import logging
 import math
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+_log = logging.getLogger(__name__)
 _LOCAL_MASK = (1 << 33) - 1  # monotonically_increasing_id = pid << 33 | row
 DEFAULT_BLOCK_ROWS = 1 << 20
 # Largest number of distinct (group, column, value) entries for which the
@@ -133,13 +136,96 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return res.select(*by, F.col("_c").alias("column"), F.col("_p").alias("prob"), val.alias("value"))
 
 
+BRACKET_ACCURACY = 10000
+BRACKET_LIMIT = 200_000  # values collected per (column, probability)
+
+
 def quantile_params(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     approx: bool = False) -> dict[str, dict[float, float]]:
     """Global quantiles as a driver-side parameter dict {col: {p: value}}.
-    The collected table has len(cols) * len(probs) rows."""
+
+    Exact by bracketing: pass 1 is one aggregate with a count and a
+    low-accuracy ``percentile_approx`` at p -/+ 2/A per column (its rank
+    error is at most n/A, so the two values enclose the ranks floor/ceil of
+    p*(n-1)); pass 2 is one aggregate that counts the values below each
+    bracket and collects the values inside it (about 4n/A of them, checked
+    against ``BRACKET_LIMIT``); the interpolation runs on those.  A column
+    whose bracket is too wide, or whose ranks fall outside it, goes to the
+    distributed rank selection of :func:`exact_quantiles` instead."""
+    probs = [float(p) for p in probs]
     out: dict[str, dict[float, float]] = {c: {} for c in cols}
-    for r in exact_quantiles(df, cols, probs, approx=approx).collect():
-        out[r["column"]][float(r["prob"])] = r["value"]
+    if approx:
+        for r in exact_quantiles(df, cols, probs, approx=True).collect():
+            out[r["column"]][float(r["prob"])] = r["value"]
+        return out
+    a = BRACKET_ACCURACY
+    eps = 2.0 / a
+    ext = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    val = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(val[c]).alias(f"n{i}"),
+                 F.percentile_approx(val[c], F.array(*[F.lit(x) for x in ext]), a).alias(f"q{i}")]
+    _t = time.time()
+    row = df.agg(*aggs).first()
+    _log.debug("quantile pass 1: %.2fs", time.time() - _t)
+    plan, slow = {}, []
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        if not n:
+            continue
+        qv = dict(zip(ext, row[f"q{i}"]))
+        if 4.0 * n / a > BRACKET_LIMIT:
+            slow.append(c)
+            continue
+        for p in probs:
+            lo = qv[min(1.0, max(0.0, p - eps))]
+            hi = qv[min(1.0, max(0.0, p + eps))]
+            plan[(c, p)] = (n, lo, hi)
+    if plan:
+        # pass 2 (codegen'd counts): values below and inside each bracket
+        aggs2 = []
+        for j, ((c, p), (n, lo, hi)) in enumerate(plan.items()):
+            aggs2 += [F.count(F.when(val[c] < F.lit(lo), 1)).alias(f"b{j}"),
+                      F.count(F.when(val[c].between(lo, hi), 1)).alias(f"k{j}")]
+        _t = time.time()
+        cnt = df.agg(*aggs2).first()
+        _log.debug("quantile pass 2: %.2fs", time.time() - _t)
+        need, done = {}, {}
+        for j, ((c, p), (n, lo, hi)) in enumerate(plan.items()):
+            pos = p * (n - 1)
+            lo_i, hi_i = int(math.floor(pos)), int(math.ceil(pos))
+            below, inside = cnt[f"b{j}"], cnt[f"k{j}"]
+            if not (below <= lo_i and hi_i < below + inside):
+                slow.append(c)
+            elif lo == hi:          # tied bracket: both ranks hold this value
+                done[(c, p)] = lo
+            elif inside > BRACKET_LIMIT:
+                slow.append(c)
+            else:
+                need[(c, p)] = (lo, hi, below, pos, lo_i, hi_i)
+        if need:
+            # pass 3: the values of the open brackets (sizes counted above,
+            # each at most BRACKET_LIMIT)
+            _t = time.time()
+            keys = list(need)
+            row3 = df.agg(*[F.collect_list(F.when(val[c].between(need[(c, p)][0], need[(c, p)][1]), val[c]))
+                            .alias(f"v{j}") for j, (c, p) in enumerate(keys)]).first()
+            _log.debug("quantile pass 3: %.2fs", time.time() - _t)
+            for j, (c, p) in enumerate(keys):
+                lo, hi, below, pos, lo_i, hi_i = need[(c, p)]
+                vals = sorted(row3[f"v{j}"])
+                vl, vh = vals[lo_i - below], vals[hi_i - below]
+                done[(c, p)] = vl + (pos - lo_i) * (vh - vl)
+        for (c, p), v in done.items():
+            if c not in slow:
+                out[c][p] = v
+    slow = sorted(set(slow))
+    if slow:
+        for c in slow:
+            out[c] = {}
+        for r in exact_quantiles(df, slow, probs, map_limit=0).collect():
+            out[r["column"]][float(r["prob"])] = r["value"]
     return out
 
 

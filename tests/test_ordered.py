@@ -83,3 +83,19 @@ def test_ewm_exact(spark, frame, alpha):
     out = O.ewm(d, "x", alpha, ["t"], ["k"]).toPandas().sort_values("t")
     exp = p.groupby("k").x.transform(lambda s: s.ewm(alpha=alpha, adjust=False).mean())
     assert np.abs(out["ewm"].values - exp.values).max() < 1e-9
+
+
+@pytest.mark.parametrize("limit", [None, 1])
+def test_quantile_params_bracket_and_fallback(spark, monkeypatch, limit):
+    rng = np.random.RandomState(11)
+    n = 20000
+    pdf = pd.DataFrame({"cont": rng.randn(n) * 100, "tied": rng.randint(0, 5, n).astype(float),
+                        "skew": np.where(rng.rand(n) < 0.9, 1.0, rng.rand(n))})
+    sdf = spark.createDataFrame(pdf)
+    if limit is not None:  # force the distributed rank-selection fallback
+        monkeypatch.setattr(O, "BRACKET_LIMIT", limit)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = O.quantile_params(sdf, ["cont", "tied", "skew"], probs)
+    for c in ("cont", "tied", "skew"):
+        exp = pdf[c].quantile(probs).values
+        assert np.allclose([got[c][p] for p in probs], exp, rtol=1e-12, atol=1e-12), c
