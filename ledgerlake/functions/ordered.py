@@ -35,6 +35,7 @@ import math
 import time
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +61,14 @@ def dense_index(df: DataFrame, order: Sequence, idx_col: str = "_idx") -> DataFr
     """
     ensure_checkpoint_dir(df.sparkSession)
     s = df.orderBy(*_cols(order)).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.checkpoint(eager=True)
+    # Persisted only while the checkpoint is written: a reliable checkpoint
+    # of an unpersisted frame computes the whole upstream a second time.
+    s = s.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        s_ck = s.checkpoint(eager=True)
+    finally:
+        s.unpersist()
+    s = s_ck
     s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per range partition: the window below has no key, but its input
