@@ -82,10 +82,11 @@ CHANGE_CTES = dict(
                                        "round(change_pct, 6) AS change_pct FROM c",
                                        **CHANGE_CTES))
 def st_price_change(spark, sf_dir):
-    """ST2: change of the daily mean against the previous event-time window
-    (unrounded, D5), over the stream's window table."""
-    out = _with_change(_daily(spark, sf_dir)).select("stock_code", "window_start", "avg_price", "change_pct")
-    return _r(out, ["avg_price", "change_pct"])
+    """ST2 live: change of the daily mean against the code's previous
+    event-time window (unrounded, D5), computed inside the stream's
+    ``foreachBatch`` against the windows already stored."""
+    out = jobs.price_change_stream(spark, v_tick(spark, sf_dir), DAY)
+    return _r(out.select("stock_code", "window_start", "avg_price", "change_pct"), ["avg_price", "change_pct"])
 
 
 @register("st_volume_baseline", with_ctes("SELECT stock_code, window_start, round(avg_volume, 6) AS avg_volume, "

@@ -133,3 +133,39 @@ def late_data_stream(spark: SparkSession, ticks: DataFrame, size: str = "1 hour"
     # every replayed row was left out (counted = input - late).
     return spark.createDataFrame([(rows_in, late_rows, dropped, int(counted))],
                                  "input_rows long, late_rows long, dropped_partial_rows long, counted_rows long")
+
+
+def price_change_stream(spark: SparkSession, ticks: DataFrame, size: str) -> DataFrame:
+    """ST2 live: tumbling window means per code, and in every micro-batch
+    the change of each updated window against the code's latest earlier
+    window already stored (``foreachBatch``: append the windows, join them
+    with the stored ones, append the changes).  Replayed batches write the
+    same rows; the result is the newest change row per (code, window)."""
+    with utc(spark):
+        base, s = _stream(spark, ticks, "price_change")
+        wins, chg = f"{base}/windows", f"{base}/changes"
+        q = _ntz(mo.tick_window_metrics(_event_time(s), size), "window_start", "window_end") \
+            .select("stock_code", "window_start", "avg_price")
+
+        def write(batch: DataFrame, epoch_id: int) -> None:
+            cur = batch.withColumn("_batch", F.lit(epoch_id).cast("long"))
+            cur.write.mode("append").parquet(wins)
+            stored = rn.read_latest(spark, wins, ["stock_code", "window_start"])
+            prev = stored.select("stock_code", F.col("window_start").alias("prev_start"),
+                                 F.col("avg_price").alias("prev_avg"))
+            c, pv = cur.alias("c"), prev.alias("p")
+            j = c.join(pv, (F.col("c.stock_code") == F.col("p.stock_code"))
+                       & (F.col("p.prev_start") < F.col("c.window_start")), "left") \
+                 .select("c.stock_code", "c.window_start", "c.avg_price", "c._batch", "p.prev_start", "p.prev_avg")
+            best = j.groupBy("stock_code", "window_start", "avg_price", "_batch").agg(
+                F.max_by("prev_avg", "prev_start").alias("prev_avg"))
+            out = best.withColumn("change_pct", (F.col("avg_price") - F.col("prev_avg")) / F.col("prev_avg") * 100)
+            out.select("stock_code", "window_start", "avg_price", "change_pct", "_batch") \
+               .write.mode("append").parquet(chg)
+
+        w = q.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint") \
+            .trigger(availableNow=True).foreachBatch(write).start()
+        w.awaitTermination()
+        if w.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {w.exception()}")
+    return rn.read_latest(spark, chg, ["stock_code", "window_start"])
