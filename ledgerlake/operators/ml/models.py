@@ -9,7 +9,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -205,8 +204,7 @@ def smote(df: DataFrame, key: str, label: str, vec: str, minority, ratio: float
     synth = cand.select((F.col("p") * 1000 + F.col("r")).alias(key), F.lit(minority).alias(label),
                         array_to_vector(F.zip_with(a, b, lambda x, y: x + u * (y - x))).alias(vec),
                         F.col("p"), F.col("r"))
-    w = Window.orderBy("p", "r")  # noqa: F841 (kept for clarity of the order)
-    return synth.orderBy("p", "r").limit(need).drop("p", "r")
+    return synth.orderBy("p", "r").limit(need).drop("p", "r")  # exactly `need` rows, deterministic order
 
 
 # -------------------------------------------------------------- clustering

@@ -16,7 +16,7 @@ from ..sources.tables import table
 from .credit import CTES as CREDIT_CTES
 from .credit import FEATURE_SQL, GRADE_EDGES, GRADE_LABELS, credit_frame, with_risk_label
 from .registry import register
-from .views import V_LOAN_SQL, v_bars, v_loan, v_rating, with_ctes
+from .views import v_bars, v_loan, v_rating, with_ctes
 
 CREDIT_FEATURES = ["age", "annual_income", "gender_code", "education_code", "credit_history_length",
                    "total_overdue", "num_overdue_90d", "debt_income_ratio", "payment_income_ratio",
