@@ -404,3 +404,15 @@ def prefix_sum(df: DataFrame, value_col: str, order: Sequence[str], out_col: str
     offs = tot.select("_blk", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_boff"))
     out = inner.join(offs, "_blk").withColumn(out_col, F.col(out_col) + F.col("_boff"))
     return out.drop("_idx", "_blk", "_boff")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the session's checkpoint folder (persisted only
+    while it is written): later branches read the stored result instead of
+    recomputing an expensive plan, and lineage is cut."""
+    ensure_checkpoint_dir(df.sparkSession)
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return p.checkpoint(eager=True)
+    finally:
+        p.unpersist()
