@@ -54,7 +54,11 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's ``spark.checkpoint.dir``; only when it is unset
     (tests, local runs) fall back to a fresh local folder."""
-    d = checkpoint_dir(spark)
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        # already set: setting it again would nest a new sub-folder each time
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or None
     if d is None:
         d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         log.warning("spark.checkpoint.dir is unset; using local %s (tests only)", d)
