@@ -114,3 +114,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = archive_and_read(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return r.select(F.col("record_id").cast("long").alias("page_id"), F.col("length").alias("payload_bytes"),
                     F.col("digest").alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+# ------------------------------------------------------------------ 8
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# ------------------------------------------------------------------ 2
+
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_contamination
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ------------------------------------------------------------------ 3
+
+@query("op3_source_mixing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mix import mix_sources
+    m = mix_sources(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "source", "mix_slot", "mix_epoch", "mix_block", "mix_offset")
+
+
+# ------------------------------------------------------------------ 10
+
+@query("op10_repeated_substrings")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix import remove_repeats
+    r = remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return r.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
