@@ -148,3 +148,90 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix import remove_repeats
     r = remove_repeats(table(spark, sf_dir, "documents"), length=200)
     return r.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# ------------------------------------------------------------------ 6
+
+def language_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (text only) and pages (markup, address) as rows to identify."""
+    from .langid import declared_language
+    from .urlfilter import url_host
+    none = F.lit(None).cast("string")
+    docs = table(spark, sf_dir, "documents").select(
+        F.struct(F.col("doc_id"), F.lit(None).cast("long").alias("page_id")).alias("id"),
+        F.col("text").cast("binary").alias("body"), F.lit(False).alias("is_markup"), none.alias("declared"), none.alias("host"))
+    pages = table(spark, sf_dir, "pages").select(
+        F.struct(F.lit(None).cast("long").alias("doc_id"), F.col("page_id")).alias("id"),
+        F.col("html").cast("binary").alias("body"), F.lit(True).alias("is_markup"),
+        declared_language("html").alias("declared"), url_host("url").alias("host"))
+    return docs.unionByName(pages)
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify, train
+    model = train(table(spark, sf_dir, "documents"))
+    r = identify(language_rows(spark, sf_dir), model)
+    return r.select("id.doc_id", "id.page_id", "lang", "probability", "text_lang")
+
+
+# ------------------------------------------------------------------ 7
+
+TOOLS = {"answer": {"question": {"type": "string", "required": True, "max_length": 300},
+                    "turn": {"type": "integer", "required": True, "minimum": 0},
+                    "words": {"type": "integer", "minimum": 5}}}
+
+
+def tool_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The conversations as tool traffic: a user turn calls ``answer``, using the
+    result of the turn two before; any other turn is a result for the turn
+    before it."""
+    t = table(spark, sf_dir, "conversations")
+
+    def call_id(turn):
+        return F.concat_ws("-", F.lit("call"), "conv_id", turn)
+
+    turn = F.col("turn")
+    words = F.size(F.filter(F.split(F.col("text"), " "), lambda w: w != ""))
+    calls = t.where("role = 'user'").select(
+        "conv_id", call_id(turn).alias("call_id"), call_id(turn - 2).alias("after"), "turn", F.lit("answer").alias("name"),
+        F.to_json(F.struct(words.alias("words"), turn.alias("turn"), F.col("text").alias("question"))).alias("arguments"))
+    results = t.where("role <> 'user'").select("conv_id", call_id(turn - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results
+
+
+OP7_SQL = r"""
+WITH t AS (SELECT conv_id, turn, role, text, 'call-' || conv_id || '-' AS stem,
+             len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS words FROM conversations),
+calls AS (SELECT *, lag(turn) OVER w AS before, row_number() OVER w AS k FROM t WHERE role = 'user'
+          WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+chains AS (SELECT *, sum(CASE WHEN before = turn - 2 THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain
+           FROM (SELECT * REPLACE (lag(turn) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS before) FROM calls)),
+deep AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS depth FROM chains),
+linked AS (
+  SELECT c.conv_id, c.stem || c.turn AS call_id, c.turn, c.depth,
+    CASE WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status, r.turn AS result_turn,
+    list_sort(list_filter([CASE WHEN length(c.text) > 300 THEN 'question: length' END, CASE WHEN c.turn < 0 THEN 'turn: minimum' END,
+      CASE WHEN c.words < 5 THEN 'words: minimum' END], lambda e: e IS NOT NULL)) AS errors,
+    '{"after":"' || c.stem || (c.turn - 2) || '","arguments":{"question":' || to_json(c.text) || ',"turn":' || c.turn
+      || ',"words":' || c.words || '},"call_id":"' || c.stem || c.turn || '"'
+      || CASE WHEN r.turn IS NULL THEN '' ELSE ',"content":' || to_json(r.text) END || ',"conv_id":' || c.conv_id AS head,
+    ',"name":"answer","status":"' || CASE WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END || '"}' AS tail
+  FROM deep c LEFT JOIN t r ON r.conv_id = c.conv_id AND r.turn = c.turn + 1 AND r.role <> 'user'),
+orphans AS (
+  SELECT r.conv_id, r.stem || (r.turn - 1) AS call_id, r.turn, NULL::BIGINT AS depth, 'orphan' AS status, r.turn AS result_turn,
+    []::VARCHAR[] AS errors,
+    '{"call_id":"' || r.stem || (r.turn - 1) || '","content":' || to_json(r.text) || ',"conv_id":' || r.conv_id || ',"status":"orphan"}' AS json
+  FROM t r WHERE r.role <> 'user' AND NOT EXISTS (
+    SELECT 1 FROM t c WHERE c.conv_id = r.conv_id AND c.turn = r.turn - 1 AND c.role = 'user'))
+SELECT conv_id, call_id, turn, depth, status, result_turn, array_to_string(errors, '|') AS errors,
+  head || CASE WHEN len(errors) = 0 THEN '' ELSE ',"errors":' || to_json(errors) END || tail AS json FROM linked
+UNION ALL SELECT conv_id, call_id, turn, depth, status, result_turn, array_to_string(errors, '|'), json FROM orphans
+"""
+
+
+@query("op7_chat_tools", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import link_tool_calls
+    calls, results = tool_events(spark, sf_dir)
+    return link_tool_calls(calls, results, TOOLS).withColumn("errors", F.array_join("errors", "|"))
