@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_dir, ship_package, task_fs
+from .common import scratch_dir, ship_package, shuffle_partitions, task_fs
 
 MAGIC = b"DACTOK1\0"
 CHUNK_BITS = 8
@@ -284,7 +284,9 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                      pa.array(np.diff(b)), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = manifest.select("file", "start").repartition("file")
+    # A stated number of partitions: one by size would put small rows, and so
+    # all the files that they name, in one task.
+    spread = manifest.select("file", "start").repartition(shuffle_partitions(spark), "file")
     return spread.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -29,7 +29,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_dir, ship_package, task_fs, written
+from .common import scratch_dir, ship_package, shuffle_partitions, task_fs, written
 
 PLAIN_MAGIC, GZIP_MAGIC = b"WARC/1.", b"\x1f\x8b\x08"
 SPLIT_BYTES = 32 << 20
@@ -273,8 +273,9 @@ def verified_entries(files: DataFrame, folder: str, split_bytes: int = SPLIT_BYT
                      pa.array([c for c, _ in found], pa.int64()), pa.array([e for _, e in found], pa.int64())],
                     names=["file", "n_bytes", "at", "exit"])
 
-    # Keyed by file and split, so the splits of a file spread over the tasks.
-    c = written(splits.repartition("file", "split").mapInArrow(
+    # Keyed by file and split, so the splits of a file spread over the tasks;
+    # in a stated number of partitions, as these small rows name large inputs.
+    c = written(splits.repartition(shuffle_partitions(spark), "file", "split").mapInArrow(
         candidates, "file string, n_bytes long, at long, exit long"), "warc-candidates")
     # Only the file start and places where a chain enters a split can be entries.
     entered = c.where("exit >= 0").select("file", F.col("exit").alias("at")).distinct()
@@ -337,7 +338,7 @@ def read_archives(files: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES)
                 if rows:
                     yield batch_of(rows)
 
-    return entries.repartition("file", "split").mapInArrow(records, schema)
+    return entries.repartition(shuffle_partitions(spark), "file", "split").mapInArrow(records, schema)
 
 
 def _urn(value: str) -> str:
