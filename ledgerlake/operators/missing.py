@@ -22,16 +22,21 @@ def _present(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     return [c for c in (cols if cols is not None else df.columns) if c in df.columns]
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """One missing-value rule for all operators here: NaN in a floating column
+    is missing (pandas' model).  A projection, applied at operator entry."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floats:
+        return df
+    return df.select(*[F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)).alias(c) if c in floats else F.col(c)
+                       for c in df.columns])
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[int, dict[str, int]]:
     """(row count, {column: null count}) in one aggregate job."""
     cols = _present(df, cols)
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for c in cols:
-        isnull = F.col(c).isNull()
-        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-            isnull = isnull | F.isnan(c)
-        aggs.append(F.sum(isnull.cast("long")).alias(c))
-    row = df.agg(*aggs).first()
+    aggs = [F.count(F.lit(1)).alias("__n"), *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols]]
+    row = nan_as_null(df).agg(*aggs).first()
     return int(row["__n"]), {c: int(row[c] or 0) for c in cols}
 
 
@@ -41,7 +46,7 @@ def missing_report(df: DataFrame) -> DataFrame:
     unpivot of the one-row result (so the report is computed lazily)."""
     n = F.count(F.lit(1))
     aggs = [n.alias("__n")] + [F.sum(F.col(c).isNull().cast("long")).alias(c) for c in df.columns]
-    one = df.agg(*aggs)
+    one = nan_as_null(df).agg(*aggs)
     long = one.select("__n", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("missing_count"),
                  F.lit(df.schema[c].dataType.simpleString()).alias("dtype")) for c in df.columns])).alias("s"))
@@ -55,14 +60,14 @@ def missing_report(df: DataFrame) -> DataFrame:
 def fit_mean(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     if not cols:
         return {}
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    row = nan_as_null(df).agg(*[F.avg(c).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
 def fit_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     if not cols:
         return {}
-    q = quantile_params(df, cols, [0.5])
+    q = quantile_params(nan_as_null(df), cols, [0.5])
     return {c: q[c].get(0.5) for c in cols}
 
 
@@ -72,13 +77,19 @@ def mode_table(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Da
     Two decomposable aggregates - counts per value, then ``min`` of
     (-count, value) - so neither a hot group nor a high-cardinality column is
     ever gathered into one task (``mode()`` would merge a value map)."""
-    st = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v"))
-                             for c in cols])).alias("_s")
-    long = df.select(*by, st).select(*by, "_s._c", "_s._v").where(F.col("_v").isNotNull())
-    counts = long.groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    best = counts.groupBy(*by, "_c").agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))
-                                         .alias("_b"))
-    return best.select(*by, F.col("_c").alias("column"), F.col("_b.v").alias("mode"))
+    df = nan_as_null(df)
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = None
+    for same in by_type.values():  # ties are broken by value, so one unpivot per type
+        st = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_v")) for c in same])).alias("_s")
+        long = df.select(*by, st).select(*by, "_s._c", "_s._v").where(F.col("_v").isNotNull())
+        counts = long.groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        best = counts.groupBy(*by, "_c").agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("_b"))
+        one = best.select(*by, F.col("_c").alias("column"), F.col("_b.v").cast("string").alias("mode"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def fit_mode(df: DataFrame, cols: Sequence[str], default: str = "unknown") -> dict[str, str]:
@@ -90,6 +101,7 @@ def fit_mode(df: DataFrame, cols: Sequence[str], default: str = "unknown") -> di
 
 def apply_fill(df: DataFrame, fills: dict) -> DataFrame:
     """Transform: ``coalesce(c, literal)`` per column, one projection."""
+    df = nan_as_null(df)
     out = []
     for c in df.columns:
         if c in fills and fills[c] is not None:
@@ -177,6 +189,7 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def drop_sparse_rows(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Keep rows whose share of null cells is at most ``threshold``."""
+    df = nan_as_null(df)
     k = len(df.columns)
     nulls = sum((F.col(c).isNull().cast("int") for c in df.columns), F.lit(0))
     return df.where(nulls / F.lit(k) <= F.lit(threshold))
@@ -186,6 +199,7 @@ def fill_forward(df: DataFrame, order: Sequence[str], columns=None, keys: Sequen
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """M6: forward fill ``columns`` in row order, then backward fill every
     column (the pandas ``ffill().bfill()`` pair).  ``order`` must be unique."""
+    df = nan_as_null(df)
     cols = _present(df, columns)
     all_cols = [c for c in df.columns if c not in order and c not in keys]
     bl = blocked(df, order, keys, block_rows).drop("_halo")
@@ -195,9 +209,14 @@ def fill_forward(df: DataFrame, order: Sequence[str], columns=None, keys: Sequen
 
 
 def fill_interpolate(df: DataFrame, order: Sequence[str], columns=None, keys: Sequence[str] = (),
-                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """M7: linear interpolation by row position.  Leading nulls stay null,
-    trailing nulls take the last value (pandas' forward direction)."""
+                     block_rows: int = DEFAULT_BLOCK_ROWS, method: str = "linear") -> DataFrame:
+    """M7: interpolation by row position.  ``linear``: leading nulls stay null,
+    trailing nulls take the last value (pandas' forward direction);
+    ``nearest`` (the earlier value half way) and ``zero`` (the earlier value) fill
+    between values only, as pandas does; ``pad`` / ``bfill`` carry values on."""
+    if method not in ("linear", "nearest", "zero", "pad", "bfill"):
+        raise ValueError(f"unknown interpolation method {method!r}")
+    df = nan_as_null(df)
     cols = _present(df, columns if columns is not None else numeric_columns(df, exclude=order))
     bl = blocked(df, order, keys, block_rows).drop("_halo")
     prev = bl.select("*", *[F.when(F.col(c).isNotNull(), F.struct(F.col("_idx").alias("i"), F.col(c).cast("double")
@@ -212,11 +231,17 @@ def fill_interpolate(df: DataFrame, order: Sequence[str], columns=None, keys: Se
             out.append(F.col(c))
             continue
         p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
-        interp = p["v"] + (n["v"] - p["v"]) * (F.col("_idx") - p["i"]) / (n["i"] - p["i"])
-        val = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-                .when(p.isNull(), F.lit(None))
-                .when(n.isNull(), p["v"])
-                .otherwise(interp))
+        held = F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+        if method == "linear":
+            interp = p["v"] + (n["v"] - p["v"]) * (F.col("_idx") - p["i"]) / (n["i"] - p["i"])
+            val = held.when(p.isNull(), F.lit(None)).when(n.isNull(), p["v"]).otherwise(interp)
+        elif method == "pad":
+            val = held.otherwise(p["v"])
+        elif method == "bfill":
+            val = held.otherwise(n["v"])
+        else:
+            near = F.col("_idx") - p["i"] <= n["i"] - F.col("_idx") if method == "nearest" else F.lit(True)
+            val = held.when(p.isNull() | n.isNull(), F.lit(None)).otherwise(F.when(near, p["v"]).otherwise(n["v"]))
         out.append(val.cast(df.schema[c].dataType if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
                             else T.DoubleType()).alias(c))
     return nxt.select(*out)
@@ -231,6 +256,7 @@ def auto_fill(df: DataFrame, order: Sequence[str], numeric_strategy: str = "medi
     The fit is three small jobs (null counts, means or exact medians, modes);
     the transform is one projection plus, only if other typed columns still
     hold nulls, the blocked fill."""
+    df = nan_as_null(df)
     n, nulls = null_counts(df)
     keep = [c for c in df.columns if (nulls[c] / n if n else 0) <= drop_threshold]
     df = df.select(*keep)

@@ -110,3 +110,21 @@ def remove_outliers(df: DataFrame, columns=None, method: str = "iqr", factor: fl
     for f in flags[1:]:
         any_flag = any_flag | f
     return df.where(~any_flag)
+
+
+def outlier_counts(df: DataFrame, columns=None, method: str = "iqr", factor: float = 1.5,
+                   threshold: float | None = None) -> dict[str, int]:
+    """Flagged cells per column, leaving the data as it is (``detect_only``)."""
+    cols = _cols(df, columns)
+    if method == "iqr":
+        flags = {c: outside(c, v["lower"], v["upper"]) for c, v in iqr_bounds(df, cols, factor).items()}
+    elif method == "zscore":
+        t = factor if threshold is None else threshold
+        flags = {c: F.coalesce(F.abs(F.col(c) - v["mean"]) / v["std"] > t, F.lit(False))
+                 for c, v in zscore_params(df, cols).items() if v["std"] not in (None, 0.0)}
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    if not flags:
+        return {}
+    row = df.agg(*[F.sum(f.cast("long")).alias(c) for c, f in flags.items()]).first()
+    return {c: int(row[c] or 0) for c in flags}

@@ -19,6 +19,7 @@ from . import missing as mv
 from . import outliers as ol
 from . import scaling as sc
 
+# The default configuration is the contract.
 DEFAULT_CONFIG = {
     "missing_value": {"enabled": True, "strategy": "auto", "numeric_strategy": "median",
                       "categorical_strategy": "mode", "drop_threshold": 0.8},
@@ -30,6 +31,7 @@ DEFAULT_CONFIG = {
 }
 MISSING_STRATEGIES = {"auto", "mean", "median", "mode", "ffill", "interpolate", "constant", "drop"}
 OUTLIER_ACTIONS = {"clip", "remove", "detect_only"}
+ENCODE_METHODS = {"label", "onehot"}
 
 
 def merge_config(user: dict | None) -> dict:
@@ -48,8 +50,24 @@ def merge_config(user: dict | None) -> dict:
         raise ValueError(f"unknown missing strategy {mvc['strategy']!r}")
     if oc["method"] not in ("iqr", "zscore", "quantile") or oc["action"] not in OUTLIER_ACTIONS:
         raise ValueError(f"unknown outlier method/action {oc['method']!r}/{oc['action']!r}")
+    if oc["action"] == "clip" and oc["method"] == "zscore":
+        raise ValueError("action 'clip' takes method 'iqr' or 'quantile'")
+    if oc["action"] != "clip" and oc["method"] == "quantile":
+        raise ValueError(f"action {oc['action']!r} takes method 'iqr' or 'zscore'")
     if nc["method"] not in sc.FITTERS:
         raise ValueError(f"unknown normalisation {nc['method']!r}")
+    fc = cfg["feature_engineering"]
+    if fc["encode_method"] not in ENCODE_METHODS:
+        raise ValueError(f"unknown encode_method {fc['encode_method']!r}")
+    if isinstance(fc["time_features"], dict):
+        if "column" not in fc["time_features"]:
+            raise ValueError("time_features needs a column")
+        odd = set(fc["time_features"].get("features") or ()) - set(fe.TIME_FEATURES)
+        if odd:
+            raise ValueError(f"unknown time features {sorted(odd)}")
+    odd = set((fc["rolling_features"] or {}).get("stats", ())) - set(fe.ROLL_STATS)
+    if odd:
+        raise ValueError(f"unknown rolling statistics {sorted(odd)}")
     return cfg
 
 
@@ -111,7 +129,9 @@ class PreprocessingPipeline:
             elif s == "constant":
                 df, p = mv.fill_constant(df, fill_value=m.get("fill_value", 0)), {}
             else:
-                df, p = mv.drop_sparse_rows(df, m.get("row_threshold", 0.0)), {}
+                before = df.columns
+                df = mv.drop_sparse_columns(df, m["drop_threshold"])
+                p = {"dropped": [c for c in before if c not in df.columns]}
             self.params["missing_value"] = p
             df = self._log("missing_value", df, t0, {"strategy": s})
         o = cfg["outlier"]
@@ -119,10 +139,12 @@ class PreprocessingPipeline:
             t0 = time.time()
             cols = self._numeric(df, o["columns"])
             if o["action"] == "clip":
-                df, b = ol.clip_outliers(df, cols, "quantile" if o["method"] == "quantile" else "iqr", o["factor"])
+                df, b = ol.clip_outliers(df, cols, o["method"], o["factor"])
                 self.params["outlier"] = b
             elif o["action"] == "remove":
                 df = ol.remove_outliers(df, cols, o["method"], o["factor"], o.get("threshold"))
+            else:
+                self.params["outlier"] = ol.outlier_counts(df, cols, o["method"], o["factor"], o.get("threshold"))
             df = self._log("outlier", df, t0, {"method": o["method"], "action": o["action"]})
         n = cfg["normalization"]
         if n["enabled"]:
@@ -136,15 +158,17 @@ class PreprocessingPipeline:
         if f["enabled"]:
             t0 = time.time()
             if f.get("time_features"):
-                df = fe.extract_time_features(df, f["time_features"])
+                tf = f["time_features"]
+                tf = tf if isinstance(tf, dict) else {"column": tf}
+                df = fe.extract_time_features(df, tf["column"], tf.get("features"))
             if f.get("lag_features"):
                 lf = f["lag_features"]
-                df = fe.create_lag_features(df, lf["columns"], lf.get("lags", [1, 3, 5, 10, 20]), self.order,
+                df = fe.create_lag_features(df, lf["columns"], lf.get("lags", [1, 5, 10]), self.order,
                                             lf.get("group_col"))
             if f.get("rolling_features"):
                 rf = f["rolling_features"]
                 df = fe.create_rolling_features(df, rf["columns"], self.order, rf.get("windows", [5, 10, 20]),
-                                                rf.get("stats", ["mean", "std", "min", "max"]), rf.get("group_col"))
+                                                rf.get("stats", ["mean", "std"]), rf.get("group_col"))
             if f.get("encode_columns"):
                 if f["encode_method"] == "onehot":
                     df = fe.onehot_encode(df, f["encode_columns"])

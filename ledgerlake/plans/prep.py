@@ -176,6 +176,36 @@ def fill_group_mode(spark, sf_dir):
     return mv.fill_group(_loan(spark, sf_dir), "status", "mode", ["flag"])
 
 
+_GMODE_NUM = ("(SELECT l_suppkey, credit_score AS g_score FROM (SELECT l_suppkey, credit_score, row_number() OVER "
+              "(PARTITION BY l_suppkey ORDER BY count(*) DESC, credit_score) AS r FROM v WHERE credit_score IS NOT NULL "
+              "GROUP BY l_suppkey, credit_score) WHERE r = 1)")
+
+
+@register("fill_group_mode_numeric", _sql("SELECT " + ", ".join(
+    "coalesce(v.credit_score, g.g_score) AS credit_score" if c == "credit_score" else f"v.{c}" for c in LOAN_COLUMNS) +
+    f" FROM v LEFT JOIN {_GMODE_NUM} g ON v.l_suppkey = g.l_suppkey"))
+def fill_group_mode_numeric(spark, sf_dir):
+    """M8 on numbers: small groups tie often, the smallest number wins."""
+    return mv.fill_group(_loan(spark, sf_dir), "l_suppkey", "mode", ["credit_score"])
+
+
+# ------------------------------------------------ NaN is missing
+def _loan_nan(spark, sf_dir):
+    """The loan frame with NaN where it has nulls in floating columns."""
+    return _loan(spark, sf_dir).withColumns({c: F.coalesce(F.col(c), F.lit(float("nan"))) for c in NULLABLE_NUM})
+
+
+@register("missing_report_nan", _sql(f"SELECT * FROM ({_MR_PARTS}) WHERE missing_count > 0",
+                                     s=f"SELECT count(*) AS n, {_MR_COUNTS} FROM v"))
+def missing_report_nan(spark, sf_dir):
+    return mv.missing_report(_loan_nan(spark, sf_dir))
+
+
+@register("fill_mean_nan", _sql(f"SELECT {_fill_sql({c: f'(SELECT avg({c}) FROM v)' for c in NULLABLE_NUM})} FROM v"))
+def fill_mean_nan(spark, sf_dir):
+    return _r(mv.fill_mean(_loan_nan(spark, sf_dir))[0], NULLABLE_NUM)
+
+
 # ------------------------------------------------------------------ M9-M11
 SPARSE_COL_T = 0.05
 _NR_PARTS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, round(n_{c} * 1.0 / n, 6) AS null_ratio FROM s"
@@ -215,6 +245,12 @@ def auto_fill(spark, sf_dir):
     return _r(df, NULLABLE_NUM)
 
 
+@register("auto_fill_nan", _sql(f"SELECT {_fill_sql(AUTO_FILLS)} FROM v"))
+def auto_fill_nan(spark, sf_dir):
+    df, _ = mv.auto_fill(_loan_nan(spark, sf_dir), KEYS)
+    return _r(df, NULLABLE_NUM)
+
+
 # ------------------------------------------------------------------ O
 OUT_COLS = LOAN_NUMERIC
 
@@ -543,9 +579,61 @@ def pipeline_default(spark, sf_dir):
     return _r(out, ALL_NUMERIC)
 
 
-@register("pipeline_report")
+# Row counts stay, the default run changes no column: five steps.
+_STEPS = ["input", "missing_value", "outlier", "normalization", "feature_engineering"]
+_STEP_DETAILS = ["{}", '{"strategy": "auto"}', '{"action": "clip", "method": "iqr"}', '{"method": "robust"}', "{}"]
+
+
+@register("pipeline_report", " UNION ALL ".join(
+    f"SELECT {i} AS step_no, '{s}' AS step, count(*) AS rows, {len(LOAN_COLUMNS)} AS columns, '{d}' AS details FROM lineitem"
+    for i, (s, d) in enumerate(zip(_STEPS, _STEP_DETAILS))))
 def pipeline_report(spark, sf_dir):
     """Per-step rows and columns through the default pipeline."""
     p = PreprocessingPipeline(order=KEYS)
     p.run(_loan(spark, sf_dir))
     return p.report(spark).drop("fit_sec")
+
+
+def _only(**sections):
+    """A configuration with the named sections on and the others off."""
+    off = {s: {"enabled": False} for s in ("missing_value", "outlier", "normalization", "feature_engineering")}
+    return {**off, **{s: {"enabled": True, **v} for s, v in sections.items()}}
+
+
+_PIPE_TIME = ["year", "dayofweek", "is_month_end"]
+
+
+@register("pipeline_time_features", _sql(f"SELECT {', '.join(LOAN_COLUMNS)}, " + ", ".join(
+    f"CAST({_TF[k].replace('(ts', '(ship_ts').replace('day(ts', 'day(ship_ts')} AS INTEGER) AS ship_ts_{k}" for k in _PIPE_TIME) + " FROM v"))
+def pipeline_time_features(spark, sf_dir):
+    """Time features given as column and parts."""
+    p = PreprocessingPipeline(_only(feature_engineering={"time_features": {"column": "ship_ts", "features": _PIPE_TIME}}), order=KEYS)
+    out = p.run(_loan(spark, sf_dir))
+    return out.withColumns({f"ship_ts_{k}": F.col(f"ship_ts_{k}").cast("int") for k in _PIPE_TIME})
+
+
+# l_suppkey % 10 = 1 empties flag for a tenth of the rows, more than any other column.
+@register("pipeline_drop", _sql(f"SELECT {', '.join(c for c in LOAN_COLUMNS if c != 'flag')} FROM v"))
+def pipeline_drop(spark, sf_dir):
+    """Strategy ``drop`` leaves out columns with too many nulls."""
+    p = PreprocessingPipeline(_only(missing_value={"strategy": "drop", "drop_threshold": 0.08}), order=KEYS)
+    return p.run(_loan(spark, sf_dir))
+
+
+@register("pipeline_remove", _sql(f"SELECT {', '.join(LOAN_COLUMNS)} FROM v WHERE NOT (" + " OR ".join(
+    _outside_sql(c, *_fence_sql(c)) for c in OUT_COLS) + ")"))
+def pipeline_remove(spark, sf_dir):
+    """Action ``remove`` over chosen columns."""
+    p = PreprocessingPipeline(_only(outlier={"method": "iqr", "action": "remove", "columns": OUT_COLS}), order=KEYS)
+    return p.run(_loan(spark, sf_dir))
+
+
+@register("pipeline_detect_only", _sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {_z_sql(c, 3.0)}) AS outliers, count(*) AS rows FROM v" for c in OUT_COLS)))
+def pipeline_detect_only(spark, sf_dir):
+    """Action ``detect_only`` counts and leaves the rows as they are."""
+    p = PreprocessingPipeline(_only(outlier={"method": "zscore", "action": "detect_only", "factor": 3.0, "columns": OUT_COLS}), order=KEYS)
+    rows = p.run(_loan(spark, sf_dir)).agg(F.count(F.lit(1)).alias("rows"))
+    found = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(n).cast("long").alias("outliers"))
+                                for c, n in p.params["outlier"].items()]))
+    return rows.select(found.alias("s"), "rows").select("s.*", "rows")
