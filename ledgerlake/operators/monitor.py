@@ -134,8 +134,8 @@ def item_category(item: Column) -> Column:
     return F.element_at(cats, (item % len(ITEM_CATEGORIES)).cast("int") + 1)
 
 
-def latest_per_key(df: DataFrame, keys, ts: str, value_cols) -> DataFrame:
-    """The newest values per key (``max_by`` on (ts, tie-breaker))."""
-    order = F.struct(F.col(ts), *[F.col(k) for k in keys])
+def latest_per_key(df: DataFrame, keys, ts: str, value_cols, tie: str | None = None) -> DataFrame:
+    """The newest values per key (``max_by`` on the time, then ``tie``)."""
+    order = F.struct(ts, tie) if tie else F.col(ts)
     return df.groupBy(*keys).agg(F.max(ts).alias("last_ts"),
                                  *[F.max_by(c, order).alias(c) for c in value_cols])

@@ -164,8 +164,8 @@ SELECT o_orderpriority AS stock_code, CAST(date_trunc('month', o_orderdate) AS D
 FROM orders GROUP BY 1, 2"""
 
 # ------------------------------------------------------------ event views
-def v_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def v_tick(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = table(spark, sf_dir, "events") if events is None else events
     return e.select("event_id", F.col("event_type").alias("stock_code"),
                     (F.col("value") + 1).alias("price"), (F.col("user_id") + 1).alias("volume"),
                     F.col("ts"))
@@ -176,8 +176,8 @@ SELECT event_id, event_type AS stock_code, value + 1 AS price, user_id + 1 AS vo
 FROM events"""
 
 
-def v_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def v_tx(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = table(spark, sf_dir, "events") if events is None else events
     return e.select(F.col("event_id").alias("transaction_id"), F.col("user_id").alias("account"),
                     (F.col("value") * 400).alias("amount"), F.col("event_type").alias("city"),
                     F.col("event_type").alias("type"), F.col("ts"))
@@ -191,8 +191,8 @@ FROM events"""
 BEHAVIOUR_MAP = {"view": "browse", "click": "click", "purchase": "purchase", "signup": "rate"}
 
 
-def v_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def v_behaviour(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = table(spark, sf_dir, "events") if events is None else events
     beh = F.lit(None).cast("string")
     for k, v in reversed(list(BEHAVIOUR_MAP.items())):
         beh = F.when(F.col("event_type") == k, F.lit(v)).otherwise(beh)

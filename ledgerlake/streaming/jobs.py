@@ -1,12 +1,11 @@
 """Structured Streaming jobs of the four monitoring cases (ST1-ST16).
 
-Each job stages its input from the warehouse tables as an ordered landing
-folder, runs ``readStream -> withWatermark -> window / rules -> sink`` to the
-end of the input, and returns the sink read back as a DataFrame.  Event time
-is the ``ts`` column cast to TIMESTAMP under a UTC session zone (a
-watermark needs TIMESTAMP, not TIMESTAMP_NTZ); window bounds go back to
-TIMESTAMP_NTZ before they are stored, so the results do not depend on the
-reader's time zone.
+Each job takes a streaming DataFrame (usually ``runner.table_stream`` under a
+view), runs ``watermark -> window / rules -> sink`` to the end of the input and
+returns the sink read back as a DataFrame.  Event time is the ``ts`` column
+cast to TIMESTAMP under a UTC session zone (a watermark needs TIMESTAMP, not
+TIMESTAMP_NTZ); window bounds go back to TIMESTAMP_NTZ before they are stored,
+so the results do not depend on the reader's time zone.
 """
 
 from __future__ import annotations
@@ -14,9 +13,8 @@ from __future__ import annotations
 import contextlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import monitor as mo
 from . import runner as rn
@@ -34,13 +32,6 @@ def utc(spark: SparkSession):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def _stream(spark: SparkSession, df: DataFrame, name: str, order_col: str = "ts", n_files: int = 4):
-    base = rn.run_dir(spark, name)
-    src = f"{base}/source"
-    rn.stage_files(df, src, order_col, n_files)
-    return base, rn.file_stream(spark, src, df.schema)
-
-
 def _event_time(s: DataFrame) -> DataFrame:
     return s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", WATERMARK)
 
@@ -54,8 +45,8 @@ def _ntz(df: DataFrame, *cols) -> DataFrame:
 def window_metrics_stream(spark: SparkSession, ticks: DataFrame, size: str, slide: str | None = None) -> DataFrame:
     """ST1: sliding-window tick metrics, update mode into an upsert sink."""
     with utc(spark):
-        base, s = _stream(spark, ticks, "tick_metrics")
-        q = _ntz(mo.tick_window_metrics(_event_time(s), size, slide), "window_start", "window_end")
+        base = rn.run_dir(spark, "tick_metrics")
+        q = _ntz(mo.tick_window_metrics(_event_time(ticks), size, slide), "window_start", "window_end")
         rn.run(q, f"{base}/checkpoint", f"{base}/sink", "update")
     return rn.read_latest(spark, f"{base}/sink", ["stock_code", "window_start"])
 
@@ -63,109 +54,101 @@ def window_metrics_stream(spark: SparkSession, ticks: DataFrame, size: str, slid
 def account_stats_stream(spark: SparkSession, tx: DataFrame, size: str) -> DataFrame:
     """ST6: tumbling account statistics, update mode into an upsert sink."""
     with utc(spark):
-        base, s = _stream(spark, tx, "account_stats")
-        q = _ntz(mo.account_window_stats(_event_time(s), size), "window_start")
+        base = rn.run_dir(spark, "account_stats")
+        q = _ntz(mo.account_window_stats(_event_time(tx), size), "window_start")
         rn.run(q, f"{base}/checkpoint", f"{base}/sink", "update")
     return rn.read_latest(spark, f"{base}/sink", ["account", "window_start"])
 
 
-ALERT_SCHEMA = T.StructType([
-    T.StructField("rule", T.StringType()), T.StructField("severity", T.StringType()),
-    T.StructField("key", T.StringType()), T.StructField("event_id", T.LongType()),
-    T.StructField("detail", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
-
-
 def transaction_rules_stream(spark: SparkSession, tx: DataFrame) -> DataFrame:
-    """ST7 + ST8: stateless per-transaction rules, append mode, file sink."""
+    """ST7 + ST8: stateless per-transaction rules, append mode; rows without a
+    time still meet the rules that need none."""
     with utc(spark):
-        base, s = _stream(spark, tx, "tx_rules")
-        s = s.withColumn("ts", F.col("ts").cast("timestamp"))
+        base = rn.run_dir(spark, "tx_rules")
+        s = tx.withColumn("ts", F.col("ts").cast("timestamp"))
         alerts = mo.rule_large_amount(s).unionByName(mo.rule_odd_hour(s))
-        rn.run(_ntz(alerts, "ts"), f"{base}/checkpoint", f"{base}/sink", "append", keys_for_upsert=False)
-    return rn.read_appended(spark, f"{base}/sink", ALERT_SCHEMA)
+        rn.run(_ntz(alerts, "ts"), f"{base}/checkpoint", f"{base}/sink", "append")
+    return rn.read_appended(spark, f"{base}/sink")
 
 
 def implicit_matrix_stream(spark: SparkSession, beh: DataFrame) -> DataFrame:
     """ST12: the user-item score matrix as a streaming aggregate (update mode)."""
     with utc(spark):
-        base, s = _stream(spark, beh, "implicit_matrix")
-        rn.run(mo.implicit_matrix(s), f"{base}/checkpoint", f"{base}/sink", "update")
+        base = rn.run_dir(spark, "implicit_matrix")
+        rn.run(mo.implicit_matrix(beh), f"{base}/checkpoint", f"{base}/sink", "update")
     return rn.read_latest(spark, f"{base}/sink", ["user_id", "item_id"])
 
 
 def sentiment_stream(spark: SparkSession, docs: DataFrame, lexicon) -> DataFrame:
     """ST15: the stateless tokenise -> score -> polarity topology over a
-    stream of documents (arrival order = doc_id)."""
+    stream of documents."""
     from ..operators.text import analyse
     with utc(spark):
-        base, s = _stream(spark, docs, "sentiment", order_col="doc_id")
-        out = analyse(s, "text", lexicon).select("doc_id", "source", "positive_score", "negative_score",
-                                                  "sentiment_score", "polarity")
-        rn.run(out, f"{base}/checkpoint", f"{base}/sink", "append", keys_for_upsert=False)
-    schema = "doc_id long, source string, positive_score int, negative_score int, sentiment_score int, polarity string"
-    return rn.read_appended(spark, f"{base}/sink", schema)
+        base = rn.run_dir(spark, "sentiment")
+        out = analyse(docs, "text", lexicon).select("doc_id", "source", "positive_score", "negative_score",
+                                                    "sentiment_score", "polarity")
+        rn.run(out, f"{base}/checkpoint", f"{base}/sink", "append")
+    return rn.read_appended(spark, f"{base}/sink")
 
 
 def late_data_stream(spark: SparkSession, ticks: DataFrame, size: str = "1 hour") -> DataFrame:
-    """ST16: the oldest 1% of ticks arrive again after everything else.  With
-    a 1-hour watermark they are behind it, so the windowed aggregate drops
-    them; the result reports input, late and dropped counts from the
-    streaming progress and the rows the windows counted."""
+    """ST16: rows that arrive behind the watermark are left out of their
+    windows: rows read, rows the windows counted, and rows late (their
+    difference), with the drops that the progress reports at the stateful
+    operator (after partial aggregation)."""
     with utc(spark):
         base = rn.run_dir(spark, "late")
-        src = f"{base}/source"
-        rn.stage_files(ticks, src, "ts", 4)
-        cut = ticks.select(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), 0.01, 10000)).first()[0]
-        late = ticks.where(F.col("ts").cast("timestamp").cast("double") <= cut)
-        late.coalesce(1).write.mode("append").parquet(src)
-        s = rn.file_stream(spark, src, ticks.schema)
-        q = _ntz(mo.tick_window_metrics(_event_time(s), size), "window_start", "window_end")
+        q = _ntz(mo.tick_window_metrics(_event_time(ticks.where("ts IS NOT NULL")), size), "window_start", "window_end")
         query = rn.run(q, f"{base}/checkpoint", f"{base}/sink", "update")
         progress = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
         dropped = sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
                       for p in progress for op in p.get("stateOperators", []))
         rows_in = sum(int(p.get("numInputRows", 0)) for p in progress)
-    late_rows = late.count()
-    counted = rn.read_latest(spark, f"{base}/sink", ["stock_code", "window_start"]) \
-        .agg(F.sum("tick_count")).first()[0] or 0
-    # ``numRowsDroppedByWatermark`` counts rows at the stateful operator,
-    # i.e. after partial aggregation; the windows' tick counts show that
-    # every replayed row was left out (counted = input - late).
-    return spark.createDataFrame([(rows_in, late_rows, dropped, int(counted))],
-                                 "input_rows long, late_rows long, dropped_partial_rows long, counted_rows long")
-
-
-def price_change_stream(spark: SparkSession, ticks: DataFrame, size: str) -> DataFrame:
-    """ST2 live: tumbling window means per code, and in every micro-batch
-    the change of each updated window against the code's latest earlier
-    window already stored (``foreachBatch``: append the windows, join them
-    with the stored ones, append the changes).  Replayed batches write the
-    same rows; the result is the newest change row per (code, window)."""
+    counted = rn.read_latest(spark, f"{base}/sink", ["stock_code", "window_start"]).agg(F.sum("tick_count").alias("n"))
+    n = F.coalesce("n", F.lit(0)).cast("long")
+    return counted.select(F.lit(rows_in).cast("long").alias("input_rows"), n.alias("counted_rows"),
+                          (F.lit(rows_in) - n).cast("long").alias("late_rows"),
+                          F.lit(dropped).cast("long").alias("dropped_partial_rows"))
+
+
+def price_change_stream(spark: SparkSession, ticks: DataFrame, size: str, open_windows: int = 3) -> DataFrame:
+    """ST2 live: tumbling window means per code and the change of every window
+    against the code's window before it.
+
+    State between micro-batches is the newest ``open_windows`` windows of every
+    code (those that the watermark may still let change, and one before them),
+    never the history: a batch merges its updated windows into them and writes
+    the changes of all merged windows again, so a late update also renews the
+    window after it.  Batches write folders of their own and read the state
+    of the batch before, so a replay changes nothing."""
+    schema = "stock_code string, window_start timestamp_ntz, avg_price double, change_pct double"
     with utc(spark):
-        base, s = _stream(spark, ticks, "price_change")
-        wins, chg = f"{base}/windows", f"{base}/changes"
-        q = _ntz(mo.tick_window_metrics(_event_time(s), size), "window_start", "window_end") \
+        base = rn.run_dir(spark, "price_change")
+        q = _ntz(mo.tick_window_metrics(_event_time(ticks), size), "window_start", "window_end") \
             .select("stock_code", "window_start", "avg_price")
 
+        def state(epoch_id: int) -> str:
+            return f"{base}/state/{rn.BATCH}={epoch_id}"
+
         def write(batch: DataFrame, epoch_id: int) -> None:
-            cur = batch.withColumn("_batch", F.lit(epoch_id).cast("long"))
-            cur.write.mode("append").parquet(wins)
-            stored = rn.read_latest(spark, wins, ["stock_code", "window_start"])
-            prev = stored.select("stock_code", F.col("window_start").alias("prev_start"),
-                                 F.col("avg_price").alias("prev_avg"))
-            c, pv = cur.alias("c"), prev.alias("p")
-            j = c.join(pv, (F.col("c.stock_code") == F.col("p.stock_code"))
-                       & (F.col("p.prev_start") < F.col("c.window_start")), "left") \
-                 .select("c.stock_code", "c.window_start", "c.avg_price", "c._batch", "p.prev_start", "p.prev_avg")
-            best = j.groupBy("stock_code", "window_start", "avg_price", "_batch").agg(
-                F.max_by("prev_avg", "prev_start").alias("prev_avg"))
-            out = best.withColumn("change_pct", (F.col("avg_price") - F.col("prev_avg")) / F.col("prev_avg") * 100)
-            out.select("stock_code", "window_start", "avg_price", "change_pct", "_batch") \
-               .write.mode("append").parquet(chg)
-
-        w = q.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint") \
-            .trigger(availableNow=True).foreachBatch(write).start()
-        w.awaitTermination()
-        if w.exception() is not None:
-            raise RuntimeError(f"streaming query failed: {w.exception()}")
-    return rn.read_latest(spark, chg, ["stock_code", "window_start"])
+            held = spark.read.schema(schema).parquet(state(epoch_id - 1))
+            # The batch's version of a window replaces the state's.
+            merged = held.withColumn("_new", F.lit(0)).unionByName(
+                batch.withColumns({"change_pct": F.lit(None).cast("double"), "_new": F.lit(1)}))
+            latest = merged.groupBy("stock_code", "window_start").agg(
+                F.max_by(F.struct("avg_price", "change_pct"), "_new").alias("v")).select("stock_code", "window_start", "v.*")
+            w = Window.partitionBy("stock_code").orderBy("window_start")
+            prev = F.lag("avg_price").over(w)
+            out = latest.withColumn("_prev", prev).withColumn(
+                "change_pct", F.coalesce((F.col("avg_price") - F.col("_prev")) / F.col("_prev") * 100, "change_pct")).drop("_prev")
+            rn.batch_sink(f"{base}/changes")(out, epoch_id)
+            back = Window.partitionBy("stock_code").orderBy(F.desc("window_start"))
+            stored = spark.read.schema(schema).parquet(f"{base}/changes/{rn.BATCH}={epoch_id}")
+            stored.withColumn("_r", F.row_number().over(back)).where(F.col("_r") <= open_windows).drop("_r") \
+                .write.mode("overwrite").parquet(state(epoch_id))
+
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("overwrite").parquet(state(-1))
+        empty.write.mode("overwrite").parquet(f"{base}/changes/{rn.BATCH}=-1")
+        rn.run(q, f"{base}/checkpoint", f"{base}/changes", "update", write=write)
+    return rn.read_latest(spark, f"{base}/changes", ["stock_code", "window_start"])

@@ -1,14 +1,12 @@
-"""Structured Streaming plumbing: file sources staged from tables, sinks,
-and a runner that drives a query to the end of its input.
-
-* :func:`stage_files` writes a DataFrame as an ordered series of Parquet
-  files (event-time ranges), the way a landing folder fills up; the stream
-  reads it with ``maxFilesPerTrigger`` so every file is one micro-batch.
-* :func:`upsert_sink` is the ``foreachBatch`` sink for update-mode
-  aggregates: every micro-batch appends its changed rows tagged with the
-  batch id, and :func:`read_latest` keeps the newest version per key.  A
-  replayed batch (after a failure) appends identical rows, so the result
-  is still exactly-once.
+"""Structured Streaming plumbing: table streams, idempotent sinks, and a
+runner that drives a query to the end of its input.
+
+* :func:`table_stream` reads a given table as a stream (``availableNow`` takes
+  all its files; a long-lived deployment sets ``max_files``).
+* :func:`batch_sink` is the ``foreachBatch`` sink: every micro-batch overwrites
+  a folder of its own, so a replayed batch (after a failure) changes nothing.
+  :func:`read_latest` keeps the newest version per key of update-mode
+  aggregates, :func:`read_appended` all rows of append-mode ones.
 * Checkpoints and sink folders live under the session's checkpoint folder.
 """
 
@@ -21,27 +19,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources.tables import table
+
+BATCH = "batch_id"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"streams/{name}/{uuid.uuid4().hex[:12]}")
 
 
-def stage_files(df: DataFrame, path: str, ts_col: str, n_files: int = 4) -> None:
-    """Write ``df`` as ``n_files`` Parquet files of consecutive event-time
-    ranges, oldest first (boundaries from ``percentile_approx``)."""
-    probs = [i / n_files for i in range(1, n_files)]
-    cut = df.select(F.percentile_approx(F.col(ts_col).cast("timestamp").cast("double"), probs, 10000)).first()[0] \
-        if probs else []
-    edges = [None, *cut, None]
-    tsd = F.col(ts_col).cast("timestamp").cast("double")
-    for i in range(n_files):
-        cond = F.lit(True)
-        if edges[i] is not None:
-            cond = cond & (tsd > edges[i])
-        if edges[i + 1] is not None:
-            cond = cond & (tsd <= edges[i + 1])
-        df.where(cond).coalesce(1).write.mode("append").parquet(path)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """The table ``name`` as a stream of its Parquet files."""
+    known = table(spark, sf_dir, name)
+    reader = spark.readStream.schema(known.schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    base, files = sf_dir.rstrip("/"), known.inputFiles()
+    if len(files) == 1 and files[0].rsplit("/", 1)[-1] == f"{name}.parquet":
+        # A table of one file: streams read folders.
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
+    return reader.parquet(f"{base}/{name}.parquet")
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -49,20 +46,21 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
             .parquet(path))
 
 
-def upsert_sink(path: str) -> Callable[[DataFrame, int], None]:
+def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(epoch_id).cast("long")).write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={epoch_id}")
     return write
 
 
-def run(query_df: DataFrame, checkpoint: str, sink: str, mode: str = "update",
-        keys_for_upsert: bool = True) -> None:
-    """Run to the end of the available input (``availableNow``)."""
-    w = query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if keys_for_upsert:
-        q = w.foreachBatch(upsert_sink(sink)).start()
-    else:
-        q = w.format("parquet").option("path", sink).start()
+def run(query_df: DataFrame, checkpoint: str, sink: str, mode: str = "update", write=None):
+    """Run to the end of the available input (``availableNow``); ``write``
+    replaces the default sink.  An empty first version makes a stream without
+    input read back as an empty table."""
+    spark = query_df.sparkSession
+    if write is None:
+        spark.createDataFrame([], query_df.schema).write.mode("overwrite").parquet(f"{sink}/{BATCH}=-1")
+    q = (query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .foreachBatch(write or batch_sink(sink)).start())
     q.awaitTermination()
     err = q.exception()
     if err is not None:
@@ -70,21 +68,13 @@ def run(query_df: DataFrame, checkpoint: str, sink: str, mode: str = "update",
     return q
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame:
-    """Newest version per key of an upsert sink."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema)
-    cols = [c for c in df.columns if c not in keys and c != "_batch"]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("_v"))
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Newest version per key of an update-mode sink."""
+    df = spark.read.parquet(path)
+    cols = [c for c in df.columns if c not in keys and c != BATCH]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), BATCH).alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in cols])
 
 
-def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:
-        return spark.createDataFrame([], schema)
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BATCH)
