@@ -40,8 +40,8 @@ from .common import shuffle_partitions, ship_package, written
 LENGTH = 200
 TOKEN = 32
 SAMPLE_DOCS = 2000        # documents whose tokens give the splitters
-_PIECE = 2 << 20          # bytes of documents that a task cuts into runs at a time
-_GROUP_SUFFIXES = 1 << 20  # suffixes that a task sorts at a time (whole tokens)
+_PIECE = 1 << 20          # bytes of documents that a task cuts into runs at a time
+_GROUP_BYTES = 1 << 20    # bytes of runs whose suffixes a task sorts at a time (whole tokens)
 _MULT = 0x9E3779B97F4A7C15
 RUNS = "bucket int, token long, run long, doc long, start long, n int, copies int"
 
@@ -381,18 +381,18 @@ def _compare_neighbours(batches):
 
 def _whole_tokens(batches):
     """Columns of consecutive rows, cut between tokens, of about
-    ``_GROUP_SUFFIXES`` suffixes."""
+    ``_GROUP_BYTES`` bytes of runs."""
     names = ["token", "doc", "start", "n", "whole", "body"]
     held: dict[str, list] = {c: [] for c in names}
     size = 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in range(6))):
-            if size >= _GROUP_SUFFIXES and row[0] != held["token"][-1]:
+            if size >= _GROUP_BYTES and row[0] != held["token"][-1]:
                 yield held
                 held, size = {c: [] for c in names}, 0
             for c, v in zip(names, row):
                 held[c].append(v)
-            size += row[3]
+            size += len(row[5])
     if held["token"]:
         yield held
 
