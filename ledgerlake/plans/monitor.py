@@ -337,13 +337,19 @@ JOIN (SELECT user_id, sqrt(sum(score * score)) AS norm FROM m GROUP BY user_id)
 GROUP BY a.user_id, b.user_id"""
 
 
-@register("cf_similarity", with_ctes("SELECT user_a, user_b, round(similarity, 6) AS similarity FROM s",
-                                     **BEH_CTES, s=SIM_SQL))
+CF_NEIGHBOURS = 20
+
+
+@register("cf_similarity", with_ctes(f"""SELECT user_a, user_b, round(similarity, 6) AS similarity, CAST(k AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_a ORDER BY similarity DESC, user_b) AS k FROM s WHERE similarity > 0)
+  WHERE k <= {CF_NEIGHBOURS}""", **BEH_CTES, s=SIM_SQL))
 def cf_similarity(spark, sf_dir):
-    """J4 / B1 (live): user-user cosine over common items of the implicit
-    matrix (item self-join, pair budget checked first)."""
+    """J4 / B1 (live): the nearest users of every user by cosine over common
+    items of the implicit matrix (blocked products, no row per pair)."""
     m = mo.implicit_matrix(v_behaviour(spark, sf_dir))
-    return _r(rc.cosine_pairs(m, "user_id", "item_id", "score", "user_a", "user_b"), ["similarity"])
+    nb = rc.block_neighbours(m, "user_id", "item_id", "score", CF_NEIGHBOURS)
+    return nb.select(F.col("a").alias("user_a"), F.col("b").alias("user_b"), F.round("similarity", 6).alias("similarity"),
+                     F.col("k").alias("rank"))
 
 
 @register("cf_recommend", with_ctes("""SELECT user_id, item_id, round(score, 2) AS score, CAST(r AS INTEGER) AS rank FROM (

@@ -3,6 +3,7 @@ ties, nulls, all-null and constant columns, exact bin edges, unparseable
 dates, the log offset carry, the prior-baseline volume rule and friends."""
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ from ledgerlake.operators import scaling as sc
 from ledgerlake.operators import text as tx
 from ledgerlake.operators.ml import metrics as mt
 from ledgerlake.operators.pipeline import merge_config
-from ledgerlake.operators.recommend import PairBudgetExceeded, cosine_pairs
+from ledgerlake.operators.recommend import block_neighbours, cf_predict_pairs
 
 
 def rows(df, order=None):
@@ -149,13 +150,41 @@ def test_class_report_zero_division(spark):
     assert r[0.0].precision == 0.0 and r[1.0].recall == 0.0 and r[1.0].miss_rate == 1.0
 
 
-def test_cosine_pairs_symmetric_and_budget(spark):
-    m = spark.createDataFrame([(1, 1, 2.0), (1, 2, 1.0), (2, 1, 1.0), (3, 2, 4.0)], "u int, i int, s double")
-    p = {(r.user_a, r.user_b): r.similarity for r in cosine_pairs(m, "u", "i", "s").collect()}
-    assert all(math.isclose(v, p[(b, a)]) for (a, b), v in p.items())
-    assert math.isclose(p[(1, 2)], 2.0 / math.sqrt(5.0))
-    with pytest.raises(PairBudgetExceeded):
-        cosine_pairs(m, "u", "i", "s", budget=1).count()
+@pytest.mark.parametrize("block_users", [3, 7, 1024])
+def test_block_neighbours_match_all_pairs(spark, block_users):
+    rng = random.Random(4)
+    rows = sorted({(u, i): (u, i, float(rng.randint(1, 5))) for u in range(20) for i in range(12) if rng.random() < 0.35 or i == 0}.values())
+    m = spark.createDataFrame(rows + [(None, 1, 2.0), (3, None, 1.0), (99, 5, None)], "u int, i int, s double")
+    vec = {u: {i: s for x, i, s in rows if x == u} for u in {r[0] for r in rows}}
+    norm = {u: math.sqrt(sum(s * s for s in v.values())) for u, v in vec.items()}
+
+    def sim(a, b):
+        return sum(s * vec[b][i] for i, s in vec[a].items() if i in vec[b]) / (norm[a] * norm[b])
+
+    def best(a, cand, k):
+        x = sorted((-round(sim(a, b), 12), b) for b in cand if b != a and sim(a, b) > 0)
+        return [b for _, b in x[:k]]
+
+    got = {}
+    for r in block_neighbours(m, "u", "i", "s", 4, block_users=block_users).collect():
+        got.setdefault(r.a, {})[r.k] = r.b
+        assert math.isclose(r.similarity, sim(r.a, r.b))
+    assert {a: [b for _, b in sorted(v.items())] for a, v in got.items()} == {a: best(a, vec, 4) for a in vec if best(a, vec, 4)}
+    raters = {i: [u for u in vec if i in vec[u]] for i in range(12)}
+    want = {(u, i): best(u, raters[i], 3) for u in vec for i in range(12) if i not in vec[u] and best(u, raters[i], 3)}
+    for targets in ("all", spark.createDataFrame([(u, i) for u in vec for i in range(12) if i not in vec[u]] + [(None, 1), (500, 1)], "u int, i int")):
+        got = {}
+        for r in block_neighbours(m, "u", "i", "s", 3, targets, block_users).collect():
+            got.setdefault((r.a, r.target), {})[r.k] = r.b
+            assert r.rating == vec[r.b][r.target]
+        assert {k: [b for _, b in sorted(v.items())] for k, v in got.items()} == want
+
+
+def test_predictions_without_neighbours(spark):
+    tr = spark.createDataFrame([(1, 1, 4.0), (2, 2, 2.0)], "user_id int, item_id int, rating double")
+    te = spark.createDataFrame([(1, 2, 0.0), (9, 1, 0.0), (1, 9, 0.0)], "user_id int, item_id int, rating double")
+    got = {(r.user_id, r.item_id): r.prediction for r in cf_predict_pairs(tr, te).collect()}
+    assert got == {(1, 2): 2.0, (9, 1): 0.0, (1, 9): 0.0}
 
 
 def test_round_binary_matches_numpy(spark):
@@ -164,12 +193,3 @@ def test_round_binary_matches_numpy(spark):
     got = [r[0] for r in df.select(round_binary("x", 2)).collect()]
     exp = [math.floor(abs(v) * 100 + 0.5) / 100 * (1 if v >= 0 else -1) for v in vals]
     assert got == exp
-
-
-def test_late_rows_are_dropped(spark):
-    from ledgerlake.plans.views import v_tick
-    from ledgerlake.streaming.jobs import late_data_stream
-    from conftest import SF001
-    r = late_data_stream(spark, v_tick(spark, SF001)).first()
-    assert r.late_rows > 0 and r.dropped_partial_rows > 0
-    assert r.counted_rows == r.input_rows - r.late_rows
