@@ -27,7 +27,7 @@ SYMBOLS = b"#*$%&|<>"
 KEEP_FROM = 0.5           # calibrated probability of good quality
 MAX_LABELLED = 4000       # labelled rows used for training and calibration
 HELD_OUT_OF = 4           # one labelled row in so many calibrates
-HASH_BITS = 16
+HASH_BITS = 14            # buckets of a family; the gradient that training shuffles is 3 times this
 FAMILIES = 3              # word 1-grams, word 2-grams, character 4-grams
 SCALE = 30.0              # shares are small numbers; brings features to about 1
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -162,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Null labels, ids or texts are left out; an id with several labels counts
     with its smallest.  None if the training part lacks one of the classes."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.linalg import SparseVector, VectorUDT
     spark = docs.sparkSession
     ship_package(spark)
     h = F.xxhash64(F.col("id"), F.lit("quality"))
@@ -193,10 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     lr = LogisticRegression(maxIter=40, regParam=1e-4, standardization=False, aggregationDepth=2).fit(fit)
     weights, bias = lr.coefficients.toArray(), float(lr.intercept)
-    held = [(float(r.features.dot(lr.coefficients)) + bias, r.label) for r in sample.where("held").toLocalIterator()]
     slope, shift = 1.0, 0.0
-    if len({y for _, y in held}) == 2:
-        margin = spark.createDataFrame([(Vectors.dense(m), y) for m, y in held], ["features", "label"]).coalesce(1)
+    margin = written(lr.transform(sample.where("held")).select(
+        "label", array_to_vector(F.slice(vector_to_array("rawPrediction"), 2, 1)).alias("features")).coalesce(1), "quality-margins")
+    if margin.select("label").distinct().limit(2).count() == 2:
         platt = LogisticRegression(maxIter=50, regParam=1e-3).fit(margin)
         slope, shift = float(platt.coefficients[0]), float(platt.intercept)
     return QualityModel(weights, bias, slope, shift)
