@@ -6,6 +6,8 @@ over the same rows."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +69,14 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return tot.select((F.col("u") / (F.col("p") * F.col("q"))).alias("auc"))
 
 
+def roc_auc_ovr(df: DataFrame, label: str, scores: dict) -> float:
+    """C7 for several classes: mean over the classes of the one-vs-rest AUC;
+    ``scores`` maps a class to the column of its score (a few classes)."""
+    found = [roc_auc(df.select((F.col(label) == F.lit(c)).cast("int").alias("y"), F.col(s).alias("s")), "y", "s").first()["auc"]
+             for c, s in scores.items()]
+    return float(sum(found) / len(found))
+
+
 def regression_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """R2, RMSE, MAE, MAPE (fraction; rows with a zero label skipped)."""
     e = F.col(label) - F.col(pred)
@@ -131,25 +141,29 @@ def davies_bouldin(df: DataFrame, cluster: str, vec: str, dim: int) -> DataFrame
     return spark.createDataFrame([(float(sum(ratios) / len(ratios)),)], "davies_bouldin double")
 
 
-def silhouette_sampled(df: DataFrame, key: str, cluster: str, vec: str, dim: int, sample: int = 1000,
-                       seed: str = "42") -> DataFrame:
-    """Euclidean silhouette of up to ``sample`` points chosen by
-    md5(key || seed) (the same choice in any engine), each measured against
-    ALL points.  The sample (bounded by ``sample``) is inlined as a literal
-    array, every row computes its distances to it with ``transform`` and the
-    per-(sample point, cluster) means are one aggregate: sample x n work,
-    never n x n."""
-    xs = _vec_cols(dim, vec)
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
-    smp = df.select(key, cluster, vec).withColumn("_h", h).orderBy("_h", key).limit(sample).collect()
-    lit_s = F.array(*[F.struct(F.lit(r[key]).alias("k"), F.lit(r[cluster]).alias("c"),
-                               F.array(*[F.lit(float(v)) for v in r[vec]]).alias("v")) for r in smp])
-    dist = F.transform(lit_s, lambda s: F.struct(
-        s["k"].alias("sk"), s["c"].alias("sc"),
-        F.sqrt(sum((xs[i] - F.element_at(s["v"], i + 1)) ** 2 for i in range(dim))).alias("d")))
-    ex = df.select(F.col(key), F.col(cluster), F.explode(dist).alias("t")).where(F.col(key) != F.col("t.sk"))
-    per = ex.groupBy("t.sk", "t.sc", cluster).agg(F.avg("t.d").alias("md"))
-    ab = per.groupBy("sk").agg(F.max(F.when(F.col(cluster) == F.col("sc"), F.col("md"))).alias("a"),
-                               F.min(F.when(F.col(cluster) != F.col("sc"), F.col("md"))).alias("b"))
+def silhouette(df: DataFrame, key: str, cluster: str, vec: str) -> DataFrame:
+    """Mean Euclidean silhouette of all points, each against all others.
+
+    Pairs of point blocks return, per point and cluster, the sum of distances
+    and the number of points: rows grow with points x clusters x blocks, the
+    n x n distances stay inside the tasks."""
+    from .blocks import block_pairs
+    pts = df.select(F.col(key).alias("id"), F.transform(F.col(vec), lambda v: v.cast("double")).alias("x"), F.col(cluster).alias("c"))
+    kinds = dict(pts.dtypes)
+
+    def sums(a, b, d2, same):
+        out = []
+        d = np.sqrt(d2)
+        for x, y, m in [(a, b, d)] + ([] if same else [(b, a, d.T)]):
+            for c in y["c"].unique():
+                of = (y["c"] == c).to_numpy()
+                own = (x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None, of]).sum(axis=1)
+                out.append(pd.DataFrame({"id": x["id"], "own": x["c"], "c": c, "s": m[:, of].sum(axis=1), "n": of.sum() - own}))
+        return pd.concat(out)
+
+    per = block_pairs(pts, sums, f"id {kinds['id']}, own {kinds['c']}, c {kinds['c']}, s double, n long")
+    per = per.groupBy("id", "own", "c").agg((F.sum("s") / F.nullif(F.sum("n"), F.lit(0))).alias("md"))
+    ab = per.groupBy("id").agg(F.max(F.when(F.col("c") == F.col("own"), F.col("md"))).alias("a"),
+                               F.min(F.when(F.col("c") != F.col("own"), F.col("md"))).alias("b"))
     sil = F.when(F.col("a").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return ab.agg(F.avg(sil).alias("silhouette"), F.count(F.lit(1)).alias("sampled"))
+    return ab.agg(F.avg(sil).alias("silhouette"), F.count(F.lit(1)).alias("points"))

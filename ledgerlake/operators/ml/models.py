@@ -13,7 +13,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import (BucketedRandomProjectionLSH, PCA, StandardScaler, VectorAssembler)
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -21,8 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ...functions.ordered import dense_index, materialize, quantile_params
+from ..graph import connected_components
 from ..relational import top_k_per_group_split
-from .metrics import classification_metrics, regression_metrics
+from .blocks import BLOCK_POINTS, block_pairs
+from .metrics import calinski_harabasz, class_report, classification_metrics, regression_metrics
 
 SEED = 42
 
@@ -74,18 +77,23 @@ def scale_features(train: DataFrame, test: DataFrame, population: bool = True):
 
 
 # ---------------------------------------------------------- classification
-def classifiers(n_train: int) -> dict:
+def classifiers(n_train: int, weight: str | None = None, rf_depth: int = 10, gbt_depth: int = 6) -> dict:
     """C3-C5 with the reference's settings (C=1 logistic as regParam=1/n
     without internal standardisation, forest 100 x depth 10, boosting 100
-    rounds depth 6 rate 0.1)."""
-    return {
+    rounds depth 6 rate 0.1); ``weight`` names a row-weight column for the
+    logistic model and the forest (C12; the boosting case has none)."""
+    out = {
         "logistic_regression": LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=1000,
                                                   regParam=1.0 / max(n_train, 1), standardization=False),
         "random_forest": RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100,
-                                                maxDepth=10, seed=SEED),
-        "gbt": GBTClassifier(featuresCol="features", labelCol="label", maxIter=100, maxDepth=6, stepSize=0.1,
+                                                maxDepth=rf_depth, seed=SEED),
+        "gbt": GBTClassifier(featuresCol="features", labelCol="label", maxIter=100, maxDepth=gbt_depth, stepSize=0.1,
                              seed=SEED),
     }
+    if weight:
+        for name in ("logistic_regression", "random_forest"):
+            out[name].setWeightCol(weight)
+    return out
 
 
 class RFFSVM:
@@ -133,8 +141,8 @@ def evaluate(pred: DataFrame) -> DataFrame:
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame, d: int, which: Sequence[str] | None = None) -> DataFrame:
-    """Fit every model on the same cached frames, metrics ranked by F1."""
-    train, test = train.cache(), test.cache()
+    """Fit every model on the same stored frames, metrics ranked by F1."""
+    train, test = materialize(train), materialize(test)
     n = train.count()
     models = classifiers(n)
     rows = None
@@ -167,151 +175,237 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return c.withColumn("weight", F.lit(tot) / (F.lit(k) * F.col("n_c")))
 
 
+def with_class_weights(df: DataFrame, label: str = "label", out: str = "class_weight") -> DataFrame:
+    """``df`` with the balanced weight of each row's class (a row per class)."""
+    w = {r[label]: r["weight"] for r in class_weights(df, label).collect()}
+    table = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(float(v)))])
+    return df.withColumn(out, table[F.col(label)])
+
+
+def compare_for_recall(train: DataFrame, test: DataFrame, key: str, positive: float = 1.0, ratio: float = 0.5) -> DataFrame:
+    """C12-C15, the loan-default comparison: SMOTE on the train part only,
+    balanced class weights in the fit, forest depth 8 and boosting depth 4,
+    scores of the positive class on the untouched test part; the model of the
+    highest recall is the recommended one."""
+    synth = smote(train, key, "label", "features", positive, ratio)
+    whole = train.select(key, "label", "features").unionByName(synth.select(key, F.col("label").cast("double").alias("label"), "features"))
+    tr, te, _ = scale_features(materialize(with_class_weights(whole)), test.drop("scaled"))
+    tr = materialize(tr)
+    rows = None
+    for name, model in classifiers(tr.count(), "class_weight", 8, 4).items():
+        rep = class_report(model.fit(tr).transform(te)).where(F.col("cls") == positive)
+        one = rep.select(F.lit(name).alias("model"), F.col("recall").alias("recall_default"), F.col("precision").alias("precision_default"),
+                         F.col("f1").alias("f1_default"), "miss_rate", F.lit(whole.count()).alias("train_rows"))
+        rows = one if rows is None else rows.unionByName(one)
+    w = Window.orderBy(F.desc("recall_default"), "model")  # one row per model
+    return rows.withColumn("recommended", F.row_number().over(w) == 1)
+
+
 # ------------------------------------------------------------------ SMOTE
+def nearest_points(points: DataFrame, k: int) -> DataFrame:
+    """(p, q, dist, j): the ``k`` nearest other points of every point of
+    (id, x), exact, ties by smaller id; blocked, so no row per pair."""
+    kind = dict(points.dtypes)["id"]
+
+    def near(a, b, d2, same):
+        out = []
+        for x, y, d in [(a, b, d2)] + ([] if same else [(b, a, d2.T)]):
+            order_ids = np.argsort(y["id"].to_numpy(), kind="stable")
+            d = np.sqrt(d[:, order_ids])
+            ids = y["id"].to_numpy()[order_ids]
+            if same:
+                d = np.where(x["id"].to_numpy()[:, None] == ids[None, :], np.inf, d)
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]
+            val = np.take_along_axis(d, best, axis=1)
+            r, c = np.nonzero(np.isfinite(val))
+            out.append(pd.DataFrame({"p": x["id"].to_numpy()[r], "q": ids[best[r, c]], "dist": val[r, c]}))
+        return pd.concat(out)
+
+    pairs = block_pairs(points.select("id", "x"), near, f"p {kind}, q {kind}, dist double")
+    return top_k_per_group_split(pairs, ["p"], k, [F.col("dist"), F.col("q")], "j")
+
+
 def smote(df: DataFrame, key: str, label: str, vec: str, minority, ratio: float = 0.5, k: int = 5,
-          bucket_length: float | None = None, seed: int = SEED) -> DataFrame:
-    """C14: synthetic minority rows until minority = ratio x majority.
-    Neighbours: LSH self-join of the minority only (candidate pairs share a
-    bucket), exact top k per point by distance; synthetic row j of point p
-    interpolates towards neighbour j mod k by u = hash(seed, p, j)."""
-    mino = df.where(F.col(label) == minority).select(key, vec)
-    n_min = mino.count()
-    n_maj = df.where(F.col(label) != minority).count()
+          seed: int = SEED) -> DataFrame:
+    """C14: exactly as many synthetic minority rows as bring the minority to
+    ratio x majority.
+
+    Neighbours are the exact ``k`` nearest minority points (fewer if the minority
+    is smaller).  In a fixed order of the points, each gets the same number of
+    rows and the first ones one more for the remainder; row ``r`` of a point
+    goes towards neighbour ``r mod k`` by u = hash(seed, point, r).  New keys
+    follow the largest key of ``df``."""
+    mino = df.where((F.col(label) == minority) & F.col(key).isNotNull()).select(F.col(key).alias("p"), F.col(vec).alias("pv"))
+    sizes = df.agg(F.sum((F.col(label) == minority).cast("long")).alias("a"), F.sum((F.col(label) != minority).cast("long")).alias("b"),
+                   F.max(key).alias("top")).first()
+    n_min, n_maj = sizes["a"] or 0, sizes["b"] or 0
     need = int(ratio * n_maj) - n_min
     if need <= 0 or n_min < 2:
         return df.limit(0).select(key, label, vec)
-    if bucket_length is None:
-        # typical distance from a few hash-chosen pairs (bounded sample)
-        smp = np.array([r[vec].toArray() for r in mino.orderBy(hash_order(key, seed)).limit(64).collect()])
-        dd = np.sqrt(((smp[:, None, :] - smp[None, :, :]) ** 2).sum(-1))
-        bucket_length = float(np.median(dd[dd > 0])) if (dd > 0).any() else 1.0
-    lsh = BucketedRandomProjectionLSH(inputCol=vec, outputCol="_h", bucketLength=bucket_length, numHashTables=5,
-                                      seed=seed).fit(mino)
-    pairs = lsh.approxSimilarityJoin(mino, mino, threshold=float("inf"), distCol="dist") \
-        .select(F.col(f"datasetA.{key}").alias("p"), F.col(f"datasetB.{key}").alias("q"), "dist") \
-        .where(F.col("p") != F.col("q"))
-    nb = top_k_per_group_split(pairs, ["p"], k, [F.col("dist"), F.col("q")], "j")
-    per = int(math.ceil(need / n_min))
-    base = mino.select(F.col(key).alias("p"), F.col(vec).alias("pv"))
-    reps = base.select("p", F.explode(F.sequence(F.lit(0), F.lit(per - 1))).alias("r"))
-    reps = reps.withColumn("j", (F.col("r") % k) + 1)
-    cand = reps.join(nb, ["p", "j"]).join(base, "p").join(
-        mino.select(F.col(key).alias("q"), F.col(vec).alias("qv")), "q")
+    points = mino.select(F.col("p").alias("id"), vector_to_array("pv").alias("x"))
+    nb = nearest_points(points, k).select("p", "q", "j")
+    have = min(k, n_min - 1)
+    each, extra = divmod(need, n_min)
+    placed = dense_index(mino.select("p", hash_order("p", seed).alias("_h")), ["_h", "p"], "_i").drop("_h")
+    # Place of a point's first row: the rows of the points before it.
+    start = F.col("_i") * each + F.least("_i", F.lit(extra))
+    rows = placed.withColumn("_n", F.lit(each) + (F.col("_i") < extra).cast("int")).where("_n > 0")
+    rows = rows.select("p", start.alias("_start"), F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_n") - 1).cast("long"))).alias("r"))
+    rows = rows.withColumn("j", (F.col("r") % have + 1).cast("int"))
+    other = mino.select(F.col("p").alias("q"), F.col("pv").alias("qv"))
+    cand = rows.join(nb, ["p", "j"]).join(mino, "p").join(other, "q")
     u = (F.conv(F.substring(F.md5(F.concat_ws("#", F.lit(str(seed)), F.col("p").cast("string"),
                                               F.col("r").cast("string"))), 1, 8), 16, 10).cast("double")
          / float(16 ** 8))
     a, b = vector_to_array("pv"), vector_to_array("qv")
-    synth = cand.select((F.col("p") * 1000 + F.col("r")).alias(key), F.lit(minority).alias(label),
-                        array_to_vector(F.zip_with(a, b, lambda x, y: x + u * (y - x))).alias(vec),
-                        F.col("p"), F.col("r"))
-    return synth.orderBy("p", "r").limit(need).drop("p", "r")  # exactly `need` rows, deterministic order
+    return cand.select((F.lit(sizes["top"]) + 1 + F.col("_start") + F.col("r")).alias(key), F.lit(minority).alias(label),
+                       array_to_vector(F.zip_with(a, b, lambda x, y: x + u * (y - x))).alias(vec))
 
 
 # -------------------------------------------------------------- clustering
-def kmeans_best(df: DataFrame, k: int, n_init: int = 10, seed: int = SEED, col: str = "features"):
+N_INIT = 10
+
+
+def kmeans_best(df: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED, col: str = "features"):
     """G1: ``KMeans`` from n_init seeds, lowest training cost kept."""
-    df = df.cache()
-    best = None
-    for s in range(n_init):
-        m = KMeans(k=k, seed=seed + s, featuresCol=col, predictionCol="cluster").fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    df = df.persist()
+    try:
+        fits = (KMeans(k=k, seed=seed + s, featuresCol=col, predictionCol="cluster").fit(df) for s in range(n_init))
+        return min(fits, key=lambda m: m.summary.trainingCost)
+    finally:
+        df.unpersist()
 
 
 def silhouette_sq(pred: DataFrame, col: str = "features", cluster: str = "cluster") -> float:
     return ClusteringEvaluator(featuresCol=col, predictionCol=cluster).evaluate(pred)
 
 
-def kmeans_search(df: DataFrame, ks=range(2, 11), col: str = "features") -> list[tuple]:
-    """K 2..10 with inertia and (squared-distance) silhouette; D13:
-    the elbow is the largest second difference of inertia."""
-    df = df.cache()
-    rows = []
-    for k in ks:
-        m = KMeans(k=k, seed=SEED, featuresCol=col, predictionCol="cluster").fit(df)
-        rows.append((k, float(m.summary.trainingCost), float(silhouette_sq(m.transform(df), col))))
-    return rows
-
-
-def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, grid_dims: int = 2,
-           max_rounds: int = 50) -> DataFrame:
-    """Exact DBSCAN on joins.
-
-    * Candidate pairs: points keyed by the grid cell floor(x/eps) of their
-      first ``grid_dims`` coordinates; each point is copied to the 3^g
-      neighbouring cells, so every pair within eps meets in some cell; the
-      exact Euclidean distance then filters.
-    * Core points: at least ``min_samples`` neighbours within eps (self
-      included).
-    * Components: label = smallest core id, propagated over core-core edges
-      by repeated min-joins until nothing changes (lineage cut by checkpoint
-      every few rounds).
-    * Border points take the smallest label of a core neighbour; the rest
-      are noise (-1)."""
-    arr = vector_to_array(vec)
-    pts = df.select(F.col(key).alias("id"), arr.alias("x")).cache()
-    cell = F.array(*[F.floor(F.col("x")[i] / eps).cast("long") for i in range(grid_dims)])
-    own = pts.withColumn("cell", cell)
-    offsets = F.array(*[F.array(*[F.lit(int(o)) for o in off])
-                        for off in np.array(np.meshgrid(*[[-1, 0, 1]] * grid_dims)).T.reshape(-1, grid_dims)])
-    spread = own.select("id", "x", F.explode(offsets).alias("o"), "cell") \
-        .select("id", "x", F.zip_with("cell", "o", lambda c, o: c + o).alias("cell"))
-    a = own.select(F.col("id").alias("a"), F.col("x").alias("xa"), "cell")
-    b = spread.select(F.col("id").alias("b"), F.col("x").alias("xb"), "cell")
-    d2 = F.aggregate(F.zip_with("xa", "xb", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, t: s + t)
-    edges = a.join(b, "cell").where(d2 <= eps * eps).select("a", "b").distinct().cache()
-    deg = edges.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    core = deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
-    ce = edges.join(core.withColumnRenamed("id", "a"), "a").join(core.withColumnRenamed("id", "b"), "b")
-    labels = core.withColumn("label", F.col("id"))
-    for i in range(max_rounds):
-        nxt = ce.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b") \
-            .groupBy("a").agg(F.min("lb").alias("m"))
-        new = labels.join(nxt.withColumnRenamed("a", "id"), "id", "left") \
-            .select("id", F.least("label", F.coalesce("m", "label")).alias("label"))
-        new = new.checkpoint() if i % 3 == 2 else new.cache()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old")).count()
-        labels = new
-        if changed == 0:
-            break
-    border = edges.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b") \
-        .groupBy(F.col("a").alias("id")).agg(F.min("lb").alias("blabel"))
-    out = pts.select("id").join(labels, "id", "left").join(border, "id", "left") \
-        .select(F.col("id").alias(key), F.coalesce("label", "blabel", F.lit(-1)).cast("long").alias("cluster"))
-    return out
-
-
-def ward_two_stage(df: DataFrame, key: str, col: str, k: int, micro: int = 200, seed: int = SEED) -> DataFrame:
-    """``KMeans`` to ``micro`` micro-clusters, Ward agglomeration of
-    their weighted centroids (micro x micro, bounded by the parameter, not by
-    the data) on the driver, micro -> final map broadcast back."""
+def kmeans_search(df: DataFrame, ks=range(2, 11), col: str = "features", n_init: int = N_INIT) -> list[tuple]:
+    """(k, inertia, squared-distance silhouette, Calinski-Harabasz) for
+    every k, each the best of ``n_init`` starts; D13: the elbow is the largest
+    second difference of inertia."""
+    df = df.persist()
+    try:
+        arr = df.select(vector_to_array(col).alias("vec"), col)
+        dim = len(df.first()[col])
+        rows = []
+        for k in ks:
+            m = kmeans_best(df, k, n_init, col=col)
+            p = m.transform(arr)
+            ch = calinski_harabasz(p, "cluster", "vec", dim).first()[0]
+            rows.append((k, float(m.summary.trainingCost), float(silhouette_sq(p, col)), float(ch)))
+        return rows
+    finally:
+        df.unpersist()
+
+
+def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, block_points: int = BLOCK_POINTS) -> DataFrame:
+    """Exact DBSCAN over pairs of point blocks (:func:`block_pairs`; pairs
+    of blocks too far apart on the first coordinate are skipped).
+
+    * Core points: at least ``min_samples`` points within eps (self included);
+      tasks return counts per point.
+    * Clusters: tasks return a spanning forest of the core points they see, and
+      the components of all forests are the clusters, named by their smallest
+      core id; no round limit.
+    * Border points take the smallest label of a core neighbour; the rest are
+      noise (-1)."""
+    pts = materialize(df.select(F.col(key).cast("long").alias("id"), vector_to_array(vec).alias("x")))
+
+    def counts(a, b, d2, same):
+        near = d2 <= eps * eps
+        out = [pd.DataFrame({"id": a["id"], "n": near.sum(axis=1)})]
+        if not same:
+            out.append(pd.DataFrame({"id": b["id"], "n": near.sum(axis=0)}))
+        return pd.concat(out)
+
+    n = block_pairs(pts, counts, "id long, n long", eps, block_points).groupBy("id").agg(F.sum("n").alias("n"))
+    cores = materialize(pts.join(n, "id").where(F.col("n") >= min_samples).select("id", "x"))
+
+    def forest(a, b, d2, same):
+        ids = a["id"].to_numpy() if same else np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
+        r, c = np.nonzero(d2 <= eps * eps)
+        if not same:
+            c = c + len(a)
+        label = np.arange(len(ids))
+        while len(r):
+            lr, lc = label[r], label[c]
+            open_ = lr != lc
+            r, c, lr, lc = r[open_], c[open_], lr[open_], lc[open_]
+            np.minimum.at(label, np.maximum(lr, lc), np.minimum(lr, lc))
+            while (label[label] != label).any():
+                label = label[label]
+        child = np.flatnonzero(label != np.arange(len(ids)))
+        return pd.DataFrame({"a": ids[child], "b": ids[label[child]]})
+
+    cc = connected_components(block_pairs(cores, forest, "a long, b long", eps, block_points))
+    labels = materialize(cores.select("id").join(cc, F.col("id") == F.col("node"), "left").select(
+        "id", F.coalesce("component", "id").alias("label")))
+
+    def borders(a, b, d2, same):
+        near, out = d2 <= eps * eps, []
+        for x, y, m in [(a, b, near)] + ([] if same else [(b, a, near.T)]):
+            lab = np.where(y["label"].isna(), np.inf, y["label"].astype(float))
+            low = np.where(m, lab[None, :], np.inf).min(axis=1)
+            ok = np.isfinite(low) & x["label"].isna().to_numpy()
+            out.append(pd.DataFrame({"id": x["id"][ok], "label": low[ok].astype("int64")}))
+        return pd.concat(out)
+
+    told = pts.join(labels, "id", "left")
+    border = block_pairs(told, borders, "id long, label long", eps, block_points).groupBy("id").agg(F.min("label").alias("near"))
+    out = told.select("id", "label").join(border, "id", "left")
+    return out.select(F.col("id").alias(key), F.coalesce("label", "near", F.lit(-1)).cast("long").alias("cluster"))
+
+
+def ward_two_stage(df: DataFrame, key: str, col: str, k: int, micro: int = 1000, seed: int = SEED) -> DataFrame:
+    """``KMeans`` to at most ``micro`` cells, then Ward agglomeration of the
+    cells' weighted centroids (a micro x micro matrix, bounded by the
+    parameter, not by the data), and the map from cells to clusters back.
+    With no more points than cells every point is a cell: Ward of the points."""
     n = df.count()
-    m = KMeans(k=min(micro, n), seed=seed, featuresCol=col, predictionCol="micro").fit(df)
-    assigned = m.transform(df)
-    sizes = {r["micro"]: r["n"] for r in assigned.groupBy("micro").count().withColumnRenamed("count", "n").collect()}
-    C = {i: np.array(c) for i, c in enumerate(m.clusterCenters()) if i in sizes}
-    W = {i: float(sizes[i]) for i in C}
-    members = {i: [i] for i in C}
-    while len(C) > k:
-        ids = list(C)
-        best, pair = None, None
-        for ai in range(len(ids)):
-            for bi in range(ai + 1, len(ids)):
-                a, b = ids[ai], ids[bi]
-                cost = W[a] * W[b] / (W[a] + W[b]) * float(((C[a] - C[b]) ** 2).sum())
-                if best is None or cost < best:
-                    best, pair = cost, (a, b)
-        a, b = pair
-        C[a] = (W[a] * C[a] + W[b] * C[b]) / (W[a] + W[b])
-        W[a] += W[b]
-        members[a] += members.pop(b)
-        del C[b], W[b]
-    mapping = [(mi, ci) for ci, root in enumerate(sorted(members)) for mi in members[root]]
+    if n <= micro:
+        assigned = dense_index(df.select(key, col), [key], "micro").withColumn("micro", F.col("micro").cast("int"))
+        cells = [(r["micro"], 1.0, r[col].toArray()) for r in assigned.collect()]
+    else:
+        m = KMeans(k=micro, seed=seed, featuresCol=col, predictionCol="micro").fit(df)
+        assigned = m.transform(df).select(key, "micro")
+        size = {r["micro"]: float(r["n"]) for r in assigned.groupBy("micro").agg(F.count(F.lit(1)).alias("n")).collect()}
+        cells = [(i, size[i], np.array(c)) for i, c in enumerate(m.clusterCenters()) if i in size]
+    names = ward_labels(np.array([c for _, _, c in cells]).reshape(len(cells), -1), np.array([w for _, w, _ in cells]), k)
+    mapping = [(i, int(c)) for (i, _, _), c in zip(cells, names)]
     mp = df.sparkSession.createDataFrame(mapping, "micro int, cluster int")
     return assigned.join(F.broadcast(mp), "micro").select(key, "cluster")
 
 
+def ward_labels(points: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+    """Ward clusters 0 .. k-1 of weighted points: the pair of least merge cost
+    first (smallest indices on ties), costs kept up to date by the
+    Lance-Williams rule, one matrix row a merge."""
+    n = len(points)
+    if n == 0:
+        return np.zeros(0, dtype=int)
+    w = weights.astype(float).copy()
+    d = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1) * (w[:, None] * w[None, :] / (w[:, None] + w[None, :]))
+    d[np.tril_indices(n)] = np.inf      # row < column holds the pair
+    label = np.arange(n)
+    alive = np.ones(n, dtype=bool)
+    for _ in range(n - k):
+        i, j = divmod(int(d.argmin()), n)
+        others = np.flatnonzero(alive)
+        others = others[(others != i) & (others != j)]
+        di = np.where(others < i, d[others, i], d[i, others])
+        dj = np.where(others < j, d[others, j], d[j, others])
+        new = ((w[others] + w[i]) * di + (w[others] + w[j]) * dj - w[others] * d[i, j]) / (w[others] + w[i] + w[j])
+        low = others < i
+        d[others[low], i] = new[low]
+        d[i, others[~low]] = new[~low]
+        d[j, :] = d[:, j] = np.inf
+        alive[j] = False
+        w[i] += w[j]
+        label[label == j] = i
+    return np.unique(label, return_inverse=True)[1]
+
+
 def pca(df: DataFrame, col: str, k: int = 2):
     """Centred PCA (``PCA.transform`` does not subtract the mean)."""
     centred = StandardScaler(inputCol=col, outputCol="_c", withMean=True, withStd=False).fit(df).transform(df)
@@ -320,7 +414,7 @@ def pca(df: DataFrame, col: str, k: int = 2):
 
 
 # -------------------------------------------------------------- regression
-def regressors(alpha_ridge: float, alpha_lasso: float, std_y: float, n: int) -> dict:
+def regressors(alpha_ridge: float, alpha_lasso: float, std_y: float, n: int, gbt_depth: int = 5) -> dict:
     """OLS (normal equations), ridge (regParam = alpha*std(y)/n makes
     MLlib's objective equal sklearn's), lasso (regParam = alpha), boosted trees."""
     return {
@@ -329,17 +423,17 @@ def regressors(alpha_ridge: float, alpha_lasso: float, std_y: float, n: int) ->
                                   regParam=alpha_ridge * std_y / max(n, 1), standardization=False, solver="normal"),
         "lasso": LinearRegression(featuresCol="scaled", labelCol="label", elasticNetParam=1.0,
                                   regParam=alpha_lasso, standardization=False, maxIter=1000),
-        "gbdt": GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.1,
+        "gbdt": GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=gbt_depth, stepSize=0.1,
                              seed=SEED),
     }
 
 
 def compare_regressors(train: DataFrame, test: DataFrame, alpha_ridge=1.0, alpha_lasso=1.0,
-                       which: Sequence[str] | None = None) -> DataFrame:
-    """Every model on the same cached frames, ranked by R2."""
-    train, test = train.cache(), test.cache()
+                       which: Sequence[str] | None = None, gbt_depth: int = 5) -> DataFrame:
+    """Every model on the same stored frames, ranked by R2."""
+    train, test = materialize(train), materialize(test)
     st = train.agg(F.stddev_pop("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
-    models = regressors(alpha_ridge, alpha_lasso, st["s"], st["n"])
+    models = regressors(alpha_ridge, alpha_lasso, st["s"], st["n"], gbt_depth)
     rows = None
     for name in which or list(models):
         pred = models[name].fit(train).transform(test)
@@ -356,6 +450,21 @@ def als(ratings: DataFrame, rank: int = 10, max_iter: int = 20, reg: float = 0.1
                ratingCol="rating", coldStartStrategy="drop", seed=seed, nonnegative=False).fit(ratings)
 
 
+def recommend_by_name(model: str, ratings: DataFrame, n: int) -> DataFrame:
+    """(user_id, item_id, prediction, rank) by ``als``, ``user_cf`` or
+    ``item_cf``; the CF lists hold unrated items reachable through neighbours."""
+    if model == "als":
+        top = als(ratings).recommendForAllUsers(n)
+        return top.select("user_id", F.posexplode("recommendations").alias("rank", "r")).select(
+            "user_id", "r.item_id", F.col("r.rating").alias("prediction"), (F.col("rank") + 1).alias("rank"))
+    if model not in ("user_cf", "item_cf"):
+        raise ValueError(f"unknown recommender {model!r}")
+    from ..recommend import weighted_predictions
+    p = weighted_predictions(ratings, "all", model[:4], 20, "user_id", "item_id", "rating").select(
+        "user_id", "item_id", (F.col("_num") / F.col("_den")).alias("prediction"))
+    return top_k_per_group_split(p, ["user_id"], n, [F.desc("prediction"), F.col("item_id")], "rank")
+
+
 # -------------------------------------------------------- isolation forest
 def _c(n):
     return 2.0 * (math.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
@@ -368,30 +477,21 @@ def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], n_trees: int
     (n_trees x at most 2*sample nodes) is broadcast, every partition scores
     its rows with numpy (``mapInPandas``), and the worst ``contamination``
     share by score (a distributed quantile) gets -1."""
-    from ...functions.ordered import quantile_params
     from ..missing import fit_median
     med = fit_median(df, list(cols))
     x = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(med[c] if med[c] is not None else 0.0)).alias(c)
                          for c in cols])
     n = x.count()
 
-    def h(*parts):
-        return F.conv(F.substring(F.md5(F.concat_ws("#", F.lit(str(seed)), *parts)), 1, 8), 16, 10) \
-            .cast("double") / float(16 ** 8)
-    if n <= n_trees * sample:
-        # small input (fewer rows than n_trees * sample, so the fan-out is
-        # bounded): every tree draws its own sample
-        keep = min(1.0, 2.0 * sample / max(n, 1))
-        picked = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-        picked = picked.withColumn("_u", h(F.col("tree").cast("string"), F.col(key).cast("string"))) \
-                       .where(F.col("_u") < keep)
-    else:
-        # large input: one bounded hash sample (~2 * n_trees * sample rows,
-        # independent of n), each sampled row feeds one tree
-        frac = 2.0 * n_trees * sample / n
-        picked = x.withColumn("_u", h(F.lit("s"), F.col(key).cast("string"))).where(F.col("_u") < frac)
-        picked = picked.withColumn("tree", (F.floor(h(F.lit("t"), F.col(key).cast("string")) * n_trees))
-                                   .cast("int"))
+    # One rule at every size: a row is a candidate of each tree whose hash of
+    # it falls below the share that gives a tree about 2 * sample rows; the
+    # trees are chosen inside the row, before anything is multiplied.
+    share = min(1.0, 2.0 * sample / max(n, 1))
+
+    def h(tree):
+        return F.pmod(F.xxhash64(F.lit(seed), tree, F.col(key)), F.lit(1 << 31)) / float(1 << 31)
+    picked = x.withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: h(t) < share)))
+    picked = picked.withColumn("_u", h(F.col("tree")))
     w = Window.partitionBy("tree").orderBy("_u", key)  # per tree ~2*sample rows
     picked = picked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample).drop("_u", "_r")
     height = int(math.ceil(math.log2(max(sample, 2))))
@@ -451,6 +551,7 @@ def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], n_trees: int
                     depth = np.where(active, depth + 1, depth)
             s = np.power(2.0, -(total / len(trees)) / c_n)
             yield pd.DataFrame({key: pdf[key], "anomaly_score": s})
-    scored = x.mapInPandas(score, f"{key} {dict(x.dtypes)[key]}, anomaly_score double")
+    # Used by the quantile's passes and by the result: scored once.
+    scored = materialize(x.mapInPandas(score, f"{key} {dict(x.dtypes)[key]}, anomaly_score double"))
     cut = quantile_params(scored, ["anomaly_score"], [1 - contamination])["anomaly_score"][1 - contamination]
     return scored.withColumn("outlier", F.when(F.col("anomaly_score") > F.lit(cut), -1).otherwise(1))

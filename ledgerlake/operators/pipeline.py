@@ -71,14 +71,15 @@ def merge_config(user: dict | None) -> dict:
     return cfg
 
 
-def load_config(path: str) -> dict:
-    with open(path, encoding="utf-8") as fh:
-        return merge_config(json.load(fh))
+def load_config(spark: SparkSession, path: str) -> dict:
+    """A configuration saved as JSON, merged over the defaults."""
+    text = "".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())   # one small file
+    return merge_config(json.loads(text))
 
 
-def save_config(cfg: dict, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(cfg, fh, indent=2, ensure_ascii=False)
+def save_config(spark: SparkSession, cfg: dict, path: str) -> None:
+    text = json.dumps(cfg, indent=2, ensure_ascii=False)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 class PreprocessingPipeline:

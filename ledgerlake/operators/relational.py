@@ -24,25 +24,6 @@ def share_table(df: DataFrame, key, count_col: str = "count", pct_col: str = "pc
     return g
 
 
-def counts_desc(df: DataFrame, key: str, count_col: str = "count") -> DataFrame:
-    """Counter per key, most frequent first (ties by key)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col)).orderBy(F.desc(count_col), key)
-
-
-def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
-    """Global top-k: ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject,
-    i.e. a per-partition heap of k rows and one merge of k * partitions."""
-    return df.orderBy(*order).limit(k)
-
-
-def top_k_per_group(df: DataFrame, keys: Sequence[str], k: int, order: Sequence[Column],
-                    rank_col: str = "rank") -> DataFrame:
-    """Top-k rows per group via ``row_number``.  Callers aggregate first so a
-    group holds one row per candidate (bounded), not raw events."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
-
-
 def top_k_per_group_split(df: DataFrame, keys: Sequence[str], k: int, order: Sequence[Column],
                           rank_col: str = "rank", salts: int = 16) -> DataFrame:
     """Exact top-k per group that survives a hot group: rank first inside

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import DEFAULT_BLOCK_ROWS, blocked, dense_index, ewm_multi
+from ..functions.ordered import DEFAULT_BLOCK_ROWS, blocked, ewm_multi
+from .relational import top_k_per_group_split
 
 LAGS = [1, 2, 3, 5]
 ROLL = [5, 10, 20]
@@ -102,12 +103,9 @@ def technical_indicators(bars: DataFrame, key: str = "stock_code", order: Sequen
 
 
 def last_n_per_key(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
-    """W8 (batch): the last n rows of every key.  Position inside the key
-    comes from the dense index and the key's last position (a ``max``
-    aggregate), so a hot key needs no single-task window."""
-    ix = dense_index(df, [key, *order])
-    ends = ix.groupBy(key).agg(F.max("_idx").alias("_end"))
-    return ix.join(ends, key).where(F.col("_idx") > F.col("_end") - n).drop("_idx", "_end")
+    """W8 (batch): the last n rows of every key (ranked in parts of a key
+    first, so a hot key is many tasks' work)."""
+    return top_k_per_group_split(df, [key], n, [F.desc(o) for o in order], "_r").drop("_r")
 
 
 def window_change(df: DataFrame, key: str, ts: str, value: str, size: str) -> DataFrame:

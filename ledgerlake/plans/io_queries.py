@@ -27,29 +27,47 @@ def _docs(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text")
 
 
-@register("src_csv_encoding")
+# GBK has no accented Latin letters; a letter that it has stands for them.
+GBK_LETTER = "增"
+
+
+@register("src_csv_encoding", f"""SELECT doc_id, lang, source, n_chars,
+  CASE WHEN lang IN ('en', 'de') THEN text ELSE regexp_replace(text, '[^\x01-\x7F]', '{GBK_LETTER}', 'g') END AS text FROM documents""")
 def src_csv_encoding(spark, sf_dir):
-    """Documents written as CSV (two landing folders), read back with
-    per-file encoding detection; whole texts, multi-line fields."""
+    """Documents written as CSV in two landing folders, one of them in
+    GBK, read back with per-file encoding detection; whole texts,
+    multi-line fields."""
     base = _dir(spark, "csv_enc") + ".csv"
     d = _docs(spark, sf_dir)
     fl.write_csv(d.where(F.col("lang").isin("en", "de")), f"{base}/a")
-    d.where(~F.col("lang").isin("en", "de")).write.mode("overwrite").option("header", True) \
-        .option("escape", '"').option("encoding", "UTF-8").csv(f"{base}/b")
-    out = fl.load_csv(spark, f"{base}/*", schema=DOC_SCHEMA)
-    return out
+    gbk = d.where(~F.col("lang").isin("en", "de")).withColumn("text", F.regexp_replace("text", r"[^\x01-\x7F]", GBK_LETTER))
+    fl.write_csv(gbk, f"{base}/b")
+    as_gbk = fl.transcode(spark, fl.detect_encodings(spark, f"{base}/b"), "gbk")
+    folders = [f"{base}/a", *{p.rsplit("/", 1)[0] for p in as_gbk}]
+    out = [fl.load_csv(spark, p, schema=DOC_SCHEMA) for p in folders]
+    return out[0].unionByName(out[1]) if len(out) > 1 else out[0]
 
 
-@register("src_json_records")
-def src_json_records(spark, sf_dir):
-    """JSON files that each hold one array of records (pages of 100)."""
-    path = _dir(spark, "json_rec") + ".json"
+def _json_pages(spark, sf_dir, path):
+    """Pages of 100 documents: even pages an array a line, odd pages
+    pretty-printed, a file each."""
     d = _docs(spark, sf_dir).withColumn("_page", F.floor(F.col("doc_id") / 100))
-    fl.write_json_arrays(d, path, "_page")
-    return fl.load_json(spark, path, DOC_SCHEMA)
+    fl.write_json_arrays(d.where("_page % 2 = 0"), f"{path}/lines", "_page")
+    rows = F.collect_list(F.struct("doc_id", "lang", "source", "n_chars", "text"))
+    pretty = d.where("_page % 2 = 1").groupBy("_page").agg(F.to_json(rows, {"pretty": "true"}).alias("value"))
+    pretty.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/pretty")
+
+
+@register("src_json_records", "SELECT doc_id, lang, source, n_chars, text FROM documents")
+def src_json_records(spark, sf_dir):
+    """JSON arrays of records, some a line each, some pretty-printed."""
+    path = _dir(spark, "json_rec")
+    _json_pages(spark, sf_dir, path)
+    return fl.load_json(spark, f"{path}/*", DOC_SCHEMA)
 
 
-@register("src_auto_load")
+@register("src_auto_load", " UNION ALL ".join(
+    f"SELECT '{f}' AS format, count(*) AS rows, sum(n_chars)::BIGINT AS chars FROM documents" for f in ("parquet", "csv", "json")))
 def src_auto_load(spark, sf_dir):
     """S3: the same documents through the suffix dispatcher (parquet, csv,
     json); rows per format."""

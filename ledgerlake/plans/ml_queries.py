@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.expr import bins_right_closed
+from ..functions.ordered import materialize
 from ..operators.ml import metrics as mt
 from ..operators.ml import models as md
 from ..sources.tables import table
@@ -196,17 +197,46 @@ def class_weights(spark, sf_dir):
     return w.select("label", "n_c", F.round("weight", 6).alias("weight"))
 
 
+# Three classes with a fixed score each.
+_OVR = {0: "debt_income_ratio", 1: "credit_card_utilization", 2: "payment_income_ratio"}
+
+
+@register("clf_auc_ovr", _credit_sql("""
+lab AS (SELECT customer_id % 3 AS cls, * FROM f), per AS (""" + " UNION ALL ".join(
+    f"SELECT {c} AS k, coalesce({s}, 0) AS score, cls = {c} AS y FROM lab" for c, s in _OVR.items()) + """),
+g AS (SELECT k, score, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg FROM per GROUP BY k, score),
+b AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY k ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+SELECT round(avg(auc), 6) AS auc FROM (SELECT k, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM b GROUP BY k)"""))
+def clf_auc_ovr(spark, sf_dir):
+    """One-vs-rest AUC over three classes with fixed scores."""
+    df = credit_labelled(spark, sf_dir).withColumn("cls", F.pmod("customer_id", F.lit(3)))
+    df = materialize(df.select("cls", *_OVR.values()))
+    return spark.createDataFrame([(round(mt.roc_auc_ovr(df, "cls", _OVR), 6),)], "auc double")
+
+
+@register("clf_recall_first")
+def clf_recall_first(spark, sf_dir):
+    """SMOTE on the train part, balanced weights, depths 8 and 4,
+    recall of the defaulters, best model by recall."""
+    tr, te = credit_split(spark, sf_dir)
+    return md.compare_for_recall(materialize(tr), materialize(te), "customer_id")
+
+
 @register("credit_grades")
 def credit_grades(spark, sf_dir):
-    """Forest probability for every customer -> grades A-E (right-
-    closed bins) -> count and percent; the model is chosen on the train
-    split and scores all rows with a train/test flag (D14)."""
-    tr, te = credit_split(spark, sf_dir)
-    m = md.classifiers(tr.count())["random_forest"].fit(tr)
-    p = m.transform(tr.unionByName(te)).withColumn("p", vector_to_array("probability")[1])
-    g = p.select("split", bins_right_closed("p", GRADE_EDGES, GRADE_LABELS).alias("credit_grade"))
-    from ..operators.relational import share_table
-    return share_table(g, "credit_grade", "customers", "pct")
+    """Default probability of every customer by the model of the best F1
+    on the test part -> grades A-E (right-closed bins) -> count and percent
+    per grade and per part (D14: train and test rows are told apart)."""
+    tr, te = (materialize(x) for x in credit_split(spark, sf_dir))
+    models = md.classifiers(tr.count())
+    ranked = md.compare_classifiers(tr, te, len(CREDIT_FEATURES), list(models))
+    best = ranked.where(F.col("rank") == 1).first()["model"]
+    p = models[best].fit(tr).transform(tr.unionByName(te)).withColumn("p", vector_to_array("probability")[1])
+    g = p.groupBy("split", bins_right_closed("p", GRADE_EDGES, GRADE_LABELS).alias("credit_grade")).agg(
+        F.count(F.lit(1)).alias("customers"))
+    of = g.groupBy("split").agg(F.sum("customers").alias("_n"))
+    return g.join(of, "split").select(F.lit(best).alias("model"), "split", "credit_grade", "customers",
+                                      F.round(F.col("customers") * 100.0 / F.col("_n"), 2).alias("pct"))
 
 
 # ------------------------------------------------------------ clustering
@@ -223,18 +253,16 @@ def _dist_sql(a: str, b: str) -> str:
     return f"sqrt(list_sum(list_transform(range(1, {DIM + 1}), lambda i: ({a}[i]::DOUBLE - {b}[i]::DOUBLE) ** 2)))"
 
 
-@register("silhouette_sample", f"""
-WITH s AS (SELECT vec_id AS sk, label AS sc, embedding AS sv FROM embeddings
-           ORDER BY md5(CAST(vec_id AS VARCHAR) || '42'), vec_id LIMIT 1000),
+@register("silhouette", f"""
+WITH s AS (SELECT vec_id AS sk, label AS sc, embedding AS sv FROM embeddings),
 per AS (SELECT sk, sc, e.label, avg({_dist_sql('sv', 'e.embedding')}) AS md FROM s JOIN embeddings e ON e.vec_id <> s.sk
         GROUP BY sk, sc, e.label),
 ab AS (SELECT sk, max(CASE WHEN label = sc THEN md END) AS a, min(CASE WHEN label <> sc THEN md END) AS b FROM per GROUP BY sk)
-SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS sampled FROM ab""")
-def silhouette_sample(spark, sf_dir):
-    """Euclidean silhouette of the embedding labels, up to 1000 points
-    chosen by md5, each measured against all points."""
-    s = mt.silhouette_sampled(embeddings(spark, sf_dir), "vec_id", "label", "vec", DIM, 1000)
-    return s.select(F.round("silhouette", 6).alias("silhouette"), "sampled")
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS points FROM ab""")
+def silhouette(spark, sf_dir):
+    """Euclidean silhouette of the embedding labels over all points."""
+    s = mt.silhouette(embeddings(spark, sf_dir), "vec_id", "label", "vec")
+    return s.select(F.round("silhouette", 6).alias("silhouette"), "points")
 
 
 def _mean_sql(i):
@@ -270,7 +298,7 @@ def davies_bouldin(spark, sf_dir):
         .select(F.round("davies_bouldin", 6).alias("davies_bouldin"))
 
 
-PROFILE_DIMS = 4
+PROFILE_DIMS = DIM
 
 
 @register("cluster_profile", "SELECT label AS cluster, count(*) AS n, " + ", ".join(
@@ -323,7 +351,20 @@ def cluster_kmeans(spark, sf_dir):
 DBSCAN_EPS, DBSCAN_MIN = 1.2, 5
 
 
-@register("cluster_dbscan")
+# Recursive reachability from every core point; small tables only.
+DBSCAN_SQL = f"""
+WITH RECURSIVE near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b
+    ON list_sum(list_transform(range(1, {DIM + 1}), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2)) <= {DBSCAN_EPS ** 2}),
+core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {DBSCAN_MIN}),
+ce AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+reach AS (SELECT id, id AS label FROM core UNION SELECT ce.b, reach.label FROM reach JOIN ce ON ce.a = reach.id),
+lab AS (SELECT id, min(label) AS label FROM reach GROUP BY id),
+border AS (SELECT near.a AS id, min(lab.label) AS label FROM near JOIN lab ON lab.id = near.b GROUP BY near.a)
+SELECT e.vec_id, CAST(coalesce(lab.label, border.label, -1) AS BIGINT) AS cluster
+FROM embeddings e LEFT JOIN lab ON lab.id = e.vec_id LEFT JOIN border ON border.id = e.vec_id"""
+
+
+@register("cluster_dbscan", DBSCAN_SQL)
 def cluster_dbscan(spark, sf_dir):
     """Exact DBSCAN (eps 1.2, min 5 incl. self) on joins; noise -1."""
     return md.dbscan(embeddings(spark, sf_dir), "vec_id", "features", DBSCAN_EPS, DBSCAN_MIN)
@@ -331,39 +372,48 @@ def cluster_dbscan(spark, sf_dir):
 
 @register("cluster_ward")
 def cluster_ward(spark, sf_dir):
-    """Ward clustering (k = 10) via 200 micro-clusters."""
-    return md.ward_two_stage(embeddings(spark, sf_dir), "vec_id", "features", 10, 200)
+    """Ward clustering (k = 10); of the points themselves up to the
+    number of cells."""
+    return md.ward_two_stage(embeddings(spark, sf_dir), "vec_id", "features", 10)
 
 
 @register("kmeans_search")
 def kmeans_search(spark, sf_dir):
-    """Inertia and silhouette for k = 2..10; elbow = largest second
-    difference of inertia (D13)."""
+    """Inertia, silhouette and Calinski-Harabasz for k = 2..10, with the
+    choice of each criterion (elbow = largest second difference, D13)."""
     rows = md.kmeans_search(embeddings(spark, sf_dir))
     inertia = [r[1] for r in rows]
     second = [None] + [inertia[i - 1] - 2 * inertia[i] + inertia[i + 1] for i in range(1, len(rows) - 1)] + [None]
-    best = max((s, r[0]) for s, r in zip(second, rows) if s is not None)[1]
-    return spark.createDataFrame([(r[0], r[1], r[2], r[0] == best) for r in rows],
-                                 "k int, inertia double, silhouette double, elbow boolean")
+    elbow = max((s, r[0]) for s, r in zip(second, rows) if s is not None)[1]
+    by_sil, by_ch = max(rows, key=lambda r: r[2])[0], max(rows, key=lambda r: r[3])[0]
+    return spark.createDataFrame([(*r, r[0] == elbow, r[0] == by_sil, r[0] == by_ch) for r in rows],
+                                 "k int, inertia double, silhouette double, calinski_harabasz double, elbow boolean, "
+                                 "best_silhouette boolean, best_calinski boolean")
 
 
 @register("cluster_compare")
 def cluster_compare(spark, sf_dir):
-    """K-means, DBSCAN and Ward side by side: silhouette (squared
-    distance evaluator, noise excluded), cluster count, noise ratio."""
-    e = embeddings(spark, sf_dir).cache()
-    res = {"kmeans": md.kmeans_best(e, 10, 3).transform(e).select("vec_id", "cluster"),
+    """K-means, DBSCAN and Ward side by side: cluster count and sizes,
+    noise ratio, silhouette (squared-distance evaluator), Calinski-Harabasz
+    and Davies-Bouldin, noise excluded."""
+    e = embeddings(spark, sf_dir).persist()
+    res = {"kmeans": md.kmeans_best(e, 10).transform(e).select("vec_id", "cluster"),
            "dbscan": md.dbscan(e, "vec_id", "features", DBSCAN_EPS, DBSCAN_MIN),
-           "ward": md.ward_two_stage(e, "vec_id", "features", 10, 200)}
+           "ward": md.ward_two_stage(e, "vec_id", "features", 10)}
     rows = []
     for name, lab in res.items():
-        j = e.join(lab, "vec_id").withColumn("cluster", F.col("cluster").cast("int"))
-        n = j.count()
+        j = materialize(e.join(lab, "vec_id").select("vec", "features", F.col("cluster").cast("int").alias("cluster")))
         core = j.where(F.col("cluster") >= 0)
-        k = core.select("cluster").distinct().count()
-        sil = md.silhouette_sq(core, "features", "cluster") if k > 1 else None
-        rows.append((name, k, sil, (n - core.count()) / n if n else 0.0))
-    out = spark.createDataFrame(rows, "model string, clusters int, silhouette double, noise_ratio double")
+        sizes = sorted((r["n"] for r in core.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+        n, k = j.count(), len(sizes)
+        many = k > 1
+        rows.append((name, k, sizes, (n - sum(sizes)) / n if n else 0.0,
+                     md.silhouette_sq(core, "features", "cluster") if many else None,
+                     mt.calinski_harabasz(core, "cluster", "vec", DIM).first()[0] if many else None,
+                     mt.davies_bouldin(core, "cluster", "vec", DIM).first()[0] if many else None))
+    e.unpersist()
+    out = spark.createDataFrame(rows, "model string, clusters int, sizes array<long>, noise_ratio double, silhouette double, "
+                                      "calinski_harabasz double, davies_bouldin double")
     return out.orderBy(F.desc_nulls_last("silhouette"))
 
 
@@ -379,7 +429,7 @@ def pca2(spark, sf_dir):
 @register("smote")
 def smote(spark, sf_dir):
     """C14: synthetic rows for the minority label 0 until it is half the
-    majority (LSH neighbours, k = 5)."""
+    majority (exact neighbours, k = 5)."""
     e = embeddings(spark, sf_dir).withColumn("y", (F.col("label") == 0).cast("int"))
     out = md.smote(e, "vec_id", "y", "features", 1, 0.5, 5)
     return out.select("vec_id", "y", vector_to_array("features").alias("vec"))
@@ -389,8 +439,7 @@ def smote(spark, sf_dir):
 def outlier_iforest(spark, sf_dir):
     """Isolation forest (100 trees of 256 rows) over the loan frame."""
     v = v_loan(spark, sf_dir)
-    return md.isolation_forest(v, "_rid", ["income", "credit_score", "debt_ratio", "tax", "loan_amount"]) \
-        if False else md.isolation_forest(
+    return md.isolation_forest(
             v.withColumn("_rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")),
             "_rid", ["income", "credit_score", "debt_ratio", "tax", "loan_amount"])
 
@@ -408,10 +457,12 @@ def reg_linear(spark, sf_dir):
                                  "slope double, intercept double")
 
 
-STOCK_X = ["close_lag_1", "close_lag_2", "close_lag_3", "close_lag_5", "volume_lag_1", "volume_lag_2", "volume_lag_3",
-           "volume_lag_5", "close_ma_5", "close_ma_10", "close_ma_20", "close_std_5", "close_std_10", "close_std_20",
-           "volume_ma_5", "volume_ma_10", "volume_ma_20", "ma60", "rsi_14", "macd_dif", "macd_dea", "macd_hist",
-           "pct_change", "high_low_ratio", "close_open_ratio"]
+# The stock case's feature list (fixed values).
+STOCK_X = ["close", "volume", "close_lag_1", "close_lag_2", "close_lag_3", "close_lag_5", "volume_lag_1", "volume_lag_5",
+           "close_ma_5", "close_ma_10", "close_ma_20", "close_std_5", "close_std_10", "volume_ma_5", "volume_ma_10",
+           "ma5", "ma10", "ma20", "rsi_14", "macd_dif", "macd_dea", "macd_hist", "pct_change", "high_low_ratio",
+           "close_open_ratio"]
+STOCK_GBT_DEPTH = 4
 
 
 def stock_split(spark, sf_dir, test_frac: float = 0.2):
@@ -428,7 +479,7 @@ def stock_split(spark, sf_dir, test_frac: float = 0.2):
 
 def _reg(spark, sf_dir, which):
     tr, te = stock_split(spark, sf_dir)
-    return md.compare_regressors(tr, te, 1.0, 0.01, which)
+    return md.compare_regressors(tr, te, 1.0, 0.01, which, STOCK_GBT_DEPTH)
 
 
 @register("reg_ridge")
@@ -445,7 +496,7 @@ def reg_lasso(spark, sf_dir):
 
 @register("reg_gbt")
 def reg_gbt(spark, sf_dir):
-    """Boosted regression trees (100 rounds, depth 5, rate 0.1)."""
+    """Boosted regression trees (100 rounds, depth 4, rate 0.1)."""
     return _reg(spark, sf_dir, ["gbdt"])
 
 
@@ -457,11 +508,14 @@ def reg_compare(spark, sf_dir):
 
 @register("stock_forecast")
 def stock_forecast(spark, sf_dir):
-    """Next-close predictions of the linear model on the test dates."""
-    tr, te = stock_split(spark, sf_dir)
+    """Next-close predictions of every model on the test dates."""
+    tr, te = (materialize(x) for x in stock_split(spark, sf_dir))
     st = tr.agg(F.stddev_pop("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
-    m = md.regressors(1.0, 0.01, st["s"], st["n"])["linear"].fit(tr)
-    return m.transform(te).select("stock_code", "trade_date", "label", "prediction")
+    out = None
+    for name, model in md.regressors(1.0, 0.01, st["s"], st["n"], STOCK_GBT_DEPTH).items():
+        p = model.fit(tr).transform(te).select("stock_code", "trade_date", F.lit(name).alias("model"), "label", "prediction")
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 @register("reg_metrics", with_ctes("""SELECT round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2,
@@ -516,3 +570,11 @@ def rec_compare(spark, sf_dir):
         rows.append(mt.regression_metrics(q, "rating", "prediction").withColumn("model", F.lit(f"{kind}_cf")))
     out = rows[0].unionByName(rows[1]).unionByName(rows[2])
     return out.select("model", "rmse", "mae").orderBy("rmse")
+
+
+@register("rec_by_name")
+def rec_by_name(spark, sf_dir):
+    """Top 10 items per user by the model asked for (here ALS; ``user_cf``
+    and ``item_cf`` are ``cf_user_topn`` and ``cf_item_topn``)."""
+    r = v_rating(spark, sf_dir)
+    return md.recommend_by_name("als", r, 10)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..operators import features as fe
 from ..operators import missing as mv
 from ..operators import outliers as ol
 from ..operators import scaling as sc
-from ..operators.pipeline import PreprocessingPipeline
+from ..operators.pipeline import PreprocessingPipeline, load_config, merge_config, save_config
 from ..session import scratch_path
 from ..sources.tables import table
 from .registry import register
@@ -397,7 +399,7 @@ def params_roundtrip(spark, sf_dir):
     """Fitted parameters written as a JSON table, read back, applied."""
     df = _loan(spark, sf_dir)
     p = sc.fit_robust(df, OUT_COLS)
-    path = scratch_path(spark, f"params/robust_{abs(hash(sf_dir))}")
+    path = scratch_path(spark, f"params/robust_{uuid.uuid4().hex}")
     sc.save_params(spark, p, path)
     back = sc.load_params(spark, path)
     return _r(sc.transform(df, back).select(*KEYS, *OUT_COLS), OUT_COLS)
@@ -637,3 +639,14 @@ def pipeline_detect_only(spark, sf_dir):
     found = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(n).cast("long").alias("outliers"))
                                 for c, n in p.params["outlier"].items()]))
     return rows.select(found.alias("s"), "rows").select("s.*", "rows")
+
+
+@register("pipeline_config", _sql(f"SELECT {', '.join(LOAN_COLUMNS)} FROM v WHERE NOT (" + " OR ".join(
+    _z_sql(c, 3.0) for c in OUT_COLS) + ")"))
+def pipeline_config(spark, sf_dir):
+    """A user configuration merged over the defaults, saved, loaded and
+    run: rows beyond three standard deviations removed, nothing else."""
+    cfg = merge_config(_only(outlier={"method": "zscore", "action": "remove", "factor": 3.0, "columns": OUT_COLS}))
+    path = scratch_path(spark, f"params/pipeline_{uuid.uuid4().hex}")
+    save_config(spark, cfg, path)
+    return PreprocessingPipeline(load_config(spark, path), order=KEYS).run(_loan(spark, sf_dir))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,15 +52,38 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (Spark's own file distribution), once
+    per context, so that functions of its modules can run in tasks whatever
+    the folder the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerlake_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-pkg-"), "ledgerlake_pkg.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "ledgerlake")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._ledgerlake_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; only when it is unset
-    (tests, local runs) fall back to a fresh local folder."""
+    """Use the session's ``spark.checkpoint.dir``; only a local session without
+    one (tests) falls back to a fresh local folder, a cluster must name a
+    folder that the driver and all executors share."""
+    ship_package(spark)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         # already set: setting it again would nest a new sub-folder each time
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or None
     if d is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         log.warning("spark.checkpoint.dir is unset; using local %s (tests only)", d)
     spark.sparkContext.setCheckpointDir(d)

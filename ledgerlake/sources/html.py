@@ -1,22 +1,18 @@
 """HTML extraction over a table of raw pages.
 
-Links and titles are regular-expression projections (JVM, no Python);
-article bodies need element structure (first matching container, minus
-script / style / img), so they run a small stdlib ``html.parser`` helper
-per Arrow batch in ``mapInPandas``."""
+Links, titles and article bodies need element structure (quoting styles,
+upper case, tags inside anchors, elements over many lines), so they run a
+small ``html.parser`` helper per Arrow batch in ``mapInPandas``."""
 
 from __future__ import annotations
 
-import html as _html
 from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR = r'<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-
 # Fixed values of the crawler: ordered content selectors (first hit wins)
 # and ordered date selectors.
 CONTENT_SELECTORS = ["div.article-content", "div#artibody", "div.article", "div.content", "div#content",
@@ -24,53 +20,82 @@ CONTENT_SELECTORS = ["div.article-content", "div#artibody", "div.article", "div.
 DATE_SELECTORS = ["span.date", "span.time", "div.date", "time", "span.pub_time"]
 
 
-def strip_tags(c: Column) -> Column:
-    """Inner text of an HTML fragment: tags removed, entities decoded, trimmed."""
-    out = F.regexp_replace(c, "<[^>]*>", "")
-    for a, b in ENTITIES:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.trim(out)
+# The same for titles.
+TITLE_SELECTORS = ["h1", "title"]
 
 
-def strip_tags_sql(c: str) -> str:
-    out = f"regexp_replace({c}, '<[^>]*>', '', 'g')"
-    for a, b in ENTITIES:
-        b_sql = b.replace("'", "''")
-        out = f"replace({out}, '{a}', '{b_sql}')"
-    return f"trim({out})"
+class _Anchors(HTMLParser):
+    """(href, text) of every anchor in document order."""
 
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found, self.href, self.parts = [], None, []
 
-def resolve(href: Column, base_url: Column) -> Column:
-    """urljoin for the common cases: absolute http(s) kept, protocol-relative
-    and root-relative joined to the page origin, other relative paths to the
-    page directory; fragments, javascript: and mailto: dropped (null)."""
-    origin = F.regexp_extract(base_url, r"^(https?://[^/?#]+)", 1)
-    scheme = F.regexp_extract(base_url, r"^(https?):", 1)
-    dir_ = F.regexp_extract(base_url, r"^(https?://[^?#]*/)", 1)
-    return (F.when(href.rlike(r"^https?://"), href)
-             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-             .when(href.startswith("/"), F.concat(origin, href))
-             .when(href.rlike(r"^(#|javascript:|mailto:)") | (href == ""), F.lit(None))
-             .otherwise(F.concat(F.when(dir_ == "", F.concat(origin, F.lit("/"))).otherwise(dir_), href)))
+    def _close(self):
+        if self.href is not None:
+            self.found.append((self.href, "".join(self.parts).strip()))
+        self.href, self.parts = None, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self._close()           # anchors do not nest
+            self.href = dict(attrs).get("href")
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self._close()
+
+    def handle_data(self, data):
+        if self.href is not None:
+            self.parts.append(data)
+
+    def close(self):
+        super().close()
+        self._close()
+
+
+def page_links(html: str | None, base: str | None) -> list[tuple[int, str, str]]:
+    """(position among the anchors, text, absolute link) of the anchors with
+    text that lead to an http(s) address."""
+    p = _Anchors()
+    p.feed(html or "")
+    p.close()
+    out = []
+    for pos, (href, text) in enumerate(p.found):
+        href = href.strip()
+        if not text or not href or href.startswith("#"):
+            continue
+        try:
+            link = urljoin(base or "", href)
+        except ValueError:          # no valid address
+            continue
+        if link.startswith(("http://", "https://")):
+            out.append((pos, text, link))
+    return out
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Every anchor with non-empty text and an absolute http(s) link
-    after resolution; one row per (page, anchor position)."""
-    hrefs = F.regexp_extract_all("html", F.lit(ANCHOR), 1)
-    texts = F.regexp_extract_all("html", F.lit(ANCHOR), 2)
-    z = pages.select("page_id", "url", F.posexplode(F.arrays_zip(hrefs.alias("h"), texts.alias("t"))).alias("pos", "a"))
-    out = z.select("page_id", "pos", strip_tags(F.col("a.t")).alias("title"),
-                   resolve(F.col("a.h"), F.col("url")).alias("link"),
-                   F.regexp_extract("url", r"^https?://([^/?#:]+)", 1).alias("source"))
-    return out.where((F.col("title") != "") & F.col("link").startswith("http"))
+    """Every anchor with text and an absolute http(s) link after
+    resolution; one row per (page, anchor position)."""
+    find, split = page_links, urlsplit
+
+    def run(it):
+        for pdf in it:
+            rows = [(i, pos, text, link, split(url).hostname if url else None)
+                    for i, url, h in zip(pdf["page_id"], pdf["url"], pdf["html"]) for pos, text, link in find(h, url)]
+            yield pd.DataFrame(rows, columns=["page_id", "pos", "title", "link", "source"])
+    return pages.select("page_id", "url", "html").mapInPandas(
+        run, "page_id long, pos int, title string, link string, source string")
+
 
+def titles(pages: DataFrame, selectors=None) -> DataFrame:
+    """Text of the first of the ordered selectors that has any."""
+    chosen, first = list(selectors or TITLE_SELECTORS), first_match
 
-def titles(pages: DataFrame) -> DataFrame:
-    """Title selector list h1 then title, first non-empty wins."""
-    h1 = strip_tags(F.regexp_extract("html", r"<h1[^>]*>(.*?)</h1>", 1))
-    tt = strip_tags(F.regexp_extract("html", r"<title[^>]*>(.*?)</title>", 1))
-    return pages.select("page_id", F.when(h1 != "", h1).when(tt != "", tt).otherwise(F.lit(None)).alias("title"))
+    def run(it):
+        for pdf in it:
+            yield pd.DataFrame({"page_id": pdf["page_id"], "title": [first(h, chosen, "") for h in pdf["html"]]})
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, title string")
 
 
 class _Extractor(HTMLParser):
@@ -80,8 +105,9 @@ class _Extractor(HTMLParser):
     SKIP = {"script", "style", "img"}
     VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
 
-    def __init__(self, selectors):
+    def __init__(self, selectors, joiner="\n"):
         super().__init__(convert_charrefs=True)
+        self.joiner = joiner
         self.selectors = [self._parse(s) for s in selectors]
         self.found = {}
         self.stack = []        # (tag, [selector indexes opened here])
@@ -122,11 +148,22 @@ class _Extractor(HTMLParser):
             if t in self.SKIP:
                 self.skip -= 1
             for i in opened:
-                parts = [p.strip() for p in self.open.pop(i)]
-                self.found[i] = "\n".join(p for p in parts if p)
+                self._done(i)
             if t == tag:
                 break
 
+    def _done(self, i):
+        parts = self.open.pop(i)
+        if self.joiner:
+            self.found[i] = self.joiner.join(p.strip() for p in parts if p.strip())
+        else:
+            self.found[i] = "".join(parts).strip()
+
+    def close(self):
+        super().close()
+        for i in list(self.open):   # elements that the page leaves open
+            self._done(i)
+
     def handle_data(self, data):
         if self.skip:
             return
@@ -134,17 +171,13 @@ class _Extractor(HTMLParser):
             pieces.append(data)
 
 
-def first_match(html: str, selectors) -> str | None:
-    p = _Extractor(selectors)
-    try:
-        p.feed(html or "")
-        p.close()
-    except Exception:  # malformed pages: keep what was parsed
-        pass
-    for i in range(len(selectors)):
-        if p.found.get(i):
-            return p.found[i]
-    return None
+def first_match(html: str | None, selectors, joiner: str = "\n") -> str | None:
+    """Text of the first selector whose first element has any; its pieces
+    joined by ``joiner`` (as they stand if empty)."""
+    p = _Extractor(selectors, joiner)
+    p.feed(html or "")
+    p.close()
+    return next((p.found[i] for i in range(len(selectors)) if p.found.get(i)), None)
 
 
 def articles(pages: DataFrame, content_selectors=None, date_selectors=None) -> DataFrame:
@@ -152,14 +185,11 @@ def articles(pages: DataFrame, content_selectors=None, date_selectors=None) -> D
     list, ``article`` as the last resort) and publish date per page."""
     cs = list(content_selectors or CONTENT_SELECTORS) + ["article"]
     ds = list(date_selectors or DATE_SELECTORS)
+    first = first_match
 
     def run(it):
         for pdf in it:
             yield pd.DataFrame({"page_id": pdf["page_id"],
-                                "content": [first_match(h, cs) for h in pdf["html"]],
-                                "publish_time": [first_match(h, ds) for h in pdf["html"]]})
+                                "content": [first(h, cs) for h in pdf["html"]],
+                                "publish_time": [first(h, ds) for h in pdf["html"]]})
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, content string, publish_time string")
-
-
-def unescape(s: str) -> str:
-    return _html.unescape(s)

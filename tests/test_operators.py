@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.expr import bins_right_closed, clip, round_binary
@@ -18,8 +19,12 @@ from ledgerlake.operators import outliers as ol
 from ledgerlake.operators import scaling as sc
 from ledgerlake.operators import text as tx
 from ledgerlake.operators.ml import metrics as mt
+from ledgerlake.operators.ml import models as md
 from ledgerlake.operators.pipeline import merge_config
 from ledgerlake.operators.recommend import block_neighbours, cf_predict_pairs
+from ledgerlake.operators.stats import pairwise_corr
+from ledgerlake.sources import files as fl
+from ledgerlake.sources import html as hx
 
 
 def rows(df, order=None):
@@ -193,3 +198,153 @@ def test_round_binary_matches_numpy(spark):
     got = [r[0] for r in df.select(round_binary("x", 2)).collect()]
     exp = [math.floor(abs(v) * 100 + 0.5) / 100 * (1 if v >= 0 else -1) for v in vals]
     assert got == exp
+
+
+def _dbscan_brute(points, eps, least):
+    near = {i: [j for j in points if math.dist(points[i], points[j]) <= eps] for i in points}
+    core = {i for i in points if len(near[i]) >= least}
+    label = {}
+    for i in sorted(core):
+        if i in label:
+            continue
+        todo = [i]
+        while todo:
+            x = todo.pop()
+            if x not in label:
+                label[x] = i
+                todo += [y for y in near[x] if y in core]
+    return {i: label.get(i, min((label[j] for j in near[i] if j in core), default=-1)) for i in points}
+
+
+@pytest.mark.parametrize("block_points", [7, 1024])
+def test_dbscan_against_brute_force(spark, block_points):
+    rng = random.Random(6)
+    points = {i: (0.9 * i, 0.0) for i in range(120)}                       # one chain
+    points |= {200 + i: (rng.gauss(0, 3), 50 + rng.gauss(0, 3)) for i in range(60)}
+    points |= {300 + i: (5.0, 100.0 + 2 * i) for i in range(20)}           # same first coordinate, no neighbours
+    points |= {400 + i: (7.0, 200.0 + 0.01 * i) for i in range(25)}
+    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in points.items()], ["id", "v"])
+    for least in (2, 4):
+        got = {r.id: r.cluster for r in md.dbscan(df, "id", "v", 1.0, least, block_points).collect()}
+        assert got == _dbscan_brute(points, 1.0, least)
+
+
+def test_smote_rows_neighbours_and_keys(spark):
+    rng = random.Random(2)
+    rows = [(i, 1.0, [rng.random(), rng.random()]) for i in range(7)] + [(1000 + i, 0.0, [rng.random(), 5.0]) for i in range(53)]
+    df = spark.createDataFrame([(i, y, Vectors.dense(v)) for i, y, v in rows], ["id", "y", "v"])
+    for k in (3, 20):
+        out = md.smote(df, "id", "y", "v", 1.0, 0.5, k).collect()
+        assert len(out) == 26 - 7 and len({r.id for r in out}) == len(out)
+        assert min(r.id for r in out) > max(i for i, _, _ in rows) and {r.y for r in out} == {1.0}
+        few = {i: v for i, y, v in rows if y == 1.0}
+        for r in out:   # on a segment between a point and one of its nearest
+            assert any(abs(math.dist(few[a], r.v) + math.dist(r.v, few[b]) - math.dist(few[a], few[b])) < 1e-9
+                       for a in few for b in sorted((x for x in few if x != a), key=lambda x: math.dist(few[a], few[x]))[:k])
+    assert md.smote(df, "id", "y", "v", 1.0, 0.1).count() == 0
+
+
+def test_ward_labels_against_plain_agglomeration():
+    rng = np.random.default_rng(3)
+    pts = np.concatenate([rng.normal(c, 0.3, (9, 3)) for c in (0, 2, 5)])
+    for k in (1, 2, 3, 6):
+        clusters = [[i] for i in range(len(pts))]
+        while len(clusters) > k:
+            def cost(a, b):
+                ca, cb = pts[a].mean(0), pts[b].mean(0)
+                return len(a) * len(b) / (len(a) + len(b)) * ((ca - cb) ** 2).sum()
+            i, j = min(((i, j) for i in range(len(clusters)) for j in range(i + 1, len(clusters))),
+                       key=lambda p: cost(clusters[p[0]], clusters[p[1]]))
+            clusters[i] = clusters[i] + clusters.pop(j)
+        got = md.ward_labels(pts, np.ones(len(pts)), k)
+        assert {frozenset(np.flatnonzero(got == c).tolist()) for c in set(got)} == {frozenset(c) for c in clusters}
+
+
+def test_silhouette_of_all_points(spark):
+    rng = np.random.default_rng(5)
+    pts, lab = rng.normal(size=(40, 3)), rng.integers(0, 3, 40)
+    lab[0] = 9      # a cluster of one
+    d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
+    want = []
+    for i in range(40):
+        means = {c: d[i][(lab == c) & (np.arange(40) != i)] for c in set(lab)}
+        if not len(means[lab[i]]):
+            want.append(0.0)
+            continue
+        a, b = means[lab[i]].mean(), min(m.mean() for c, m in means.items() if c != lab[i] and len(m))
+        want.append((b - a) / max(a, b))
+    df = spark.createDataFrame([(i, int(c), p.tolist()) for i, (c, p) in enumerate(zip(lab, pts))], "id long, c int, v array<double>")
+    got = mt.silhouette(df, "id", "c", "v").first()
+    assert got.points == 40 and math.isclose(got.silhouette, np.mean(want), rel_tol=1e-9)
+
+
+def test_pairwise_corr_against_numpy(spark):
+    rng = random.Random(9)
+    cells = {(k, t): 1000 + rng.gauss(0, 1) for k in "abcdefg" for t in range(30) if rng.random() < 0.7}
+    cells |= {("const", t): 5.0 for t in range(30)} | {("once", 3): 1.0}
+    df = spark.createDataFrame([(k, t, v) for (k, t), v in cells.items()] + [("a", 99, None), (None, 1, 2.0)], "k string, t int, v double")
+    for block in (2, 512):
+        got = {(r.key_i, r.key_j): r.corr for r in pairwise_corr(df, "k", "t", "v", block).collect()}
+        keys = {k for k, _ in cells}
+        for a in keys:
+            for b in keys:
+                both = [t for t in range(30) if (a, t) in cells and (b, t) in cells]
+                x, y = [cells[a, t] for t in both], [cells[b, t] for t in both]
+                if len(both) > 1 and "const" not in (a, b):
+                    assert math.isclose(got[a, b], np.corrcoef(x, y)[0, 1], rel_tol=1e-6)
+                elif both:
+                    assert got[a, b] is None
+                else:
+                    assert (a, b) not in got
+
+
+def test_interpolation_methods_match_pandas(spark):
+    vals = [None, 1.0, None, None, 4.0, None, 8.0, float("nan"), None]
+    df = spark.createDataFrame(list(enumerate(vals)), "i int, x double")
+    s = pd.Series(vals, dtype=float)
+    want = {"linear": s.interpolate("linear"), "pad": s.ffill(), "bfill": s.bfill()}
+    for m, w in want.items():
+        got = [r.x for r in mv.fill_interpolate(df, ["i"], ["x"], method=m).orderBy("i").collect()]
+        assert [None if math.isnan(v) else v for v in w] == got, m
+    near = [r.x for r in mv.fill_interpolate(df, ["i"], ["x"], method="nearest").orderBy("i").collect()]
+    assert near == [None, 1.0, 1.0, 4.0, 4.0, 4.0, 8.0, None, None]
+    with pytest.raises(ValueError):
+        mv.fill_interpolate(df, ["i"], method="cubic")
+
+
+def test_html_links_titles_and_open_elements(spark):
+    html = """<A HREF='/a/../b'>One</A><a href="x?y">T<b>w</b>o
+    lines</a><a href=//h.org/p>Three</a><a name=q>no link</a><a href="#f">frag</a><a href="mailto:a@b">mail</a><a href="http://z/">  </a>
+    <h1 class=t>Big
+    <i>title</i> &amp; more</h1><div class="content">left <script>no</script>open"""
+    df = spark.createDataFrame([(1, "http://s.com/d/e.html", html), (2, None, None)], "page_id long, url string, html string")
+    got = {(r.pos, r.title.split()[0], r.link) for r in hx.links(df).collect()}
+    assert got == {(0, "One", "http://s.com/b"), (1, "Two", "http://s.com/d/x?y"), (2, "Three", "http://h.org/p")}
+    t = {r.page_id: r.title for r in hx.titles(df).collect()}
+    assert t[1].split() == ["Big", "title", "&", "more"] and t[2] is None
+    assert {r.title for r in hx.titles(df, ["div.content"]).collect() if r.title} == {"left open"}
+    assert hx.first_match(html, ["div.content"]) == "left\nopen"
+
+
+def test_encodings_and_json_layouts(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("id,t\n1,é增\n".encode("utf-8"))
+    (tmp_path / "b.csv").write_bytes("id,t\n2,增长\n".encode("gbk"))
+    (tmp_path / "c.csv").write_bytes("\ufeffid,t\n3,x\n".encode("utf-8"))
+    got = {r.id: r.t for r in fl.load_csv(spark, str(tmp_path), schema="id int, t string").collect()}
+    assert got == {1: "é增", 2: "增长", 3: "x"}
+    assert fl.first_encoding([b"\xc3", b"\xa9"], ["utf-8"]) == "utf-8" and fl.first_encoding([b"\xff"], ["utf-8"]) is None
+    j = tmp_path / "j"
+    j.mkdir()
+    (j / "1.json").write_text('[{"a":1},{"a":2}]\n[{"a":3}]\n')
+    (j / "2.json").write_text('\n[\n  {"a": 4},\n  {"a": 5}\n]\n')
+    assert sorted(r.a for r in fl.load_json(spark, str(j), "a int").collect()) == [1, 2, 3, 4, 5]
+    (j / "3.json").write_text("[{broken\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        fl.load_json(spark, str(j), "a int").collect()
+
+
+def test_longest_dictionary_match(spark):
+    df = spark.createDataFrame([("业绩大增长利空出尽的新能源超预期",)], "t string")
+    r = tx.analyse(df, "t", tx.FINANCE_ZH).first()
+    assert r.tokens == ["业绩大增", "利空出尽", "新能源", "超预期"]
+    assert tx.analyse(df.select(F.lit("增长超预期").alias("t")), "t", tx.FINANCE_ZH).first().tokens == ["增长超预期"]
