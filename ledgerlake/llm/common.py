@@ -1,37 +1,17 @@
 """Helpers shared by the training-data operators: written intermediate tables
-in the cluster's shared folder, file access from tasks, and shipping the
-package to the executors."""
+in the cluster's shared folder and file access from tasks."""
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package (Spark's own file distribution), once
-    per context, so that functions of its modules can run in tasks whatever
-    the folder the driver was started from."""
-    sc = spark.sparkContext
-    if getattr(sc, "_ledgerlake_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-pkg-"), "ledgerlake_pkg.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(os.path.join(root, "ledgerlake")):
-            for n in names:
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
-    sc._ledgerlake_shipped = True
+from ..session import ensure_checkpoint_dir, ship_package
+
+
+__all__ = ["scratch_dir", "ship_package", "shuffle_partitions", "task_fs", "written"]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components
 from .common import ship_package, written
-from .components import connected_components
 
 BITS = 64
 # Variants that a task writes out at a time (memory) and that a prefix holds
@@ -201,7 +201,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fps = written(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
                                "text", shingle).select("id", "fp"), "simhash-fp")
     reps = written(fps.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
-    cc = connected_components(linked_fingerprints(reps, "fp", max_distance))
+    cc = connected_components(linked_fingerprints(reps, "fp", max_distance), store=lambda e: written(e, "simhash-links"))
     rooted = reps.join(cc, reps.fp == cc.node, "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
