@@ -22,14 +22,17 @@ leading token, and its bytes hold all of them.
 3. Their bytes are range-partitioned by token in the same way; each bucket sorts
    their suffixes by multikey quicksort (ternary refinement by eight-byte
    characters) and compares neighbours to the full length.
+   A token with very many runs is no single task's work: its suffixes travel
+   one by one, keyed by a 128-bit hash of their bytes, and are counted.
 4. The spans found are merged per document and cut out.
 
-Runs are told apart by two 64-bit hashes (token and run); suffixes in step 3 by
-their bytes."""
+Runs are told apart by two 64-bit hashes (token and run), suffixes in step 3 by
+their bytes (by the 128-bit hash for tokens with very many runs)."""
 
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,6 +42,7 @@ from .common import shuffle_partitions, ship_package, written
 
 LENGTH = 200
 TOKEN = 32
+HOT_RUNS = 512            # differing runs of a token that one task sorts
 SAMPLE_DOCS = 2000        # documents whose tokens give the splitters
 _PIECE = 1 << 20          # bytes of documents that a task cuts into runs at a time
 _GROUP_BYTES = 1 << 20    # bytes of runs whose suffixes a task sorts at a time (whole tokens)
@@ -249,7 +253,7 @@ def _splitters(docs: DataFrame, parts: int, length: int, token: int) -> np.ndarr
     return np.unique(np.array(q, dtype=np.int64))
 
 
-def removable_spans(docs: DataFrame, length: int = LENGTH, token: int = TOKEN) -> DataFrame:
+def removable_spans(docs: DataFrame, length: int = LENGTH, token: int = TOKEN, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc, start, end): spans of bytes that occur elsewhere too, possibly
     overlapping; ``docs`` has unique ``doc`` (long) and ``text`` (binary)."""
     if not 0 < token <= length or length < 8:
@@ -284,30 +288,45 @@ def removable_spans(docs: DataFrame, length: int = LENGTH, token: int = TOKEN) -
 
     found = docs.select("doc", "text").mapInArrow(runs, RUNS)
     ranged = found.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("token", "run", "doc", "start")
-    kinds = "doc long, start long, n int, token long, whole boolean, compare boolean"
-    sorted_ = written(ranged.mapInArrow(_compare_neighbours, kinds), "suffix-runs")
+    kinds = "doc long, start long, n int, token long, whole boolean, compare boolean, hot boolean"
+    sorted_ = written(ranged.mapInArrow(partial(_compare_neighbours, hot_runs=hot_runs), kinds), "suffix-runs")
 
-    # Bytes of the runs that share their token with others.
+    # Bytes of the runs that share their token with others; of hot tokens, the
+    # hash of every suffix.
     wanted = (sorted_.where("compare").groupBy("doc")
-              .agg(F.collect_list(F.struct("start", "n", "token", "whole")).alias("runs")))
+              .agg(F.collect_list(F.struct("start", "n", "token", "whole", "hot")).alias("runs")))
     with_text = docs.join(wanted, "doc")
+    body_schema = "token long, doc long, start long, n int, whole boolean, body binary, h1 long, h2 long"
 
     def bodies(batches):
         import pyarrow as pa
+        import xxhash
+        digest = xxhash.xxh3_128_digest
+        types = [*[pa.int64()] * 3, pa.int32(), pa.bool_(), pa.binary(), pa.int64(), pa.int64()]
+        names = [x.split()[0] for x in body_schema.split(", ")]
         for batch in batches:
             rows = []
             for doc, text, of in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                text = text.as_py()
-                rows += [(x["token"], doc, x["start"], x["n"], x["whole"], text[x["start"]:x["start"] + x["n"] + length - 1])
-                         for x in of]
-            for i in range(0, len(rows), 4096):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows[i:i + 4096]), [pa.int64()] * 3 + [pa.int32(), pa.bool_(), pa.binary()])],
-                    names=["token", "doc", "start", "n", "whole", "body"])
+                text = memoryview(text.as_py())
+                for x in of:
+                    a, n = x["start"], x["n"]
+                    if not x["hot"]:
+                        rows.append((x["token"], doc, a, n, x["whole"], bytes(text[a:a + n + length - 1]), None, None))
+                    else:
+                        for i in range(a, a + n):
+                            h = digest(text[i:i + length])
+                            rows.append((x["token"], doc, i, 1, x["whole"], None, int.from_bytes(h[:8], "big", signed=True),
+                                         int.from_bytes(h[8:], "big", signed=True)))
+                    if len(rows) >= 4096:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
 
-    rows = with_text.select("doc", "text", "runs").mapInArrow(
-        bodies, "token long, doc long, start long, n int, whole boolean, body binary")
-    compared = rows.repartitionByRange("token").sortWithinPartitions("token")
+    # Stored: the range partitioning below reads it twice.
+    rows = written(with_text.select("doc", "text", "runs").mapInArrow(bodies, body_schema), "suffix-bodies")
+    compared = rows.where("body IS NOT NULL").select("token", "doc", "start", "n", "whole", "body").repartitionByRange(
+        "token").sortWithinPartitions("token")
 
     def quicksort(batches):
         import pyarrow as pa
@@ -322,28 +341,45 @@ def removable_spans(docs: DataFrame, length: int = LENGTH, token: int = TOKEN) -
                 [pa.array(np.asarray(rows["doc"], dtype=np.int64)[run]), pa.array(start + a), pa.array(start + e)],
                 names=["doc", "start", "end"])
 
-    partial = compared.mapInArrow(quicksort, "doc long, start long, end long")
+    spans = compared.mapInArrow(quicksort, "doc long, start long, end long")
+    hot = rows.where("body IS NULL")
+    twice = hot.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    spans = spans.unionByName(hot.where("not whole").join(twice, ["h1", "h2"], "left_semi").select(
+        "doc", "start", (F.col("start") + length).alias("end")))
     whole = sorted_.where("whole").select("doc", "start", (F.col("start") + F.col("n") + length - 1).alias("end"))
-    return whole.unionByName(partial)
+    return whole.unionByName(spans)
 
 
-def _compare_neighbours(batches):
+def _compare_neighbours(batches, hot_runs: int):
     """From runs sorted by (token, run): which are repeated as a whole, and of
-    which the bytes must be compared (one of each run, of tokens with several).
+    which the bytes must be compared (one of each run, of tokens with several;
+    ``hot`` if there are more than ``hot_runs``).
 
-    Holds one row back, whatever the size of a group: the last first-of-its-run
-    row of the token, with whether its run was repeated and its token shared."""
+    Holds at most ``hot_runs`` rows back, whatever the size of a group: the
+    first row of the current run, with whether it was repeated and its token
+    shared, and the token's rows to compare so far."""
     import pyarrow as pa
-    names = ["doc", "start", "n", "token", "whole", "compare"]
+    names = ["doc", "start", "n", "token", "whole", "compare", "hot"]
     held = None     # [doc, start, n, token, run, whole, token has several runs]
+    waiting: list[tuple] = []   # rows to compare of the current token
+    hot = False
 
     def batch_of(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    def close(rows):
-        if held is not None and (held[5] or held[6]):
-            rows.append((held[0], held[1], held[2], held[3], held[5], held[6]))
+    def close(rows, last_of_token):
+        nonlocal waiting, hot
+        if held is not None and held[6]:
+            waiting.append((held[0], held[1], held[2], held[3], held[5], True))
+        elif held is not None and held[5]:
+            rows.append((held[0], held[1], held[2], held[3], True, False, False))
+        hot = hot or len(waiting) > hot_runs
+        if hot or last_of_token:
+            rows += [(*w, hot) for w in waiting]
+            waiting = []
+        if last_of_token:
+            hot = False
 
     for batch in batches:
         t, r, doc, start, n, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(1, 7))
@@ -352,7 +388,7 @@ def _compare_neighbours(batches):
             k = int(settled.sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[settled]), pa.array(start[settled]), pa.array(n[settled]), pa.array(t[settled]),
-                 pa.array(np.ones(k, bool)), pa.array(np.zeros(k, bool))], names=names)
+                 pa.array(np.ones(k, bool)), pa.array(np.zeros(k, bool)), pa.array(np.zeros(k, bool))], names=names)
         t, r, doc, start, n, copies = (x[~settled] for x in (t, r, doc, start, n, copies))
         if not len(t):
             continue
@@ -364,17 +400,17 @@ def _compare_neighbours(batches):
                                     n[near].tolist(), copies[near].tolist()):
             if held is not None and held[3] == a and held[4] == b:
                 held[5] = True
-                rows.append((d, s, k, a, True, False))
+                rows.append((d, s, k, a, True, False, False))
                 continue
             shared = held is not None and held[3] == a
             if shared:
                 held[6] = True
-            close(rows)
+            close(rows, not shared)
             held = [d, s, k, a, b, c > 1, shared]
         if rows:
             yield batch_of(rows)
     rows = []
-    close(rows)
+    close(rows, True)
     if rows:
         yield batch_of(rows)
 
@@ -408,7 +444,7 @@ def _merge_spans(spans) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   token: int = TOKEN) -> DataFrame:
+                   token: int = TOKEN, hot_runs: int = HOT_RUNS) -> DataFrame:
     """A row per document: (id, n_bytes, n_removed, n_spans, kept_sha256, kept):
     ``kept`` is the text without its repeated bytes, as binary.
 
@@ -422,7 +458,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         numbered = written(source.select(F.col("doc").alias("id"), F.monotonically_increasing_id().alias("doc"), "text"),
                            "suffix-numbered")
         names, source = numbered.select(F.col("doc").alias("_doc"), F.col("id").alias("_id")), numbered.select("doc", "text")
-    spans = removable_spans(source, length, token).groupBy("doc").agg(
+    spans = removable_spans(source, length, token, hot_runs).groupBy("doc").agg(
         F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = source.join(spans, "doc", "left")
 

@@ -72,7 +72,10 @@ def corpus(seed, n=60):
 def test_random_corpora(spark, seed, length, token):
     rows = corpus(seed)
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n int, token string").repartition(5)
-    assert got(suffix.remove_repeats(df, length=length, token=token)) == brute(rows, length)
+    want = brute(rows, length)
+    assert got(suffix.remove_repeats(df, length=length, token=token)) == want
+    # Every token hot, or those with more than three runs.
+    assert got(suffix.remove_repeats(df, length=length, token=token, hot_runs=seed % 2 * 3)) == want
 
 
 def test_pieces_do_not_change_the_result(spark, monkeypatch):
