@@ -30,9 +30,7 @@ it:
 
 from __future__ import annotations
 
-import logging
 import math
-import time
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -41,7 +39,6 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-_log = logging.getLogger(__name__)
 _LOCAL_MASK = (1 << 33) - 1  # monotonically_increasing_id = pid << 33 | row
 DEFAULT_BLOCK_ROWS = 1 << 20
 # Largest number of distinct (group, column, value) entries for which the
@@ -145,21 +142,55 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 BRACKET_ACCURACY = 10000
-BRACKET_LIMIT = 200_000  # values collected per (column, probability)
+BRACKET_LIMIT = 20_000  # values collected per (column, probability)
+
+
+class _Bracket:
+    """A quantile in the making: the ranks it needs, those already known, and
+    two values between which the others lie."""
+
+    def __init__(self, col: str, pos: float, lo: float, hi: float, ends: tuple[float, float]):
+        self.col, self.pos, self.ends = col, pos, ends
+        self.known: dict[int, float | None] = {int(math.floor(pos)): None, int(math.ceil(pos)): None}
+        self.lo, self.hi, self.slack = lo, hi, 1
+        self.before = self.inside = 0     # values up to lo, values strictly between
+
+    @property
+    def open(self) -> list[int]:
+        return [r for r, v in self.known.items() if v is None]
+
+    def value(self) -> float:
+        lo, hi = self.known[int(math.floor(self.pos))], self.known[int(math.ceil(self.pos))]
+        return lo + (self.pos - math.floor(self.pos)) * (hi - lo)
+
+    def counted(self, below: int, at_lo: int, between: int, at_hi: int) -> None:
+        """Settle the ranks that fall on an end; ends that miss a rank give way
+        to the column's extremes."""
+        self.before, self.inside = below + at_lo, between
+        end = self.before + between + (at_hi if self.hi > self.lo else 0)
+        if any(not below <= r < end for r in self.open):
+            self.lo, self.hi = self.ends
+            self.inside, self.slack = None, self.slack * 4   # room for error next time
+            return
+        for r in self.open:
+            if r < self.before:
+                self.known[r] = self.lo
+            elif r >= self.before + between:
+                self.known[r] = self.hi
 
 
 def quantile_params(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     approx: bool = False) -> dict[str, dict[float, float]]:
     """Global quantiles as a driver-side parameter dict {col: {p: value}}.
 
-    Exact by bracketing: pass 1 is one aggregate with a count and a
-    low-accuracy ``percentile_approx`` at p -/+ 2/A per column (its rank
-    error is at most n/A, so the two values enclose the ranks floor/ceil of
-    p*(n-1)); pass 2 is one aggregate that counts the values below each
-    bracket and collects the values inside it (about 4n/A of them, checked
-    against ``BRACKET_LIMIT``); the interpolation runs on those.  A column
-    whose bracket is too wide, or whose ranks fall outside it, goes to the
-    distributed rank selection of :func:`exact_quantiles` instead."""
+    Exact by narrowing brackets, whatever the size: pass 1 is one aggregate
+    with a count and a low-accuracy ``percentile_approx`` at p -/+ 2/A per
+    column, which enclose the ranks floor/ceil of p*(n-1).  Then, for all
+    quantiles still open at once, a pass counts the values below, at and
+    between the ends of their brackets: ranks on an end are known (ties cost
+    nothing).  Brackets with at most ``BRACKET_LIMIT`` values between are
+    collected; wider ones are narrowed by another approximate pass over their
+    inside, which leaves about 4/A of it.  Rows are never sorted or stored."""
     probs = [float(p) for p in probs]
     out: dict[str, dict[float, float]] = {c: {} for c in cols}
     if approx:
@@ -172,68 +203,47 @@ def quantile_params(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     val = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(val[c]).alias(f"n{i}"),
+        aggs += [F.count(val[c]).alias(f"n{i}"), F.min(val[c]).alias(f"a{i}"), F.max(val[c]).alias(f"z{i}"),
                  F.percentile_approx(val[c], F.array(*[F.lit(x) for x in ext]), a).alias(f"q{i}")]
-    _t = time.time()
     row = df.agg(*aggs).first()
-    _log.debug("quantile pass 1: %.2fs", time.time() - _t)
-    plan, slow = {}, []
+    todo: dict[tuple, _Bracket] = {}
     for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        if not n:
-            continue
-        qv = dict(zip(ext, row[f"q{i}"]))
-        if 4.0 * n / a > BRACKET_LIMIT:
-            slow.append(c)
-            continue
-        for p in probs:
-            lo = qv[min(1.0, max(0.0, p - eps))]
-            hi = qv[min(1.0, max(0.0, p + eps))]
-            plan[(c, p)] = (n, lo, hi)
-    if plan:
-        # pass 2 (codegen'd counts): values below and inside each bracket
-        aggs2 = []
-        for j, ((c, p), (n, lo, hi)) in enumerate(plan.items()):
-            aggs2 += [F.count(F.when(val[c] < F.lit(lo), 1)).alias(f"b{j}"),
-                      F.count(F.when(val[c].between(lo, hi), 1)).alias(f"k{j}")]
-        _t = time.time()
-        cnt = df.agg(*aggs2).first()
-        _log.debug("quantile pass 2: %.2fs", time.time() - _t)
-        need, done = {}, {}
-        for j, ((c, p), (n, lo, hi)) in enumerate(plan.items()):
-            pos = p * (n - 1)
-            lo_i, hi_i = int(math.floor(pos)), int(math.ceil(pos))
-            below, inside = cnt[f"b{j}"], cnt[f"k{j}"]
-            if not (below <= lo_i and hi_i < below + inside):
-                slow.append(c)
-            elif lo == hi:          # tied bracket: both ranks hold this value
-                done[(c, p)] = lo
-            elif inside > BRACKET_LIMIT:
-                slow.append(c)
-            else:
-                need[(c, p)] = (lo, hi, below, pos, lo_i, hi_i)
-        if need:
-            # pass 3: the values of the open brackets (sizes counted above,
-            # each at most BRACKET_LIMIT)
-            _t = time.time()
-            keys = list(need)
-            row3 = df.agg(*[F.collect_list(F.when(val[c].between(need[(c, p)][0], need[(c, p)][1]), val[c]))
-                            .alias(f"v{j}") for j, (c, p) in enumerate(keys)]).first()
-            _log.debug("quantile pass 3: %.2fs", time.time() - _t)
-            for j, (c, p) in enumerate(keys):
-                lo, hi, below, pos, lo_i, hi_i = need[(c, p)]
-                vals = sorted(row3[f"v{j}"])
-                vl, vh = vals[lo_i - below], vals[hi_i - below]
-                done[(c, p)] = vl + (pos - lo_i) * (vh - vl)
-        for (c, p), v in done.items():
-            if c not in slow:
-                out[c][p] = v
-    slow = sorted(set(slow))
-    if slow:
-        for c in slow:
-            out[c] = {}
-        for r in exact_quantiles(df, slow, probs, map_limit=0).collect():
-            out[r["column"]][float(r["prob"])] = r["value"]
+        if row[f"n{i}"]:
+            qv = dict(zip(ext, row[f"q{i}"]))
+            for p in probs:
+                todo[c, p] = _Bracket(c, p * (row[f"n{i}"] - 1), qv[min(1.0, max(0.0, p - eps))],
+                                      qv[min(1.0, max(0.0, p + eps))], (row[f"a{i}"], row[f"z{i}"]))
+    done = dict(todo)
+    while todo:
+        aggs = []
+        for j, b in enumerate(todo.values()):
+            v = val[b.col]
+            for name, cond in (("b", v < b.lo), ("l", v == b.lo), ("m", (v > b.lo) & (v < b.hi)), ("h", v == b.hi)):
+                aggs.append(F.count(F.when(cond, 1)).alias(f"{name}{j}"))
+        cnt = df.agg(*aggs).first()
+        for j, b in enumerate(todo.values()):
+            b.counted(cnt[f"b{j}"], cnt[f"l{j}"], cnt[f"m{j}"], cnt[f"h{j}"])
+        todo = {k: b for k, b in todo.items() if b.open}
+        small = [b for b in todo.values() if b.inside is not None and b.inside <= BRACKET_LIMIT]
+        wide = [b for b in todo.values() if b.inside is not None and b.inside > BRACKET_LIMIT]
+        aggs = [F.collect_list(F.when((val[b.col] > b.lo) & (val[b.col] < b.hi), val[b.col])).alias(f"v{j}")
+                for j, b in enumerate(small)]
+        for j, b in enumerate(wide):
+            at = [(r - b.before) / b.inside for r in b.open]
+            ends = [max(0.0, min(at) - eps * b.slack), min(1.0, max(at) + eps * b.slack)]
+            inside = F.when((val[b.col] > b.lo) & (val[b.col] < b.hi), val[b.col])
+            aggs.append(F.percentile_approx(inside, F.array(*[F.lit(x) for x in ends]), a).alias(f"w{j}"))
+        if aggs:
+            got = df.agg(*aggs).first()
+            for j, b in enumerate(small):
+                vals = sorted(got[f"v{j}"])
+                for r in b.open:
+                    b.known[r] = vals[r - b.before]
+            for j, b in enumerate(wide):
+                b.lo, b.hi = got[f"w{j}"]
+        todo = {k: b for k, b in todo.items() if b.open}
+    for (c, p), b in done.items():
+        out[c][p] = b.value()
     return out
 
 

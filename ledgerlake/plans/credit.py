@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import bins_right_closed, bins_right_closed_sql, clip
-from ..functions.ordered import quantile_params
+from ..functions.ordered import materialize, quantile_params
 from ..operators.relational import share_table
 from .registry import register
 from .views import (V_CREDIT_LOAN_SQL, V_CREDIT_SQL, V_CUSTOMER_SQL, v_credit, v_credit_loan,
@@ -72,8 +72,11 @@ def credit_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_risk_label(df: DataFrame, q: float | None = None) -> tuple[DataFrame, float]:
-    """label = score above its 30% quantile (exact, distributed)."""
+    """label = score above its 30% quantile (exact, distributed).  The
+    joined frame (a row per customer) is stored before: the quantile's passes
+    and the result would each join it anew."""
     if q is None:
+        df = materialize(df)
         q = quantile_params(df, ["risk_score"], [LABEL_QUANTILE])["risk_score"][LABEL_QUANTILE]
     lab = F.when(F.col("risk_score") > F.lit(q), 1).otherwise(0)
     return df.withColumn("default_label", lab), q

@@ -85,15 +85,16 @@ def test_ewm_exact(spark, frame, alpha):
     assert np.abs(out["ewm"].values - exp.values).max() < 1e-9
 
 
-@pytest.mark.parametrize("limit", [None, 1])
-def test_quantile_params_bracket_and_fallback(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit,accuracy", [(None, None), (1, 10000), (0, 20), (30, 100)])
+def test_quantile_params_narrow_their_brackets(spark, monkeypatch, limit, accuracy):
     rng = np.random.RandomState(11)
     n = 20000
     pdf = pd.DataFrame({"cont": rng.randn(n) * 100, "tied": rng.randint(0, 5, n).astype(float),
                         "skew": np.where(rng.rand(n) < 0.9, 1.0, rng.rand(n))})
     sdf = spark.createDataFrame(pdf)
-    if limit is not None:  # force the distributed rank-selection fallback
+    if limit is not None:  # many rounds: wide first brackets, few values collected
         monkeypatch.setattr(O, "BRACKET_LIMIT", limit)
+        monkeypatch.setattr(O, "BRACKET_ACCURACY", accuracy)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
     got = O.quantile_params(sdf, ["cont", "tied", "skew"], probs)
     for c in ("cont", "tied", "skew"):
