@@ -8,14 +8,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import ewm_multi, ewm_sql
+from ..functions.ordered import ewm_multi, ewm_sql, materialize
 from ..operators import monitor as mo
 from ..operators import recommend as rc
 from ..sources.tables import table
 from ..streaming import jobs
 from ..streaming.runner import table_stream
 from .registry import register
-from .text import DOC_LEXICON, S_SQL
+from .text import DOC_LEXICON, HOT_TOPICS_SQL, S_SQL
 from .views import V_BEHAVIOUR_SQL, V_TICK_SQL, V_TX_SQL, v_behaviour, v_tick, v_tx, with_ctes
 
 DAY = "1 day"
@@ -370,7 +370,7 @@ def cf_recommend(spark, sf_dir):
 CUT = "2024-01-25 00:00:00"
 
 
-@register("rec_hit_rate", with_ctes(f"""SELECT lists, hits, round(hits * 1.0 / lists, 6) AS hit_rate FROM
+HIT_RATE_SQL = with_ctes(f"""SELECT lists, hits, round(hits * 1.0 / lists, 6) AS hit_rate FROM
   (SELECT count(DISTINCT user_id) AS lists FROM bh WHERE ts < TIMESTAMP '{CUT}') l,
   (SELECT count(*) AS hits FROM bh e JOIN recs ON recs.user_id = e.user_id AND recs.item_id = e.item_id
    WHERE e.ts >= TIMESTAMP '{CUT}' AND e.behavior IN ('purchase', 'rate')) h""",
@@ -384,7 +384,10 @@ CUT = "2024-01-25 00:00:00"
                          FROM s WHERE similarity > 0) WHERE k <= 5) t
     JOIN m ON m.user_id = t.user_b
     WHERE NOT EXISTS (SELECT 1 FROM m seen WHERE seen.user_id = t.user_a AND seen.item_id = m.item_id)
-    GROUP BY t.user_a, m.item_id)) WHERE r <= 5"""))
+    GROUP BY t.user_a, m.item_id)) WHERE r <= 5""")
+
+
+@register("rec_hit_rate", HIT_RATE_SQL)
 def rec_hit_rate(spark, sf_dir):
     """ST14 (batch form): lists from behaviours before the cut, hits =
     later purchases / ratings of a listed item (left semi on the lists),
@@ -407,6 +410,42 @@ def st_sentiment(spark, sf_dir):
     return jobs.sentiment_stream(spark, d, DOC_LEXICON)
 
 
+@register("st_profiles", with_ctes(f"SELECT user_id, {CAT_SQL} AS category, count(*) AS n, max(ts) AS last_active FROM bh GROUP BY 1, 2",
+                                   **BEH_CTES))
+def st_profiles(spark, sf_dir):
+    """ST13: interests and last activity per user as a stream."""
+    return jobs.profile_stream(spark, _streamed(v_behaviour, spark, sf_dir))
+
+
+@register("st_hot_categories", with_ctes(f"""SELECT {CAT_SQL} AS category, count(*) AS hits, count(DISTINCT user_id) AS users,
+  max(ts) AS last_active FROM bh GROUP BY 1""", **BEH_CTES))
+def st_hot_categories(spark, sf_dir):
+    """ST13: hot categories from the streamed profiles."""
+    p = jobs.profile_stream(spark, _streamed(v_behaviour, spark, sf_dir))
+    return p.groupBy("category").agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("users"), F.max("last_active").alias("last_active"))
+
+
+@register("st_hit_rate", HIT_RATE_SQL)
+def st_hit_rate(spark, sf_dir):
+    """ST14: lists issued from the behaviours before the cut, hits counted
+    per user in the stream of the later ones."""
+    before = v_behaviour(spark, sf_dir).where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))
+    recs = materialize(rc.neighbour_recommend(mo.implicit_matrix(before), "user_id", "item_id", "score", 5, 5)
+                       .select("user_id", "item_id"))
+    later = _streamed(v_behaviour, spark, sf_dir).where(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz"))
+    hits = jobs.hit_stream(spark, later, recs).agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"))
+    lists = before.agg(F.count_distinct("user_id").alias("lists"))
+    return lists.crossJoin(hits).select("lists", "hits", F.round(F.col("hits") / F.col("lists"), 6).alias("hit_rate"))
+
+
+@register("st_hot_topics", HOT_TOPICS_SQL)
+def st_hot_topics(spark, sf_dir):
+    """ST15 / X4: hot topics over the last documents of the stream."""
+    d = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
+    out = jobs.hot_topics_stream(spark, d, DOC_LEXICON)
+    return out.select("doc_id", "docs_in_window", "positive_docs", "negative_docs", "neutral_docs", "top_keywords")
+
+
 @register("st_late_data", with_ctes("""SELECT count(*) AS input_rows, count(*) AS counted_rows, 0::BIGINT AS late_rows,
   0::BIGINT AS dropped_partial_rows FROM t""", t=V_TICK_SQL))
 def st_late_data(spark, sf_dir):

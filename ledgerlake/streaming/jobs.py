@@ -152,3 +152,56 @@ def price_change_stream(spark: SparkSession, ticks: DataFrame, size: str, open_w
         empty.write.mode("overwrite").parquet(f"{base}/changes/{rn.BATCH}=-1")
         rn.run(q, f"{base}/checkpoint", f"{base}/changes", "update", write=write)
     return rn.read_latest(spark, f"{base}/changes", ["stock_code", "window_start"])
+
+
+def profile_stream(spark: SparkSession, beh: DataFrame) -> DataFrame:
+    """ST13: live profiles, update mode: per user and interest (item category)
+    the number of behaviours and the last time; sums over them give hot
+    categories and a user's last activity."""
+    with utc(spark):
+        base = rn.run_dir(spark, "profiles")
+        q = beh.groupBy("user_id", mo.item_category(F.col("item_id")).alias("category")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_active"))
+        rn.run(q, f"{base}/checkpoint", f"{base}/sink", "update")
+    return rn.read_latest(spark, f"{base}/sink", ["user_id", "category"])
+
+
+def hit_stream(spark: SparkSession, beh: DataFrame, lists: DataFrame) -> DataFrame:
+    """ST14: live hits (user_id, hits) of purchases and ratings on the issued
+    ``lists`` (user_id, item_id; static side of a stream-static join)."""
+    with utc(spark):
+        base = rn.run_dir(spark, "hits")
+        q = (beh.where(F.col("behavior").isin("purchase", "rate")).join(lists, ["user_id", "item_id"])
+             .groupBy("user_id").agg(F.count(F.lit(1)).alias("hits")))
+        rn.run(q, f"{base}/checkpoint", f"{base}/sink", "update")
+    return rn.read_latest(spark, f"{base}/sink", ["user_id"])
+
+
+def hot_topics_stream(spark: SparkSession, docs: DataFrame, lexicon, window: int = 5, top: int = 10) -> DataFrame:
+    """X4 in the stream: keyword and polarity counts over the last ``window``
+    documents.  State between micro-batches is the last ``window - 1`` scored
+    documents (in id order, as they arrive); a batch puts them before its own
+    and writes the frames of its own documents."""
+    from ..operators.text import analyse, hot_topics
+    cols = ["doc_id", "sentiment_keywords", "sector_keywords", "polarity"]
+    q = analyse(docs, "text", lexicon).select(*cols)
+    with utc(spark):
+        base = rn.run_dir(spark, "hot_topics")
+
+        def state(epoch_id: int) -> str:
+            return f"{base}/state/{rn.BATCH}={epoch_id}"
+
+        def write(batch: DataFrame, epoch_id: int) -> None:
+            rn.batch_sink(f"{base}/scored")(batch, epoch_id)       # the texts are scored once
+            new = spark.read.schema(q.schema).parquet(f"{base}/scored/{rn.BATCH}={epoch_id}")
+            held = spark.read.schema(q.schema).parquet(state(epoch_id - 1))
+            both = held.unionByName(new)
+            frames = hot_topics(both, ["doc_id"], window, top).join(new.select("doc_id"), "doc_id", "left_semi")
+            rn.batch_sink(f"{base}/sink")(frames, epoch_id)
+            both.orderBy(F.desc("doc_id")).limit(window - 1).write.mode("overwrite").parquet(state(epoch_id))
+
+        empty = spark.createDataFrame([], q.schema)
+        empty.write.mode("overwrite").parquet(state(-1))
+        rn.batch_sink(f"{base}/sink")(hot_topics(empty, ["doc_id"], window, top), -1)
+        rn.run(q, f"{base}/checkpoint", f"{base}/sink", "append", write=write)
+    return rn.read_appended(spark, f"{base}/sink")

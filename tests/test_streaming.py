@@ -110,3 +110,18 @@ def test_stream_of_an_empty_table(spark):
     s = rn.file_stream(spark, f"{base}/in", v_tx(spark, SF001).schema)
     assert jobs.transaction_rules_stream(spark, s).count() == 0
     assert jobs.account_stats_stream(spark, s, "1 day").count() == 0
+
+
+def test_hot_topics_over_several_batches(spark):
+    """Frames reach back into earlier batches through the state."""
+    from ledgerlake.operators.text import analyse, hot_topics
+    from ledgerlake.plans.text import DOC_LEXICON
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").where("doc_id < 40")
+    base = rn.run_dir(spark, "topics")
+    for lo in (0, 13, 15, 30):
+        hi = {0: 13, 13: 15, 15: 30, 30: 40}[lo]
+        docs.where(f"doc_id >= {lo} AND doc_id < {hi}").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    s = rn.file_stream(spark, f"{base}/in", docs.schema)
+    got = jobs.hot_topics_stream(spark, s, DOC_LEXICON)
+    want = hot_topics(analyse(docs, "text", DOC_LEXICON), ["doc_id"], 5, 10)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
