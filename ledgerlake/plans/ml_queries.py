@@ -17,7 +17,7 @@ from ..sources.tables import table
 from .credit import CTES as CREDIT_CTES
 from .credit import FEATURE_SQL, GRADE_EDGES, GRADE_LABELS, credit_frame, with_risk_label
 from .registry import register
-from .views import v_bars, v_loan, v_rating, with_ctes
+from .views import V_BARS_SQL, v_bars, v_loan, v_rating, with_ctes
 
 CREDIT_FEATURES = ["age", "annual_income", "gender_code", "education_code", "credit_history_length",
                    "total_overdue", "num_overdue_90d", "debt_income_ratio", "payment_income_ratio",
@@ -52,11 +52,21 @@ def stratified_split(spark, sf_dir):
     return s.select("customer_id", "label", "split")
 
 
-@register("ml_scale")
+_SPLIT_SQL = """
+lab AS (SELECT *, CAST(CASE WHEN risk_score > q30 THEN 1 ELSE 0 END AS DOUBLE) AS label FROM f, q),
+sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(CAST(customer_id AS VARCHAR) || '42'), customer_id) - 1
+  < round(count(*) OVER (PARTITION BY label) * 0.25) THEN 'test' ELSE 'train' END AS split FROM lab),
+st AS (SELECT """ + ", ".join(
+    f"avg(coalesce({c}, 0)) AS m_{c}, stddev_pop(coalesce({c}, 0)) AS s_{c}" for c in CREDIT_FEATURES) + " FROM sp WHERE split = 'train')"
+
+
+@register("ml_scale", _credit_sql(_SPLIT_SQL + " SELECT customer_id, split, " + ", ".join(
+    f"round(CASE WHEN s_{c} = 0 THEN 0 ELSE (coalesce({c}, 0) - m_{c}) / s_{c} END, 6) AS {c}" for c in CREDIT_FEATURES) + " FROM sp, st"))
 def ml_scale(spark, sf_dir):
     """Features standardised with train statistics (population std)."""
     tr, te = credit_split(spark, sf_dir)
-    return tr.unionByName(te).select("customer_id", "split", vector_to_array("scaled").alias("scaled"))
+    x = vector_to_array("scaled")
+    return tr.unionByName(te).select("customer_id", "split", *[F.round(x[i], 6).alias(c) for i, c in enumerate(CREDIT_FEATURES)])
 
 
 def _one(spark, sf_dir, name):
@@ -99,7 +109,7 @@ def clf_compare(spark, sf_dir):
 def clf_cv(spark, sf_dir):
     """5-fold accuracy of logistic regression on the TRAIN part."""
     tr, _ = credit_split(spark, sf_dir)
-    tr = md.hash_folds(tr, "customer_id", 5).cache()
+    tr = materialize(md.hash_folds(tr, "customer_id", 5))
     n = tr.count()
     rows = []
     for k in range(5):
@@ -522,7 +532,7 @@ def stock_forecast(spark, sf_dir):
   round(sqrt(avg((y - p) * (y - p))), 6) AS rmse, round(avg(abs(y - p)), 6) AS mae,
   round(avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END), 6) AS mape
 FROM (SELECT lead(close) OVER (PARTITION BY stock_code ORDER BY trade_date) AS y, close AS p FROM b) WHERE y IS NOT NULL""",
-                                   b=__import__("ledgerlake.plans.views", fromlist=["V_BARS_SQL"]).V_BARS_SQL))
+                                   b=V_BARS_SQL))
 def reg_metrics(spark, sf_dir):
     """R2, RMSE, MAE, MAPE of the fixed naive forecast (next close =
     today's close) on every bar."""
