@@ -29,6 +29,7 @@ MAX_LANGUAGES = 200
 EFFECTIVE = 40.0        # n-grams overlap; a text counts as at most so many
 PSEUDO = 4.0            # rows that a level's parent counts for
 DECLARED_PSEUDO = 1.0
+SALTS = 32              # parts of a key in joins with its evidence
 _PIECE = 1 << 21
 _TAGS = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -138,6 +139,13 @@ def _add(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
+def _spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Join with a table of one row a key, each key cut into ``SALTS`` parts: one
+    host or declaration may have a third of all rows."""
+    wide = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).join(wide, [key, "_salt"]).drop("_salt")
+
+
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     """(id, lang, probability, text_lang) for every row of ``rows`` (id, body
     binary, is_markup boolean, declared, host).
@@ -188,13 +196,13 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     # Rows without a host or declaration join nothing, so that nulls, maybe
     # most rows, meet in no task.
     hosted, free = s.where("host IS NOT NULL"), s.where("host IS NULL")
-    hosted = (hosted.join(sums("host", "host"), "host").join(sums("domain", "domain"), "domain")
-              .join(given_language("sfx", "sfx"), "sfx"))
+    for key, evidence in (("host", sums("host", "host")), ("domain", sums("domain", "domain")), ("sfx", given_language("sfx", "sfx"))):
+        hosted = _spread_join(hosted, evidence, key)
     cols = ["id", "declared", "ll"]
     hosted = hosted.withColumn("by_domain", own_out("domain", share)).select(
         *cols, _add(_log(own_out("host", F.col("by_domain"))), F.col("sfx_l")).alias("prior"))
     placed = hosted.unionByName(free.select(*cols, _log(share).alias("prior")))
-    told = placed.where("declared IS NOT NULL").join(given_language("declared", "declared"), "declared").select(
+    told = _spread_join(placed.where("declared IS NOT NULL"), given_language("declared", "declared"), "declared").select(
         "id", "ll", _add(F.col("prior"), F.col("declared_l")).alias("prior"))
     both = told.unionByName(placed.where("declared IS NULL").select("id", "ll", "prior"))
     names = F.array(*[F.lit(x) for x in langs])
