@@ -42,7 +42,7 @@ from .common import shuffle_partitions, ship_package, written
 
 LENGTH = 200
 TOKEN = 32
-HOT_RUNS = 512            # differing runs of a token that one task sorts
+HOT_RUNS = 8192           # differing runs of a token that one task sorts (about 2 MB of text)
 SAMPLE_DOCS = 2000        # documents whose tokens give the splitters
 _PIECE = 1 << 20          # bytes of documents that a task cuts into runs at a time
 _GROUP_BYTES = 1 << 20    # bytes of runs whose suffixes a task sorts at a time (whole tokens)
