@@ -338,7 +338,7 @@ def read_archives(files: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES)
                 if rows:
                     yield batch_of(rows)
 
-    return entries.repartition(shuffle_partitions(spark), "file", "split").mapInArrow(records, schema)
+    return entries.repartition(shuffle_partitions(files.sparkSession), "file", "split").mapInArrow(records, schema)
 
 
 def _urn(value: str) -> str:
