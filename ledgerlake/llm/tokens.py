@@ -23,6 +23,7 @@ of the attempts that counted.  A lost executor leaves at most an unlisted file."
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -44,21 +45,57 @@ MANIFEST = "part long, seq long, file string, n_docs long, n_tokens long, n_byte
 
 # ---------------------------------------------------------------- encoding
 
+# Words of ASCII and Latin-1 letters, digits and marks, without an apostrophe:
+# lower case is one character for one, nothing composes, and they fall into
+# runs of letters, single digits and runs of other marks.
+_PLAIN = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\xbf])+")
+_RUNS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+# What the tokenizer's own pattern must be for that.
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _byte_characters() -> list[str]:
+    """The character that byte-level BPE writes for each byte: printable
+    Latin-1 stands for itself, the others follow from U+0100 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
 class WordEncoder(dict):
     """word -> its ids as little-endian u32 bytes, by the tokenizers library.
 
     For tokenizers that cut texts at white space before anything else and
     drop it, the ids of a text are those of its words one after the other.
     The library encodes each word once; words beyond the bound are encoded
-    each time they occur."""
+    each time they occur.  With ``runs`` plain words are cut here as the
+    tokenizer's pattern would and go to the library's BPE model directly."""
 
-    def __init__(self, tokenizer, bound: int):
+    def __init__(self, tokenizer, bound: int, runs: bool = False):
         super().__init__()
-        self.tokenizer, self.bound = tokenizer, bound
+        self.tokenizer, self.bound, self.runs = tokenizer, bound, runs
+        self.model, self.pieces = tokenizer.model, {}
+        self.chars = _byte_characters()
 
-    def __missing__(self, word: bytes) -> bytes:
+    def whole(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        out = np.array(ids, dtype="<u4").tobytes()
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        out = self.pieces.get(piece)
+        if out is None:
+            chars = self.chars
+            tokens = self.model.tokenize("".join([chars[b] for b in piece.encode("utf-8")]))
+            out = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+            if len(self.pieces) < self.bound:
+                self.pieces[piece] = out
+        return out
+
+    def __missing__(self, word: bytes) -> bytes:
+        if self.runs and _PLAIN.fullmatch(word) and b"<|" not in word:
+            out = b"".join(map(self.piece, _RUNS.findall(word.decode("utf-8").lower())))
+        else:
+            out = self.whole(word)
         if len(self) < self.bound:
             self[word] = out
         return out
@@ -78,7 +115,7 @@ def encoder(path: str):
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         if splits_on_space(path):
-            _ENCODERS[path] = WordEncoder(tok, WORD_CACHE).text
+            _ENCODERS[path] = WordEncoder(tok, WORD_CACHE, cuts_runs(path)).text
         else:
             _ENCODERS[path] = lambda t: np.array(
                 tok.encode(t.decode("utf-8"), add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -106,6 +143,18 @@ def splits_on_space(path: str) -> bool:
     return known and drops and plain and conf.get("truncation") is None and conf.get("post_processor") is None
 
 
+def cuts_runs(path: str) -> bool:
+    """Whether the tokenizer lowers its words and cuts them by ``WORD_PATTERN``
+    into pieces for a byte-level BPE model."""
+    with open(path, encoding="utf-8") as f:
+        conf = json.load(f)
+    steps = [x["type"] for x in (conf.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (conf.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"] == {"Regex": WORD_PATTERN} and not cuts[1].get("use_regex", True)
+            and conf["model"]["type"] == "BPE" and not conf["model"].get("byte_fallback"))
+
+
 # ---------------------------------------------------------------- file format
 
 def _rank_directory(bits: np.ndarray) -> np.ndarray:

@@ -88,3 +88,17 @@ def test_words_beyond_the_cache_are_encoded_too():
     assert w.text(t.encode()) == np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
     assert len(w) == 1
     assert tokens.splits_on_space(queries.tokenizer_path())
+
+
+def test_plain_words_go_to_the_model_as_the_library_would_send_them():
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    assert tokens.cuts_runs(queries.tokenizer_path())
+    rng = random.Random(5)
+    marks = [chr(c) for c in [*range(33, 127), *range(0xC0, 0x100)]] + list("abcdefghijklmnop") * 6
+    words = ["".join(rng.choice(marks) for _ in range(rng.randint(1, 14))) for _ in range(20_000)]
+    words += [chr(c) for c in range(33, 0x180)] + [f"a{chr(c)}b1" for c in range(33, 0x180)] + ["x" * 3000, "it's", "<|endoftext|>", "a<|b|>"]
+    w = tokens.WordEncoder(tok, 100, True)
+    for x in words:
+        if not x.split() or x.split() != [x]:
+            continue
+        assert w[x.encode()] == w.whole(x.encode()), x
