@@ -4,8 +4,9 @@ Reputation is the share of bad pages among a host's labelled pages, shrunk by
 beta-binomial priors: the suffix's prior comes from all labels, the registered
 domain's from its suffix, the host's from its domain.  The strength of each
 level's prior is estimated from the spread of the shares at that level (moment
-estimate, the empirical part).  A page is blocked when the lower bound of the
-host's posterior share exceeds a threshold.
+estimate, the empirical part).  A host without labelled pages has the prior of
+its domain, or of its suffix, or that of all labels, the first there is.  A page
+is blocked when the lower bound of its host's share exceeds a threshold.
 
 DataFrame functions only; every table that is joined has one row per host,
 domain or suffix, joins on hot hosts are left to be split at run time, and
@@ -68,12 +69,20 @@ def _level(shares: DataFrame, key: str, parent: str) -> DataFrame:
     return t.select(parent, F.least(F.greatest(s, F.lit(MIN_STRENGTH)), F.lit(MAX_STRENGTH)).alias("s"))
 
 
-def host_reputation(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> DataFrame:
-    """(host, n, bad, mean, bound): posterior mean and lower bound of the share
-    of bad pages for every host with a labelled page.
+def _mean() -> Column:
+    return F.col("a") / (F.col("a") + F.col("b"))
 
-    ``outcomes`` has a row per labelled page; null labels are left out, a null
-    host counts as the empty one."""
+
+def _bound() -> Column:
+    """Lower bound of a beta share with the parameters ``a`` and ``b``."""
+    size = F.col("a") + F.col("b")
+    sd = F.sqrt(F.col("a") * F.col("b") / (size * size * (size + 1)))
+    return F.greatest(_mean() - BOUND_SD * sd, F.lit(0.0))
+
+
+def _reputation(outcomes: DataFrame, host: str, bad: str) -> tuple[DataFrame, ...]:
+    """Posterior (n, bad, a, b) of every labelled host, and the priors (a, b)
+    below every labelled domain, suffix and the root."""
     one = F.coalesce(F.col(host), F.lit(""))
     hosts = (outcomes.where(F.col(bad).isNotNull())
              .groupBy(one.alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(bad).cast("long")).alias("bad"))
@@ -83,18 +92,48 @@ def host_reputation(outcomes: DataFrame, host: str = "host", bad: str = "bad") -
     suffixes = domains.groupBy("sfx", "root").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.groupBy("root").agg((F.sum("bad") / F.sum("n")).alias("m"))
 
-    def shrink(rows: DataFrame, key: str, parent: str, prior: DataFrame) -> DataFrame:
-        out = rows.join(prior, parent).join(_level(rows, key, parent), parent)
-        return out.withColumn("a", F.col("bad") + F.col("s") * F.col("m")).withColumn(
-            "b", F.col("n") - F.col("bad") + F.col("s") * (1 - F.col("m")))
+    def prior(rows: DataFrame, key: str, parent: str, means: DataFrame) -> DataFrame:
+        return means.join(_level(rows, key, parent), parent).select(
+            parent, (F.col("s") * F.col("m")).alias("a"), (F.col("s") * (1 - F.col("m"))).alias("b"))
 
-    mean = F.col("a") / (F.col("a") + F.col("b"))
-    sfx_m = shrink(suffixes, "sfx", "root", total).select("sfx", mean.alias("m"))
-    dom_m = shrink(domains, "domain", "sfx", sfx_m).select("domain", mean.alias("m"))
-    h = shrink(hosts, "host", "domain", dom_m)
-    size = F.col("a") + F.col("b")
-    sd = F.sqrt(F.col("a") * F.col("b") / (size * size * (size + 1)))
-    return h.select("host", "n", "bad", mean.alias("mean"), F.greatest(mean - BOUND_SD * sd, F.lit(0.0)).alias("bound"))
+    def shrink(rows: DataFrame, parent: str, below: DataFrame) -> DataFrame:
+        return rows.join(below, parent).withColumns(
+            {"a": F.col("bad") + F.col("a"), "b": F.col("n") - F.col("bad") + F.col("b")})
+
+    of_root = prior(suffixes, "sfx", "root", total)
+    of_sfx = prior(domains, "domain", "sfx", shrink(suffixes, "root", of_root).select("sfx", _mean().alias("m")))
+    of_dom = prior(hosts, "host", "domain", shrink(domains, "sfx", of_sfx).select("domain", _mean().alias("m")))
+    return shrink(hosts, "domain", of_dom), of_dom, of_sfx, of_root
+
+
+def host_reputation(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> DataFrame:
+    """(host, n, bad, mean, bound): posterior mean and lower bound of the share
+    of bad pages for every host with a labelled page.
+
+    ``outcomes`` has a row per labelled page; null labels are left out, a null
+    host counts as the empty one."""
+    h = _reputation(outcomes, host, bad)[0]
+    return h.select("host", "n", "bad", _mean().alias("mean"), _bound().alias("bound"))
+
+
+def bounds_of_hosts(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """(host, bound) of every row of ``hosts`` (host): from the posterior of the
+    host, else from the prior below its domain, its suffix or the root.  The
+    bound is null if there are no labels at all."""
+    own, of_dom, of_sfx, of_root = _reputation(outcomes, "host", "bad")
+
+    def bound(level: DataFrame, key: str, name: str) -> DataFrame:
+        return level.select(F.col(key).alias("_" + key), _bound().alias(name))
+
+    h = hosts.select("host").withColumns({"domain": registered_domain(F.col("host")), "sfx": suffix(F.col("host"))})
+    # Upper levels are joined to the rows of the level below, not to the hosts.
+    up = h.select("domain", "sfx").distinct().join(bound(of_dom, "domain", "_d"), F.col("domain") == F.col("_domain"), "left")
+    up = up.join(bound(of_sfx, "sfx", "_s"), F.col("sfx") == F.col("_sfx"), "left")
+    up = up.join(F.broadcast(bound(of_root, "root", "_t")), F.lit(0) == F.col("_root"), "left")  # at most one row
+    up = up.select(F.col("domain").alias("_up"), F.coalesce("_d", "_s", "_t").alias("_prior"))
+    h = h.join(bound(own, "host", "_h"), F.col("host") == F.col("_host"), "left")
+    h = h.join(up, F.col("domain") == F.col("_up"))
+    return h.select("host", F.coalesce("_h", "_prior").alias("bound"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, url: str = "url", rules=RULES,
@@ -102,12 +141,14 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, url: str = "url", rules=R
     """``pages`` with (host, path, rule, verdict, reputation_bound).
 
     Null urls and urls without ``://`` have an empty host and path.  A host
-    without labels has no bound and is allowed.  Columns of ``pages`` with one
-    of the new names are replaced."""
+    without labels has the bound of its domain, its suffix or all labels;
+    without any labels there is none and all is allowed.  Columns of ``pages``
+    with one of the new names are replaced."""
     new = ["host", "path", "rule", "verdict", "reputation_bound"]
     kept = [c for c in pages.columns if c not in new]
     u = pages.select(*kept, url_host(url).alias("host"), url_path(url).alias("path"))
-    rep = host_reputation(outcomes).select(F.col("host").alias("_rh"), F.col("bound").alias("reputation_bound"))
+    hosts = pages.select(url_host(url).alias("host")).distinct()
+    rep = bounds_of_hosts(hosts, outcomes).select(F.col("host").alias("_rh"), F.col("bound").alias("reputation_bound"))
     hit = matching_rule(F.col("host"), F.col("path"), rules)
     j = u.withColumn("_hit", hit).join(rep, F.col("host") == F.col("_rh"), "left")
     by_rep = F.when(F.col("reputation_bound") > block_above, F.lit("block")).otherwise(F.lit("allow"))

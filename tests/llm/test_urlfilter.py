@@ -100,6 +100,60 @@ def test_reputation_against_brute_force(spark):
     assert any(v > 0.5 for v in want.values()) and any(v < 0.5 for v in want.values())
 
 
+def test_hosts_without_labels_take_the_prior_of_their_domain_suffix_or_all(spark):
+    """Labelled: h0..h19.bad.com (all bad), good.com (all good), x.net and y.org
+    (half bad): unlabelled hosts fall back a level at a time."""
+    rows = [(f"h{i}.bad.com", 1) for i in range(20) for _ in range(50)] + [("w.good.com", 0)] * 1000
+    rows += [(f"{i}.all.net", 1) for i in range(9) for _ in range(90)] + [("y.org", i % 2) for i in range(60)]
+    out = spark.createDataFrame(rows, "host string, bad int")
+    hosts = ["new.bad.com", "bad.com", "new.good.com", "a.fresh.com", "a.fresh.net", "a.b.org", "a.fresh.info", "h0.bad.com", ""]
+    pages = spark.createDataFrame([(i, f"http://{h}/p") for i, h in enumerate(hosts)] + [(99, None)], "page_id long, url string")
+    got = {r.page_id: r for r in urlfilter.filter_urls(pages, out, rules=[]).collect()}
+    assert len(got) == len(hosts) + 1
+    b = {h: got[i].reputation_bound for i, h in enumerate(hosts)}
+
+    dom = lambda h: ".".join(h.split(".")[-2:])
+    sfx = lambda h: h.split(".")[-1]
+
+    def sums(key, table):
+        t = {}
+        for k, (n, bad) in table:
+            x = t.setdefault(key(k), [0, 0])
+            x[0], x[1] = x[0] + n, x[1] + bad
+        return t
+
+    of_hosts = sums(lambda h: h, [(h, (1, x)) for h, x in rows])
+    of_doms, of_sfxs = sums(dom, of_hosts.items()), sums(sfx, of_hosts.items())
+
+    def strength(members):
+        n = sum(x for x, _ in members)
+        m = sum(x for _, x in members) / n
+        var = sum(x * x / k for k, x in members) / n - m * m
+        if len(members) < 2 or var <= 1e-15 or not 0 < m < 1:
+            return urlfilter.MAX_STRENGTH
+        return min(urlfilter.MAX_STRENGTH, max(urlfilter.MIN_STRENGTH, m * (1 - m) / var - 1))
+
+    total = sum(x for _, x in of_sfxs.values()) / sum(n for n, _ in of_sfxs.values())
+    prior = {0: (total, strength(list(of_sfxs.values())))}
+    for level, parent, up in ((of_sfxs, lambda k: 0, of_doms), (of_doms, sfx, of_hosts)):
+        below = sfx if up is of_doms else dom
+        for k, (n, bad) in level.items():
+            m, s = prior[parent(k)]
+            prior[k] = ((bad + s * m) / (n + s), strength([v for j, v in up.items() if below(j) == k]))
+
+    def bound(m, s):
+        return max(0.0, m - urlfilter.BOUND_SD * math.sqrt(m * (1 - m) / (s + 1)))
+
+    want = {"new.bad.com": "bad.com", "bad.com": "bad.com", "new.good.com": "good.com", "a.fresh.com": "com",
+            "a.fresh.net": "net", "a.b.org": "org", "a.fresh.info": 0, "": 0}
+    for h, level in want.items():
+        assert abs(b[h] - bound(*prior[level])) < 1e-9, h
+    assert b[""] == got[99].reputation_bound
+    verdict = {h: got[i].verdict for i, h in enumerate(hosts)}
+    assert verdict["new.bad.com"] == verdict["bad.com"] == verdict["a.fresh.net"] == verdict["h0.bad.com"] == "block"
+    assert verdict["new.good.com"] == verdict["a.fresh.com"] == "allow"
+
+
 def test_query_matches_oracle_and_is_native(spark):
     con = duckdb.connect()
     for t in ("pages", "labels"):
