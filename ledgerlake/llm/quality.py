@@ -27,7 +27,7 @@ SYMBOLS = b"#*$%&|<>"
 KEEP_FROM = 0.5           # calibrated probability of good quality
 MAX_LABELLED = 4000       # labelled rows used for training and calibration
 HELD_OUT_OF = 4           # one labelled row in so many calibrates
-HASH_BITS = 14            # buckets of a family; the gradient that training shuffles is 3 times this
+HASH_BITS = 16            # buckets of a family; the gradient that training shuffles is 3 times this
 FAMILIES = 3              # word 1-grams, word 2-grams, character 4-grams
 SCALE = 30.0              # shares are small numbers; brings features to about 1
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -78,6 +78,17 @@ def base_counts(text: bytes | None) -> tuple[int, int, int, int, int]:
 
 # ---------------------------------------------------------------- features
 
+_BASE = 0x9E3779B97F4A7C15                # odd: has an inverse modulo 2^64
+_BACK = pow(_BASE, -1, 1 << 64)
+_OF_BYTE = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)) ^ np.uint64(0xD6E8FEB86659FD93)
+
+
+def _powers(x: int, n: int) -> np.ndarray:
+    out = np.full(n, x, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 def _bucket(x: np.ndarray, family: int) -> np.ndarray:
     x = (x + np.uint64(family + 1)) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
@@ -97,7 +108,6 @@ def ngrams(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
     v4 = v[:-2] << np.uint64(16) | v[2:]
     chars = _bucket(v4[:n], 2)
     char_last = np.maximum(off[1:] - 3, off[:-1])
-    # Words: the first eight bytes and the length stand for the word.
     solid = ~((b[:n] == 32) | ((b[:n] >= 9) & (b[:n] <= 13)))
     first_of_text = np.zeros(n + 1, dtype=bool)
     first_of_text[off] = True
@@ -105,9 +115,12 @@ def ngrams(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
     start = np.flatnonzero(solid & ~before)
     after = np.concatenate([solid[1:], [False]]) & ~first_of_text[1:n + 1]
     size = np.flatnonzero(solid & ~after) + 1 - start
-    head = (v4[start] << np.uint64(32) | v4[np.minimum(start + 4, len(v4) - 1)]) if len(start) else np.zeros(0, np.uint64)
-    head >>= (8 * (8 - np.minimum(size, 8))).astype(np.uint64)
-    word = head * np.uint64(0x94D049BB133111EB) + size.astype(np.uint64)
+    # A word is the polynomial hash of all its bytes: sums up to its ends, their
+    # difference shifted back to the word's own start.
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_OF_BYTE[b[:n]] * _powers(_BASE, n), out=sums[1:])
+    word = (sums[start + size] - sums[start]) * _powers(_BACK, n)[start] + size.astype(np.uint64)
+    word ^= word >> np.uint64(32)
     w_first = np.searchsorted(start, off[:-1])
     w_last = np.searchsorted(start, off[1:])
     two = word[:-1] * np.uint64(0xD6E8FEB86659FD93) + word[1:] if len(word) else word

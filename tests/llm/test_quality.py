@@ -49,6 +49,21 @@ def test_batched_margins_equal_single_texts():
         assert abs(m - (0.5 + (w[i] * v).sum())) < 1e-9
 
 
+def test_words_are_told_apart_by_all_their_bytes():
+    """Words of one length that differ after their eighth byte are different
+    1-grams and 2-grams; a word is the same wherever it stands."""
+    words = "internationally internationalists internationalised internationalized собака1 собака2 記号変数 記号変換".split()
+    words += ["abcdefgh" + x + y for x in "pqrstuvw" for y in "pqrstuvw"]
+    one = [quality.ngrams([w.encode()])[0][0].tolist() for w in words]
+    assert all(len(x) == 1 for x in one)
+    assert len({x[0] for x in one}) == len(words)
+    two = {quality.ngrams([f"the {w}".encode()])[1][0].tolist()[0] for w in words}
+    assert len(two) == len(words)
+    joined = quality.ngrams([b"", " ".join(words).encode(), b"x", "\n".join(words[::-1]).encode()])[0]
+    assert joined[0][joined[1][1]:joined[2][1]].tolist() == [x[0] for x in one]
+    assert joined[0][joined[1][3]:joined[2][3]].tolist() == [x[0] for x in one[::-1]]
+
+
 def test_held_out_accuracy_and_calibration(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     labels = spark.read.parquet(f"{SF01}/labels.parquet")
