@@ -6,8 +6,11 @@ source (from 1) is released at slot ``floor((j - 1) * H / c)`` and due at
 ``ceil(j * H / c)``; in every slot the released block with the earliest deadline
 is taken.  On one schedule with weights that sum to one this meets every
 deadline, so after any number of slots each source is less than one block away
-from its target share.  The schedule repeats after ``H`` slots: it is worked out
-for one period, and block ``j`` of a source gets its slot by arithmetic.
+from its share ``c / H``.  ``H`` grows with the mixture until rounding the
+weights to ``c / H`` moves no source by a block over all slots, so each source
+is less than two blocks away from its target share.  The schedule repeats after
+``H`` slots: it is worked out for one period, and block ``j`` of a source gets
+its slot by arithmetic.
 
 The mixture is long enough for every source to be used up at least once.  No
 document is left out; a source with fewer blocks than its share starts over
@@ -21,12 +24,15 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PERIOD = 1000              # slots of a period: the resolution of the weights
+PERIOD = 1000              # slots of the shortest period: the resolution of the weights
+PLACES = 512               # slots of a source that travel as one row
+BROADCAST_SLOTS = 1 << 23  # longer schedules are joined as Spark plans it
 BLOCK_CHARS = 1 << 16
 ALPHA = 0.7                # default weights: share of characters to this power
 BUCKET_ROWS = 4096
@@ -75,10 +81,17 @@ def pfair_period(c: Mapping[str, int]) -> list[str]:
     return out
 
 
-def blocks_scheduled(slots: list[str], source: str, horizon: int) -> int:
-    """Blocks of ``source`` in the first ``horizon`` slots."""
-    whole, rest = divmod(horizon, len(slots))
-    return whole * slots.count(source) + slots[:rest].count(source)
+def fitting_weights(weights: Mapping[str, float], blocks: Mapping[str, int], period: int = PERIOD) -> dict[str, int]:
+    """Integer weights of the first period (growing by a quarter) whose rounding
+    errors come to less than a block up to the last deadline of ``blocks``."""
+    total = math.fsum(weights.values())
+    while True:
+        c = integer_weights(weights, period)
+        h = sum(c.values())
+        horizon = max(-(-blocks[s] * h // c[s]) for s in c)
+        if max(abs(c[s] / h - weights[s] / total) for s in c) * horizon < 1:
+            return c
+        period = h + h // 4
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",
@@ -113,16 +126,23 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, id_
         weights = {s: n ** ALPHA for s, n in chars.items()}
     elif set(weights) != set(chars):
         raise ValueError(f"weights and sources differ in {sorted(set(weights) ^ set(chars))[:10]}")
-    c = integer_weights(weights, period)
+    blocks = {s: -(-n // block_chars) for s, n in chars.items()}
+    c = fitting_weights(weights, blocks, period)
     slots = pfair_period(c)
     h = len(slots)
-    places = {s: [i for i, x in enumerate(slots) if x == s] for s in c}
-    blocks = {s: -(-n // block_chars) for s, n in chars.items()}
+    places: dict[str, list[int]] = {s: [] for s in c}
+    for i, s in enumerate(slots):
+        places[s].append(i)
     last = {s: (blocks[s] - 1) // c[s] * h + places[s][(blocks[s] - 1) % c[s]] for s in c}
     horizon = max(last.values()) + 1
-    plan = [(s, blocks[s], blocks_scheduled(slots, s, horizon), c[s], places[s]) for s in sorted(c)]
+    whole, rest = divmod(horizon, h)
+    plan = [(s, blocks[s], whole * c[s] + bisect_left(places[s], rest), c[s]) for s in sorted(c)]
     spark = docs.sparkSession
-    table = spark.createDataFrame(plan, "_s string, _blocks long, _scheduled long, _c long, _places array<long>")
+    table = spark.createDataFrame(plan, "_s string, _blocks long, _scheduled long, _c long")
+    parts = spark.createDataFrame([(s, i // PLACES, of[i:i + PLACES]) for s, of in sorted(places.items())
+                                   for i in range(0, len(of), PLACES)], "_s string, _part long, _places array<long>")
+    if h <= BROADCAST_SLOTS:
+        parts = F.broadcast(parts)
 
     # Start of every document in its source: the buckets before its own, then
     # the rows before it in the bucket.
@@ -142,12 +162,13 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, id_
     d = d.join(starts, (F.col("mix_source") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))).drop("_s", "_b")
     d = d.withColumn("mix_offset", F.col("_base") + F.col("_in"))
     d = d.withColumn("mix_block", F.floor(F.col("mix_offset") / block_chars).cast("long"))
-    d = d.join(F.broadcast(table), F.col("mix_source") == F.col("_s"))
+    d = d.join(F.broadcast(table), F.col("mix_source") == F.col("_s")).drop("_s")
     epochs = F.floor((F.col("_scheduled") - 1 - F.col("mix_block")) / F.col("_blocks"))
     d = d.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), epochs.cast("long"))))
     j = F.col("mix_block") + F.col("mix_epoch") * F.col("_blocks")
-    d = d.withColumn("mix_slot", F.floor(j / F.col("_c")).cast("long") * h
-                     + F.element_at("_places", (F.pmod(j, F.col("_c")) + 1).cast("int")))
+    d = d.withColumns({"_round": F.floor(j / F.col("_c")).cast("long"), "_k": F.pmod(j, F.col("_c"))})
+    d = d.join(parts, (F.col("mix_source") == F.col("_s")) & (F.floor(F.col("_k") / PLACES) == F.col("_part")))
+    d = d.withColumn("mix_slot", F.col("_round") * h + F.element_at("_places", (F.col("_k") % PLACES + 1).cast("int")))
     return d.select(*docs.columns, "mix_source", "mix_slot", "mix_epoch", "mix_block", "mix_offset")
 
 

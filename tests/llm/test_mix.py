@@ -88,6 +88,24 @@ def test_hot_null_and_tiny_sources(spark, monkeypatch):
     assert all(abs(size[s] / total - w[s]) < 0.06 for s in w)
 
 
+def test_deviation_from_the_weights_as_given(spark):
+    """A weight below a thousandth and thousands of slots: every source stays
+    within two blocks of its exact share, and below one of its rounded share."""
+    w = {"a": 0.60033, "b": 0.39957, "c": 0.0001}
+    rows = [(i, "x" * 9, s) for i, s in enumerate(["a"] * 6000 + ["b"] * 2000 + ["c"])]    # a block each
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.mix_slot, r.mix_source, r.doc_id) for r in mix.mix_sources(df, w, block_chars=10).select(
+        "mix_slot", "mix_source", "doc_id").collect())
+    assert {d for _, _, d in got} == {d for d, _, _ in rows}
+    assert [t for t, _, _ in got] == list(range(len(got))) and len(got) > 5000
+    taken = Counter()
+    for t, s, _ in got:
+        taken[s] += 1
+        assert all(abs(taken[x] - (t + 1) * w[x]) < 2 for x in w), t
+    c = mix.fitting_weights(w, {"a": 6000, "b": 2000, "c": 1})
+    assert max(abs(c[s] / sum(c.values()) - w[s]) for s in w) * len(got) < 1
+
+
 def test_empty_repeated_and_wrong_weights(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix.mix_sources(empty).collect() == [] and mix.mixed_rows(empty).collect() == []
