@@ -198,6 +198,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have fingerprint 0 and link like any other.  Rows that
     repeat an id are kept as rows; null ids are never a component's id unless
     it has no other.  Other columns are not read."""
+    return _groups(docs, id_col, text_col, shingle, max_distance).drop("root")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int) -> DataFrame:
+    """``simhash_groups`` with ``root``, which is a component's own even where
+    components share their smallest id."""
     fps = written(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
                                "text", shingle).select("id", "fp"), "simhash-fp")
     reps = written(fps.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
@@ -205,8 +211,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rooted = reps.join(cc, reps.fp == cc.node, "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("id", "fp", "component_id")
+    named = rooted.join(lowest, "root").select("fp", "component_id", "root")
+    return fps.join(named, "fp").select("id", "fp", "component_id", "root")
 
 
 def hex_fingerprint(col="fp"):
@@ -219,17 +225,19 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs`` without near copies: of each group the row with the
     smallest id stays, with all its columns (rows of a group that repeat that
     id: one of them stays)."""
-    g = simhash_groups(docs, id_col, text_col, shingle, max_distance)
-    first = g.where(F.col("id").eqNullSafe(F.col("component_id")))
-    ids = written(first.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "simhash-first")
-    tagged = docs.join(ids, docs[id_col].eqNullSafe(ids["id"])).drop("id") if id_col != "id" else \
-        docs.join(ids.withColumnRenamed("id", "_id"), docs[id_col].eqNullSafe(F.col("_id"))).drop("_id")
-    single = tagged.where("n = 1").drop("n")
-    if ids.where("n > 1").limit(1).count() == 0:
+    g = _groups(docs, id_col, text_col, shingle, max_distance)
+    # Per id the rows there are, and those that are their component's first.
+    first = F.count_if(F.col("id").eqNullSafe(F.col("component_id")))
+    ids = written(g.groupBy("id").agg(F.count(F.lit(1)).alias("_rows"), first.alias("_firsts"))
+                  .where("_firsts > 0").select(F.col("id").alias("_id"), "_rows"), "simhash-first")
+    tagged = docs.join(ids, docs[id_col].eqNullSafe(F.col("_id"))).drop("_id")
+    single = tagged.where("_rows = 1").drop("_rows")
+    if ids.where("_rows > 1").limit(1).count() == 0:
         return single
-    many = tagged.where("n > 1").drop("n")
+    # Rows that share an id are told apart by their component.
+    many = tagged.where("_rows > 1").drop("_rows")
     with_fp = fingerprints(many, text_col, shingle, "_fp")
-    best = with_fp.join(g.select(F.col("fp").alias("_f"), F.col("component_id").alias("_c")).distinct(),
-                        F.col("_fp") == F.col("_f")).where(F.col(id_col).eqNullSafe(F.col("_c")))
-    best = best.dropDuplicates([id_col, "_c"])
+    of_fp = g.select(F.col("fp").alias("_f"), F.col("component_id").alias("_c"), F.col("root").alias("_root")).distinct()
+    best = with_fp.join(of_fp, F.col("_fp") == F.col("_f")).where(F.col(id_col).eqNullSafe(F.col("_c")))
+    best = best.dropDuplicates(["_root"])
     return single.unionByName(best.select(*docs.columns))

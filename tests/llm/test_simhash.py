@@ -68,6 +68,18 @@ def test_edge_rows(spark):
         str(i) for i in comps)
 
 
+def test_rows_that_share_an_id_are_kept_by_their_own_group(spark):
+    """Id 7 is a copy of 3 and another text besides; null ids are a copy of 4, a
+    text of their own twice, and another; id 9 is two unrelated texts."""
+    text = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdefg"}
+    rows = [(3, "a"), (7, "a"), (7, "b"), (4, "c"), (None, "c"), (None, "d"), (None, "d"), (None, "e"), (9, "f"), (9, "g")]
+    df = spark.createDataFrame([(i, text[k], k) for i, k in rows], "doc_id long, text string, kind string")
+    kept = simhash.keep_one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.kind) for r in kept.collect()) == [
+        (0, "d"), (0, "e"), (3, "a"), (4, "c"), (7, "b"), (9, "f"), (9, "g")]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_groups(df).collect() == []
