@@ -235,3 +235,116 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import link_tool_calls
     calls, results = tool_events(spark, sf_dir)
     return link_tool_calls(calls, results, TOOLS).withColumn("errors", F.array_join("errors", "|"))
+
+
+# ------------------------------------------------------------------ 11
+
+def _letters(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _spans_sql(kind: str, place: int, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT rid, '{kind}' AS kind, {place} AS place, {least} AS least, regexp_extract_all(text, '{p}', 0) AS found,
+  regexp_extract_all(text, '{p}', {group}) AS held, string_split_regex(text, '{p}') AS gaps FROM d"""
+
+
+def _op11_sql() -> str:
+    from .secret_scan import EXTRA
+    word = "|".join(map(_letters, ("password", "passwd", "secret", "token", "api_?key")))
+    found = [_spans_sql("assign", 0, f"({word})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
+             _spans_sql("access", 1, "AKIA[A-Z0-9]+", 0, 20), _spans_sql("hex", 2, "[0-9a-f]+", 0, 24)]
+    found += [_spans_sql(r.kind, place, r.pattern, 0, 0) for place, r in enumerate(EXTRA, 3)]
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(found)}),
+e AS (SELECT rid, kind, place, least, unnest(found) AS f, unnest(held) AS h, unnest(gaps[1:len(found)]) AS gap,
+  unnest(range(1, len(found) + 1)) AS i FROM m WHERE len(found) > 0),
+s AS (SELECT rid, kind, place, sum(length(gap) + length(f)) OVER (PARTITION BY rid, place ORDER BY i) AS e, length(f) AS n, length(h) >= least AS ok FROM e),
+k AS (SELECT rid, kind, place, e - n AS b, kind || ':' || (e - n)::BIGINT || ':' || e::BIGINT AS span FROM s WHERE ok),
+g AS (SELECT rid, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+  string_agg(span, ',' ORDER BY b, place) FILTER (place < 3) AS base, string_agg(span, ',' ORDER BY b, place) AS spans FROM k GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (rid)
+"""
+
+
+@query("op11_secret_scan", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import BASE, RULES, kinds, scan
+
+    def count(place):
+        return F.size(F.filter("spans", lambda s: s["place"] == place)).cast("long")
+
+    s = scan(table(spark, sf_dir, "documents"))
+    return s.select(F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                    F.sha2(kinds(F.col("spans"), RULES, len(BASE)), 256).alias("base_sha256"),
+                    kinds(F.col("spans"), RULES).alias("spans"))
+
+
+# ------------------------------------------------------------------ 12
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of one document in ten, chosen by the checksum of its id,
+    the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", h.alias("h"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    cut = (chosen.where("h % 10 = 0").select("doc_id", "text", "h", words.alias("words"))
+           .withColumn("a", F.when(n > 0, g % n).cast("int"))
+           .withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int")))
+    a, p = F.col("a"), F.col("p")
+    place = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    planted = F.array_join(F.transform(place, lambda i: F.element_at(
+        "words", F.when(i < a, i).otherwise(a + (i - a) % p) + 1)), " ")
+    return (cut.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+            .unionByName(chosen.where("h % 10 <> 0 OR h IS NULL").select("doc_id", "text")))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import find_runs, strongest
+    r = find_runs(with_planted_runs(table(spark, sf_dir, "documents")), min_length=6, min_exponent=4)
+    r = r.withColumn("best", strongest(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(
+        F.concat_ws(",", *[x[f].cast("string") for f in ("start", "length", "period")]), F.lit("\n"))), "")
+    return r.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+# ------------------------------------------------------------------ 13
+
+OP13_SQL = r"""
+WITH bits AS MATERIALIZED (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, b::BIGINT)) AS t),
+words AS MATERIALIZED (
+  SELECT 0 AS side, row_number() OVER () AS rid, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL SELECT 1, 0, NULL, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+seen AS (SELECT w, list_transform(range(octet_length(encode(w))), lambda i: ('0x' || substr(hex(w), 2 * i + 1, 2))::BIGINT) AS bytes
+  FROM (SELECT DISTINCT w FROM words)),
+buckets AS MATERIALIZED (SELECT w, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 10000 AS b
+  FROM seen, bits),
+counts AS (SELECT b, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM words JOIN buckets USING (w) GROUP BY b),
+gains AS (SELECT b, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+  FROM counts, (SELECT sum(s)::DOUBLE AS all_s, sum(t)::DOUBLE AS all_t FROM counts)),
+sums AS (SELECT rid, count(*) AS n, sum(gain)::BIGINT AS weight FROM words JOIN buckets USING (w) JOIN gains USING (b) WHERE side = 0 GROUP BY rid),
+scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) LEFT JOIN sums USING (rid)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM placed
+"""
+
+
+@query("op13_importance_resampling", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resample import resample
+    r = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), max_n=1, buckets=10_000, percent=10,
+                 min_words=20, seed="2024")
+    return r.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
