@@ -7,7 +7,15 @@ regression on held-out labelled rows turns its margin into a probability.  All
 documents are then scored in Arrow batches, with numpy over the batch's bytes,
 against a fixed threshold.
 
-Words are runs without ASCII white space, texts are taken as UTF-8 bytes."""
+Words are runs without ASCII white space, texts are taken as UTF-8 bytes.
+
+Defined cases.  Null and empty texts have no words and fail the base rules.
+Repeated rows are judged one by one; in training equal rows (id and text) count
+once.  Texts over ``_PIECE`` bytes are taken in parts, whose sums add up to the
+whole text's: the classifier holds a part at a time, the base counts some
+numbers a word.  Training reads at most ``MAX_LABELLED`` rows, however often an
+id repeats.  ``quality_rules`` returns the id and its own columns, ``keep_good``
+the input's; other columns do not matter, whatever their names."""
 
 from __future__ import annotations
 
@@ -17,8 +25,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ship_package, written
+from .common import scratch_dir, ship_package, written
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -31,7 +40,8 @@ HASH_BITS = 16            # buckets of a family; the gradient that training shuf
 FAMILIES = 3              # word 1-grams, word 2-grams, character 4-grams
 SCALE = 30.0              # shares are small numbers; brings features to about 1
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-_PIECE = 1 << 21
+FIT_TASKS = 2             # the bounded sample is fitted in so many tasks: each sends a gradient a step
+_PIECE = 1 << 18
 
 
 # ---------------------------------------------------------------- base rules
@@ -63,10 +73,73 @@ def repeat_words(words: list[bytes], k: int = REPEAT_WINDOW) -> int:
     return int((np.cumsum(cover[:-1]) > 0).sum())
 
 
+def _cut_numbers(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each stretch ``start .. end`` of the bytes ``b`` (in order,
+    apart); equal stretches have equal numbers."""
+    import pyarrow as pa
+    inside = np.zeros(len(b) + 1, dtype=np.int8)
+    inside[start] = 1
+    inside[end] -= 1
+    data = b[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+    wide = len(b) >= 1 << 31
+    ends = np.zeros(len(start) + 1, dtype=np.int64 if wide else np.int32)
+    np.cumsum(end - start, out=ends[1:])
+    kind = pa.large_binary() if wide else pa.binary()
+    cut = pa.Array.from_buffers(kind, len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return cut.dictionary_encode().indices.to_numpy()
+
+
+def _repeat_numbers(word: np.ndarray, k: int = REPEAT_WINDOW) -> int:
+    """As ``repeat_words``, of numbered words."""
+    n = len(word) - k + 1
+    if n < 2:
+        return 0
+    roll = word[:n].astype(np.uint64)
+    for i in range(1, k):
+        roll *= np.uint64(0x9E3779B97F4A7C15)
+        roll += word[i:n + i].astype(np.uint64)
+    order = np.argsort(roll, kind="stable")
+    roll = roll[order]
+    again = np.zeros(n, dtype=bool)
+    for at in range(0, n - 1, _PIECE):
+        part = slice(at, min(at + _PIECE, n - 1))
+        near = at + np.flatnonzero(roll[at + 1:part.stop + 1] == roll[part])
+        a, b = order[near], order[near + 1]
+        if not all(np.array_equal(word[a + i], word[b + i]) for i in range(k)):
+            return repeat_words([b"%d" % w for w in word.tolist()], k)      # a hash stood for two windows
+        again[a] = again[b] = True
+    inside = np.zeros(len(word), dtype=bool)
+    for i in range(k):
+        inside[i:n + i] |= again
+    return int(np.count_nonzero(inside))
+
+
+def _long_counts(text: bytes) -> tuple[int, int, int, int, int]:
+    """``base_counts`` without an object for every word or line."""
+    b = np.frombuffer(text, dtype=np.uint8)
+    solid = np.concatenate([[False], ~((b == 32) | ((b >= 9) & (b <= 13))), [False]])
+    width = np.int32 if len(b) < 1 << 31 else np.int64
+    start = np.flatnonzero(solid[1:] & ~solid[:-1]).astype(width)
+    end = np.flatnonzero(solid[:-1] & ~solid[1:]).astype(width)
+    points = int(np.count_nonzero((b & 0xC0) != 0x80)) - (len(b) - int(np.count_nonzero(solid)))
+    last = np.append(np.flatnonzero(b == 10), len(b)).astype(width)
+    first = np.concatenate([np.zeros(1, width), last[:-1] + 1])
+    worded = np.searchsorted(start, last) > np.searchsorted(start, first)
+    first, last = first[worded], last[worded]
+    del solid
+    dup = len(first) - int(_cut_numbers(b, first, last).max(initial=-1)) - 1
+    del first, last, worded
+    n_words, number = len(start), _cut_numbers(b, start, end)
+    del start, end
+    return n_words, points, len(text) - len(text.translate(None, SYMBOLS)), dup, _repeat_numbers(number)
+
+
 def base_counts(text: bytes | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     if not text:
         return 0, 0, 0, 0, 0
+    if len(text) > _PIECE:
+        return _long_counts(text)
     words = text.split()
     spaces = len(text) - sum(map(len, words))
     b = np.frombuffer(text, dtype=np.uint8)
@@ -128,16 +201,66 @@ def ngrams(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
             (chars, off[:-1], char_last)]
 
 
+def long_ngrams(text: bytes, piece: int | None = None):
+    """The buckets of the families of one text, part by part.  A word that goes
+    on into the next part travels as the hash and length of what was read."""
+    piece = piece or _PIECE
+    mask = (1 << 64) - 1
+    held, held_len, before = 0, 0, None
+    for at in range(0, len(text), piece):
+        b = np.frombuffer(text[at:at + piece + 3], dtype=np.uint8)
+        n = min(piece, len(text) - at)
+        v = b.astype(np.uint64)
+        v = v[:-1] << np.uint64(8) | v[1:]
+        chars = _bucket((v[:-2] << np.uint64(16) | v[2:])[:n], 2)
+        solid = np.concatenate([[False], ~((b[:n] == 32) | ((b[:n] >= 9) & (b[:n] <= 13))), [False]])
+        start, end = np.flatnonzero(solid[1:] & ~solid[:-1]), np.flatnonzero(solid[:-1] & ~solid[1:])
+        size = (end - start).astype(np.uint64)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_OF_BYTE[b[:n]] * _powers(_BASE, n), out=sums[1:])
+        word = (sums[end] - sums[start]) * _powers(_BACK, n)[start]
+        if held_len and not (len(start) and start[0] == 0):     # the word ended with the part before
+            word, size = np.append(np.uint64(held), word), np.append(np.uint64(held_len), size)
+        elif held_len:
+            word[0] = (held + int(word[0]) * pow(_BASE, held_len, 1 << 64)) & mask
+            size[0] += np.uint64(held_len)
+        held, held_len = 0, 0
+        if len(end) and end[-1] == n and at + n < len(text):
+            held, held_len = int(word[-1]), int(size[-1])
+            word, size = word[:-1], size[:-1]
+        word = word + size
+        word ^= word >> np.uint64(32)
+        chain = word if before is None else np.append(before, word)
+        two = chain[:-1] * np.uint64(0xD6E8FEB86659FD93) + chain[1:]
+        before = chain[-1:] if len(chain) else None
+        yield [_bucket(word, 0), _bucket(two, 1), chars]
+
+
 def margins(texts: list[bytes], weights: np.ndarray, bias: float) -> np.ndarray:
     """The classifier's margin of each text."""
     out = np.full(len(texts), bias)
-    for buckets, first, last in ngrams(texts):
+    for d, text in enumerate(texts):
+        if len(text) > _PIECE:
+            total, count = np.zeros(FAMILIES), np.zeros(FAMILIES)
+            for families in long_ngrams(text):
+                total += [weights[b].sum() for b in families]
+                count += [len(b) for b in families]
+            out[d] += (SCALE * total / np.maximum(count, 1)).sum()
+    short = [t if len(t) <= _PIECE else b"" for t in texts]
+    for buckets, first, last in ngrams(short):
         total = np.concatenate([[0.0], np.cumsum(weights[buckets])])
         out += SCALE * (total[last] - total[first]) / np.maximum(last - first, 1)
     return out
 
 
 def sparse_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if len(text) > _PIECE:
+        found = np.zeros((FAMILIES, FAMILIES << HASH_BITS))
+        for families in long_ngrams(text):
+            for f, b in enumerate(families):
+                found[f] += np.bincount(b, minlength=FAMILIES << HASH_BITS)
+        share = (SCALE * found / np.maximum(found.sum(axis=1, keepdims=True), 1)).sum(axis=0)
+        return np.flatnonzero(share), share[share > 0]
     idx, val = [], []
     for buckets, _, last in ngrams([text]):
         b, c = np.unique(buckets[:last[0]], return_counts=True)
@@ -147,7 +270,7 @@ def sparse_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(texts: list[bytes]):
-    """Runs of texts of about ``_PIECE`` bytes (a text is never cut)."""
+    """Runs of texts of about ``_PIECE`` bytes, or of one longer text."""
     i = 0
     while i < len(texts):
         j, held = i, 0
@@ -170,38 +293,48 @@ class QualityModel:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> QualityModel | None:
-    """Fit on the ``max_labelled`` labelled documents whose id hashes lowest.
+    """Fit on the ``max_labelled`` labelled rows whose id hashes lowest (then
+    those of the lowest text hash).
 
     Null labels, ids or texts are left out; an id with several labels counts
-    with its smallest.  None if the training part lacks one of the classes."""
+    with its smallest, equal rows count once.  None if the training part lacks
+    one of the classes."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    from pyspark.ml.linalg import VectorUDT
     spark = docs.sparkSession
     ship_package(spark)
     h = F.xxhash64(F.col("id"), F.lit("quality"))
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
              .where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.min("label").alias("label")))
-    bodies = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
+    bodies = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(
         F.col("text").isNotNull() & F.col("id").isNotNull())
-    # At most max_labelled ids, whatever the size of the tables.
+    # At most max_labelled ids, whatever the size of the tables; an id can have many rows, so these are bounded next.
     lowest = known.join(bodies.select("id").distinct(), "id", "left_semi").orderBy(h, "id").limit(max_labelled)
-    rows = bodies.join(F.broadcast(lowest), "id").withColumn("held", F.pmod(h, F.lit(HELD_OUT_OF)) == 0)
+    mine = written(bodies.join(F.broadcast(lowest), "id").withColumn("body", F.xxhash64("text")), "quality-labelled")
+    chosen = mine.select("id", "body").distinct().orderBy(h, "id", "body").limit(max_labelled)
+    rows = (mine.join(F.broadcast(chosen), ["id", "body"]).groupBy("id", "body", "label").agg(F.first("text").alias("text"))
+            .withColumn("held", F.pmod(h, F.lit(HELD_OUT_OF)) == 0))
+    dims = FAMILIES << HASH_BITS
+    # A sparse vector as Spark stores it: made once here, read back as a vector.
+    fields = ["type", "size", "indices", "values"]
 
     def features(batches):
         import pyarrow as pa
         for batch in batches:
-            got = [sparse_features(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(3), pa.array([i for i, _ in got], pa.list_(pa.int32())),
-                 pa.array([v for _, v in got], pa.list_(pa.float64()))], names=["label", "held", "idx", "val"])
-
-    found = written(rows.select("id", F.col("text").cast("binary"), "label", "held").repartition(
-        min(64, spark.sparkContext.defaultParallelism), "id").mapInArrow(
-        features, "label double, held boolean, idx array<int>, val array<double>"), "quality-sample")
-    dims = FAMILIES << HASH_BITS
-    as_vector = F.udf(lambda i, v: SparseVector(dims, i, v), VectorUDT())
-    sample = found.select("label", "held", as_vector("idx", "val").alias("features"))
+            got = [sparse_features(t.as_py()) for t in batch.column(0)]
+            vector = pa.StructArray.from_arrays(
+                [pa.array([0] * len(got), pa.int8()), pa.array([dims] * len(got), pa.int32()),
+                 pa.array([i for i, _ in got], pa.list_(pa.int32())), pa.array([v for _, v in got], pa.list_(pa.float64()))],
+                names=fields)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), vector], names=["label", "held", "features"])
+
+    stored = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+    path = scratch_dir(spark, "quality-sample")
+    rows.select(F.col("text").cast("binary"), "label", "held").mapInArrow(
+        features, f"label double, held boolean, features {stored}").write.parquet(path)
+    as_vector = T.StructType().add("label", "double").add("held", "boolean").add("features", VectorUDT())
+    sample = spark.read.schema(as_vector).parquet(path).coalesce(FIT_TASKS)
     fit = sample.where("not held")
     if fit.select("label").distinct().limit(2).count() < 2:
         return None
@@ -253,5 +386,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, unchanged."""
-    out = score(docs, train(docs, labels, id_col, text_col), text_col, "_quality_rules")
-    return out.where(F.col("_quality_rules.kept")).drop("_quality_rules")
+    out = "_quality_rules"
+    while out in docs.columns:
+        out += "_"
+    judged = score(docs, train(docs, labels, id_col, text_col), text_col, out)
+    return judged.where(F.col(f"{out}.kept")).drop(out)
