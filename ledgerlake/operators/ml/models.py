@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from ...functions.ordered import dense_index, materialize, quantile_params
 from ..graph import connected_components
 from ..relational import top_k_per_group_split
-from .blocks import BLOCK_POINTS, block_pairs
 from .metrics import calinski_harabasz, class_report, classification_metrics, regression_metrics
+from .pivots import knn_join, voronoi
 
 SEED = 42
 
@@ -202,29 +202,6 @@ def compare_for_recall(train: DataFrame, test: DataFrame, key: str, positive: fl
 
 
 # ------------------------------------------------------------------ SMOTE
-def nearest_points(points: DataFrame, k: int) -> DataFrame:
-    """(p, q, dist, j): the ``k`` nearest other points of every point of
-    (id, x), exact, ties by smaller id; blocked, so no row per pair."""
-    kind = dict(points.dtypes)["id"]
-
-    def near(a, b, d2, same):
-        out = []
-        for x, y, d in [(a, b, d2)] + ([] if same else [(b, a, d2.T)]):
-            order_ids = np.argsort(y["id"].to_numpy(), kind="stable")
-            d = np.sqrt(d[:, order_ids])
-            ids = y["id"].to_numpy()[order_ids]
-            if same:
-                d = np.where(x["id"].to_numpy()[:, None] == ids[None, :], np.inf, d)
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            val = np.take_along_axis(d, best, axis=1)
-            r, c = np.nonzero(np.isfinite(val))
-            out.append(pd.DataFrame({"p": x["id"].to_numpy()[r], "q": ids[best[r, c]], "dist": val[r, c]}))
-        return pd.concat(out)
-
-    pairs = block_pairs(points.select("id", "x"), near, f"p {kind}, q {kind}, dist double")
-    return top_k_per_group_split(pairs, ["p"], k, [F.col("dist"), F.col("q")], "j")
-
-
 def smote(df: DataFrame, key: str, label: str, vec: str, minority, ratio: float = 0.5, k: int = 5,
           seed: int = SEED) -> DataFrame:
     """C14: exactly as many synthetic minority rows as bring the minority to
@@ -243,7 +220,7 @@ def smote(df: DataFrame, key: str, label: str, vec: str, minority, ratio: float
     if need <= 0 or n_min < 2:
         return df.limit(0).select(key, label, vec)
     points = mino.select(F.col("p").alias("id"), vector_to_array("pv").alias("x"))
-    nb = nearest_points(points, k).select("p", "q", "j")
+    nb = knn_join(points, k).select("p", "q", "j")
     have = min(k, n_min - 1)
     each, extra = divmod(need, n_min)
     placed = dense_index(mino.select("p", hash_order("p", seed).alias("_h")), ["_h", "p"], "_i").drop("_h")
@@ -299,10 +276,11 @@ def kmeans_search(df: DataFrame, ks=range(2, 11), col: str = "features", n_init:
         df.unpersist()
 
 
-def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, block_points: int = BLOCK_POINTS) -> DataFrame:
-    """Exact DBSCAN over pairs of point blocks (:func:`block_pairs`; pairs
-    of blocks too far apart on the first coordinate are skipped).
+def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, cell_points: int | None = None) -> DataFrame:
+    """Exact DBSCAN over pivot cells (:mod:`.pivots`): a point meets the
+    cells that can hold one within eps of it.
 
+    * Copies of a point are one point with a weight.
     * Core points: at least ``min_samples`` points within eps (self included);
       tasks return counts per point.
     * Clusters: tasks return a spanning forest of the core points they see, and
@@ -311,22 +289,20 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
     * Border points take the smallest label of a core neighbour; the rest are
       noise (-1)."""
     pts = materialize(df.select(F.col(key).cast("long").alias("id"), vector_to_array(vec).alias("x")))
+    folded = materialize(pts.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("w")))
+    cells = voronoi(folded, cell_points)
 
-    def counts(a, b, d2, same):
-        near = d2 <= eps * eps
-        out = [pd.DataFrame({"id": a["id"], "n": near.sum(axis=1)})]
-        if not same:
-            out.append(pd.DataFrame({"id": b["id"], "n": near.sum(axis=0)}))
-        return pd.concat(out)
+    def counts(a, b, d2):
+        return pd.DataFrame({"id": a["id"], "n": ((d2 <= eps * eps) * b["w"].to_numpy()).sum(axis=1)})
 
-    n = block_pairs(pts, counts, "id long, n long", eps, block_points).groupBy("id").agg(F.sum("n").alias("n"))
-    cores = materialize(pts.join(n, "id").where(F.col("n") >= min_samples).select("id", "x"))
+    n = cells.compare(cells.visits(folded, eps), cells.placed, counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    core_ids = materialize(n.where(F.col("n") >= min_samples).select("id"))
+    cores, core_points = folded.join(core_ids, "id"), cells.placed.join(core_ids, "id")
 
-    def forest(a, b, d2, same):
-        ids = a["id"].to_numpy() if same else np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
+    def forest(a, b, d2):
+        ids, at = np.unique(np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()]), return_inverse=True)
         r, c = np.nonzero(d2 <= eps * eps)
-        if not same:
-            c = c + len(a)
+        r, c = at[r], at[len(a) + c]
         label = np.arange(len(ids))
         while len(r):
             lr, lc = label[r], label[c]
@@ -338,72 +314,19 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
         child = np.flatnonzero(label != np.arange(len(ids)))
         return pd.DataFrame({"a": ids[child], "b": ids[label[child]]})
 
-    cc = connected_components(block_pairs(cores, forest, "a long, b long", eps, block_points))
-    labels = materialize(cores.select("id").join(cc, F.col("id") == F.col("node"), "left").select(
-        "id", F.coalesce("component", "id").alias("label")))
-
-    def borders(a, b, d2, same):
-        near, out = d2 <= eps * eps, []
-        for x, y, m in [(a, b, near)] + ([] if same else [(b, a, near.T)]):
-            lab = np.where(y["label"].isna(), np.inf, y["label"].astype(float))
-            low = np.where(m, lab[None, :], np.inf).min(axis=1)
-            ok = np.isfinite(low) & x["label"].isna().to_numpy()
-            out.append(pd.DataFrame({"id": x["id"][ok], "label": low[ok].astype("int64")}))
-        return pd.concat(out)
-
-    told = pts.join(labels, "id", "left")
-    border = block_pairs(told, borders, "id long, label long", eps, block_points).groupBy("id").agg(F.min("label").alias("near"))
-    out = told.select("id", "label").join(border, "id", "left")
-    return out.select(F.col("id").alias(key), F.coalesce("label", "near", F.lit(-1)).cast("long").alias("cluster"))
-
-
-def ward_two_stage(df: DataFrame, key: str, col: str, k: int, micro: int = 1000, seed: int = SEED) -> DataFrame:
-    """``KMeans`` to at most ``micro`` cells, then Ward agglomeration of the
-    cells' weighted centroids (a micro x micro matrix, bounded by the
-    parameter, not by the data), and the map from cells to clusters back.
-    With no more points than cells every point is a cell: Ward of the points."""
-    n = df.count()
-    if n <= micro:
-        assigned = dense_index(df.select(key, col), [key], "micro").withColumn("micro", F.col("micro").cast("int"))
-        cells = [(r["micro"], 1.0, r[col].toArray()) for r in assigned.collect()]
-    else:
-        m = KMeans(k=micro, seed=seed, featuresCol=col, predictionCol="micro").fit(df)
-        assigned = m.transform(df).select(key, "micro")
-        size = {r["micro"]: float(r["n"]) for r in assigned.groupBy("micro").agg(F.count(F.lit(1)).alias("n")).collect()}
-        cells = [(i, size[i], np.array(c)) for i, c in enumerate(m.clusterCenters()) if i in size]
-    names = ward_labels(np.array([c for _, _, c in cells]).reshape(len(cells), -1), np.array([w for _, w, _ in cells]), k)
-    mapping = [(i, int(c)) for (i, _, _), c in zip(cells, names)]
-    mp = df.sparkSession.createDataFrame(mapping, "micro int, cluster int")
-    return assigned.join(F.broadcast(mp), "micro").select(key, "cluster")
-
-
-def ward_labels(points: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Ward clusters 0 .. k-1 of weighted points: the pair of least merge cost
-    first (smallest indices on ties), costs kept up to date by the
-    Lance-Williams rule, one matrix row a merge."""
-    n = len(points)
-    if n == 0:
-        return np.zeros(0, dtype=int)
-    w = weights.astype(float).copy()
-    d = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1) * (w[:, None] * w[None, :] / (w[:, None] + w[None, :]))
-    d[np.tril_indices(n)] = np.inf      # row < column holds the pair
-    label = np.arange(n)
-    alive = np.ones(n, dtype=bool)
-    for _ in range(n - k):
-        i, j = divmod(int(d.argmin()), n)
-        others = np.flatnonzero(alive)
-        others = others[(others != i) & (others != j)]
-        di = np.where(others < i, d[others, i], d[i, others])
-        dj = np.where(others < j, d[others, j], d[j, others])
-        new = ((w[others] + w[i]) * di + (w[others] + w[j]) * dj - w[others] * d[i, j]) / (w[others] + w[i] + w[j])
-        low = others < i
-        d[others[low], i] = new[low]
-        d[i, others[~low]] = new[~low]
-        d[j, :] = d[:, j] = np.inf
-        alive[j] = False
-        w[i] += w[j]
-        label[label == j] = i
-    return np.unique(label, return_inverse=True)[1]
+    cc = connected_components(cells.compare(cells.visits(cores, eps), core_points, forest, "a long, b long"))
+    labels = materialize(core_ids.join(cc, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("label")))
+
+    def borders(a, b, d2):
+        low = np.where(d2 <= eps * eps, b["label"].to_numpy()[None, :].astype(float), np.inf).min(axis=1)
+        ok = np.isfinite(low)
+        return pd.DataFrame({"id": a["id"][ok], "label": low[ok].astype("int64")})
+
+    others = folded.join(core_ids, "id", "left_anti")
+    border = cells.compare(cells.visits(others, eps), core_points.join(labels, "id"), borders, "id long, label long")
+    told = labels.unionByName(border.groupBy("id").agg(F.min("label").alias("label")))
+    out = pts.join(folded.select(F.col("id").alias("rep"), F.col("x")).join(told, F.col("rep") == told["id"], "left").select("x", "label"), "x", "left")
+    return out.select(F.col("id").alias(key), F.coalesce("label", F.lit(-1)).cast("long").alias("cluster"))
 
 
 def pca(df: DataFrame, col: str, k: int = 2):

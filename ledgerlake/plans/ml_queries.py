@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import bins_right_closed
 from ..functions.ordered import materialize
+from ..operators.ml import boosting as bt
 from ..operators.ml import metrics as mt
 from ..operators.ml import models as md
+from ..operators.ml.ward import ward
 from ..sources.tables import table
 from .credit import CTES as CREDIT_CTES
 from .credit import FEATURE_SQL, GRADE_EDGES, GRADE_LABELS, credit_frame, with_risk_label
@@ -92,6 +94,77 @@ def clf_gbt(spark, sf_dir):
     return _one(spark, sf_dir, "gbt")
 
 
+BOOST_COLUMNS = ["debt_income_ratio", "age", "num_loans", "total_overdue"]
+BOOST_EDGES = [[0.1, 0.5, 1.0], [25, 35, 45, 55], [6, 8, 10, 12], [2, 4, 6, 8, 10, 12]]
+# The first round at probability 1/2: gradients 1/2 - y, Hessians 1/4.
+BOOST_GAIN_SQL = _credit_sql("""
+lab AS (SELECT *, CAST(CASE WHEN risk_score > q30 THEN 1 ELSE 0 END AS DOUBLE) AS label FROM f, q),
+cut AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {e}::DOUBLE AS edge, sum(CASE WHEN coalesce({c}, 0) <= {e} THEN 0.5 - label ELSE 0 END) AS gl, "
+    f"0.25 * count(*) FILTER (coalesce({c}, 0) <= {e}) AS hl, sum(0.5 - label) AS g, 0.25 * count(*) AS h FROM lab"
+    for c, es in zip(BOOST_COLUMNS, BOOST_EDGES) for e in es) + """)
+SELECT feature, edge, round((gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2, 4) AS gain
+FROM cut WHERE hl >= 1 AND h - hl >= 1""")
+
+
+@register("boost_split_gains", BOOST_GAIN_SQL)
+def boost_split_gains(spark, sf_dir):
+    """Gains of all first splits on fixed bins (logistic, L2 1)."""
+    df = credit_labelled(spark, sf_dir)
+    params = bt.Params(rounds=0)
+    model = bt.fit(df, BOOST_COLUMNS, "label", params, edges=BOOST_EDGES)
+    tree = bt.Tree()
+    root = tree.add(0.0)
+    sums = bt.histograms(bt.binned_rows(df, BOOST_COLUMNS, "label", model.edges, 0.0), model.edges, params, [], tree, [root], 1.0)[root]
+    rows = [(BOOST_COLUMNS[f], float(BOOST_EDGES[f][b]), round(gain, 4)) for gain, f, b, _ in bt.split_gains(*sums, model.edges, params)]
+    return spark.createDataFrame(rows, "feature string, edge double, gain double")
+
+
+# One-feature stumps: a row per step holds the margins of the bins.
+_STUMP_EDGES, _STUMP_ROUNDS = BOOST_EDGES[-1], 4
+BOOST_STUMPS_SQL = _credit_sql(f"""
+lab AS (SELECT coalesce(total_overdue, 0) AS x, CAST(CASE WHEN risk_score > q30 THEN 1 ELSE 0 END AS DOUBLE) AS y FROM f, q),
+b AS (SELECT CASE {' '.join(f'WHEN x <= {e} THEN {i}' for i, e in enumerate(_STUMP_EDGES))} ELSE {len(_STUMP_EDGES)} END AS bin, y FROM lab),
+n AS (SELECT i AS bin, count(y) AS n, coalesce(sum(y), 0) AS y FROM (SELECT unnest(range({len(_STUMP_EDGES) + 1})) AS i) LEFT JOIN b ON b.bin = i GROUP BY i),
+s AS (SELECT list(n ORDER BY bin) AS n, list(y ORDER BY bin) AS y, list(0.0::DOUBLE ORDER BY bin) AS m, 0 AS step FROM n),
+steps AS (
+  WITH RECURSIVE t AS (
+    SELECT n, y, m, step FROM s
+    UNION ALL (
+    WITH gh AS (SELECT *, list_transform(range(1, len(n) + 1), lambda i: n[i] / (1 + exp(-m[i])) - y[i]) AS g,
+                  list_transform(range(1, len(n) + 1), lambda i: n[i] / (1 + exp(-m[i])) * (1 - 1 / (1 + exp(-m[i])))) AS h FROM t WHERE step < {_STUMP_ROUNDS}),
+    cuts AS (SELECT *, unnest(range(1, len(n))) AS k FROM gh),
+    sums AS (SELECT *, list_sum(g[1:k]) AS gl, list_sum(h[1:k]) AS hl, list_sum(g) AS ga, list_sum(h) AS ha FROM cuts),
+    gains AS (SELECT *, (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) / 2 AS gain FROM sums WHERE hl >= 1 AND ha - hl >= 1),
+    best AS (SELECT * FROM gains WHERE gain > 0 ORDER BY gain DESC, k LIMIT 1)
+    SELECT n, y, list_transform(range(1, len(n) + 1), lambda i: m[i] + 0.3 * CASE WHEN i <= k THEN -gl / (hl + 1) ELSE -(ga - gl) / (ha - hl + 1) END) AS m, step + 1 FROM best))
+  SELECT * FROM t)
+SELECT CAST(i - 1 AS INTEGER) AS bin, CAST(n[i] AS BIGINT) AS n, round(m[i], 4) AS margin
+FROM (SELECT *, unnest(range(1, len(n) + 1)) AS i FROM steps WHERE step = {_STUMP_ROUNDS}) WHERE n[i] > 0""")
+
+
+@register("boost_stumps", BOOST_STUMPS_SQL)
+def boost_stumps(spark, sf_dir):
+    """Four rounds of one-feature stumps on fixed bins: margin of every bin."""
+    df = credit_labelled(spark, sf_dir)
+    model = bt.fit(df, BOOST_COLUMNS[-1:], "label", bt.Params(rounds=_STUMP_ROUNDS, depth=1, rate=0.3), edges=[_STUMP_EDGES])
+    x = F.col(BOOST_COLUMNS[-1])
+    bin_of = F.lit(len(_STUMP_EDGES))
+    for i, e in reversed(list(enumerate(_STUMP_EDGES))):
+        bin_of = F.when(x <= e, F.lit(i)).otherwise(bin_of)
+    return model.transform(df).groupBy(bin_of.cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max("margin"), 4).alias("margin"))
+
+
+@register("clf_boost2")
+def clf_boost2(spark, sf_dir):
+    """Second-order boosting (30 rounds, depth 4, L2 1) on the test split."""
+    s = md.stratified_split(credit_labelled(spark, sf_dir), "customer_id", "label", 0.25)
+    model = bt.fit(s.where(F.col("split") == "train"), CREDIT_FEATURES, "label", bt.Params(rounds=30, depth=4, rate=0.3))
+    out = model.transform(s.where(F.col("split") == "test"))
+    return mt.classification_metrics(out, "label", "prediction", "probability")
+
+
 @register("clf_svm_rff")
 def clf_svm_rff(spark, sf_dir):
     """RBF SVM via random Fourier features + LinearSVC + Platt."""
@@ -380,11 +453,28 @@ def cluster_dbscan(spark, sf_dir):
     return md.dbscan(embeddings(spark, sf_dir), "vec_id", "features", DBSCAN_EPS, DBSCAN_MIN)
 
 
-@register("cluster_ward")
+WARD_K = 10
+
+
+# One merge of the cheapest pair a step; small tables only.
+WARD_SQL = f"""
+WITH RECURSIVE c AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda v: v::DOUBLE) AS x, 1.0::DOUBLE AS w, [vec_id] AS members, count(*) OVER () AS n FROM embeddings
+  UNION ALL (
+  WITH p AS (SELECT a.id AS i, b.id AS j, a.w * b.w / (a.w + b.w) * list_distance(a.x, b.x) ** 2 AS cost FROM c a JOIN c b ON a.id < b.id),
+  best AS (SELECT arg_min({{'i': i, 'j': j}}, cost) AS m FROM p WHERE (SELECT count(*) FROM c) > {WARD_K}),
+  gone AS (SELECT x, w, members, m.i AS into_id, m.j AS j FROM c, best WHERE id = m.j)
+  SELECT c.id, CASE WHEN c.id = into_id THEN list_transform(range(1, {DIM + 1}), lambda k: (c.w * c.x[k] + gone.w * gone.x[k]) / (c.w + gone.w)) ELSE c.x END,
+    CASE WHEN c.id = into_id THEN c.w + gone.w ELSE c.w END, CASE WHEN c.id = into_id THEN list_concat(c.members, gone.members) ELSE c.members END, n - 1
+  FROM c, gone WHERE c.id <> j))
+SELECT unnest(members) AS vec_id, CAST(cluster AS INTEGER) AS cluster FROM (
+  SELECT members, row_number() OVER (ORDER BY id) - 1 AS cluster FROM c WHERE n = (SELECT min(n) FROM c))"""
+
+
+@register("cluster_ward", WARD_SQL)
 def cluster_ward(spark, sf_dir):
-    """Ward clustering (k = 10); of the points themselves up to the
-    number of cells."""
-    return md.ward_two_stage(embeddings(spark, sf_dir), "vec_id", "features", 10)
+    """Exact Ward clusters (k = 10), numbered by their smallest ids."""
+    return ward(embeddings(spark, sf_dir), "vec_id", vector_to_array("features"), WARD_K)
 
 
 @register("kmeans_search")
@@ -409,7 +499,7 @@ def cluster_compare(spark, sf_dir):
     e = embeddings(spark, sf_dir).persist()
     res = {"kmeans": md.kmeans_best(e, 10).transform(e).select("vec_id", "cluster"),
            "dbscan": md.dbscan(e, "vec_id", "features", DBSCAN_EPS, DBSCAN_MIN),
-           "ward": md.ward_two_stage(e, "vec_id", "features", 10)}
+           "ward": ward(e, "vec_id", vector_to_array("features"), WARD_K)}
     rows = []
     for name, lab in res.items():
         j = materialize(e.join(lab, "vec_id").select("vec", "features", F.col("cluster").cast("int").alias("cluster")))
@@ -436,7 +526,19 @@ def pca2(spark, sf_dir):
                       F.lit(ev[1]).alias("explained_2"))
 
 
-@register("smote")
+SMOTE_SQL = f"""
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings),
+s AS (SELECT count(*) FILTER (label = 0) AS a, count(*) FILTER (label <> 0) AS b, max(vec_id) AS top FROM e),
+need AS (SELECT greatest(CAST(floor(0.5 * b) AS BIGINT) - a, 0) AS need, a, top FROM s),
+m AS (SELECT vec_id AS p, x, row_number() OVER (ORDER BY md5(vec_id || '{md.SEED}'), vec_id) - 1 AS i FROM e WHERE label = 0),
+nb AS (SELECT a.p, b.x AS qx, row_number() OVER (PARTITION BY a.p ORDER BY list_distance(a.x, b.x), b.p) AS j FROM m a JOIN m b ON a.p <> b.p),
+r AS (SELECT p, x, i, need // a AS each, need % a AS extra, a, top, unnest(range((need // a) + CASE WHEN i < need % a THEN 1 ELSE 0 END)) AS r FROM m, need),
+u AS (SELECT *, ('0x' || substr(md5('{md.SEED}#' || p || '#' || r), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM r)
+SELECT top + 1 + i * each + least(i, extra) + r AS vec_id, 1 AS y, list_transform(range(1, {DIM + 1}), lambda k: x[k] + u * (qx[k] - x[k])) AS vec
+FROM u JOIN nb ON nb.p = u.p AND nb.j = r % least(5, a - 1) + 1"""
+
+
+@register("smote", SMOTE_SQL)
 def smote(spark, sf_dir):
     """C14: synthetic rows for the minority label 0 until it is half the
     majority (exact neighbours, k = 5)."""

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.ordered import ewm_multi, ewm_sql, materialize
 from ..operators import monitor as mo
 from ..operators import recommend as rc
+from ..operators import similarity
 from ..sources.tables import table
-from ..streaming import jobs
+from ..streaming import jobs, state
 from ..streaming.runner import table_stream
 from .registry import register
 from .text import DOC_LEXICON, HOT_TOPICS_SQL, S_SQL
@@ -105,6 +106,18 @@ def st_volume_baseline(spark, sf_dir):
     return _r(out, ["avg_volume", "baseline", "prior_baseline"])
 
 
+@register("st_volume_ema", with_ctes("SELECT stock_code, window_start, round(avg_price, 6) AS avg_price, round(change_pct, 6) AS change_pct, "
+                                     "round(avg_volume, 6) AS avg_volume, round(baseline, 6) AS baseline, "
+                                     "round(prior_baseline, 6) AS prior_baseline FROM b JOIN c USING (stock_code, window_start, avg_price, avg_volume)",
+                                     **CHANGE_CTES))
+def st_volume_ema(spark, sf_dir):
+    """ST2 + ST3 live: change and volume baseline of the daily windows from
+    keyed state, a few files a micro-batch."""
+    out = state.tick_baseline_stream(spark, v_tick(spark, sf_dir, table_stream(spark, sf_dir, "events", max_files=4)), DAY)
+    cols = ["avg_price", "change_pct", "avg_volume", "baseline", "prior_baseline"]
+    return _r(out.select("stock_code", "window_start", *cols), cols)
+
+
 ALERT_SQL_COLS = "rule, severity, key, event_id, detail, ts"
 SURGE_SQL = f"""SELECT 'PRICE_SURGE' AS rule, CASE WHEN abs(change_pct) > {2 * mo.PRICE_CHANGE_PCT} THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
   stock_code AS key, CAST(NULL AS BIGINT) AS event_id, CASE WHEN change_pct > 0 THEN 'up' ELSE 'down' END AS detail,
@@ -316,6 +329,14 @@ def hot_items_topn(spark, sf_dir):
     return b.groupBy("item_id").agg(F.count(F.lit(1)).alias("hits")).orderBy(F.desc("hits"), "item_id").limit(10)
 
 
+@register("st_hot_items", with_ctes("SELECT item_id, count(*) AS hits FROM bh GROUP BY item_id ORDER BY hits DESC, "
+                                    "item_id LIMIT 10", **BEH_CTES))
+def st_hot_items(spark, sf_dir):
+    """S17 / ST13 live: a bounded summary of the stream names the candidates, a
+    second pass counts them."""
+    return state.hot_items_stream(spark, _streamed(v_behaviour, spark, sf_dir), "item_id", v_behaviour(spark, sf_dir))
+
+
 @register("user_top_interests", with_ctes(f"""SELECT user_id, category, n, CAST(r AS INTEGER) AS rank FROM (
   SELECT user_id, category, n, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, category) AS r FROM (
     SELECT user_id, {CAT_SQL} AS category, count(*) AS n FROM bh GROUP BY 1, 2)) WHERE r <= 3""", **BEH_CTES))
@@ -352,6 +373,18 @@ def cf_similarity(spark, sf_dir):
                      F.col("k").alias("rank"))
 
 
+@register("cf_similarity_sparse", with_ctes(f"""SELECT user_a, user_b, round(similarity, 6) AS similarity, CAST(k AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_a ORDER BY similarity DESC, user_b) AS k FROM s WHERE similarity > 0)
+  WHERE k <= {CF_NEIGHBOURS}""", **BEH_CTES, s=SIM_SQL))
+def cf_similarity_sparse(spark, sf_dir):
+    """B1 for sparse data: the same neighbours through an inverted index with
+    prefix filtering; users that share no item of a prefix never meet."""
+    m = mo.implicit_matrix(v_behaviour(spark, sf_dir))
+    nb = similarity.nearest(m, "user_id", "item_id", "score", CF_NEIGHBOURS)
+    return nb.select(F.col("a").alias("user_a"), F.col("b").alias("user_b"), F.round("similarity", 6).alias("similarity"),
+                     F.col("k").alias("rank"))
+
+
 @register("cf_recommend", with_ctes("""SELECT user_id, item_id, round(score, 2) AS score, CAST(r AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS r FROM (
     SELECT t.user_a AS user_id, m.item_id, sum(m.score * t.similarity) AS score

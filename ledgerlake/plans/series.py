@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.ordered import block_window, blocked, ewm_multi, ewm_sql, ordered_window_apply
 from ..operators import cells as cl
 from ..operators import series as ts
+from ..operators.spline import fill_cubic
 from ..sources.tables import table
+from ..streaming.runner import table_stream
+from ..streaming.state import last_n_stream
 from .registry import register
 from .views import V_BARS_SQL, V_TICK_SQL, v_bars, v_tick, with_ctes
 
@@ -156,6 +159,17 @@ def last_n_per_key(spark, sf_dir):
     return ts.last_n_per_key(e, "user_id", ["ts", "event_id"], LAST_N)
 
 
+@register("st_last_n", f"""
+SELECT event_id, user_id, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events)
+WHERE r <= {LAST_N}""")
+def st_last_n(spark, sf_dir):
+    """W8 live: the last 10 events of every account as keyed list state."""
+    out = last_n_stream(spark, table_stream(spark, sf_dir, "events", max_files=4), "user_id", "ts", "event_id",
+                        ["event_id", "ts", "value"], LAST_N)
+    return out.select("event_id", "user_id", "ts", "value")
+
+
 @register("window_price_change", with_ctes("""
 SELECT stock_code, window_start, round(avg_value, 6) AS avg_value, n,
   round((avg_value - lag(avg_value) OVER (PARTITION BY stock_code ORDER BY window_start))
@@ -168,6 +182,35 @@ def window_price_change(spark, sf_dir):
     return _round(out, ["avg_value", "change_pct"])
 
 
+# Every third month is missing; the spline's system by one sweep down and one up.
+SPLINE_SQL = with_ctes("""SELECT stock_code, trade_date, round(coalesce(y, CASE WHEN p.i IS NOT NULL AND q.i IS NOT NULL THEN
+    (q.x - s.x) / h * p.y + (s.x - p.x) / h * q.y + ((((q.x - s.x) / h) ** 3 - (q.x - s.x) / h) * p.m + (((s.x - p.x) / h) ** 3 - (s.x - p.x) / h) * q.m) * h * h / 6 END), 4) AS close
+FROM (SELECT s.*, p, q, q.x - p.x AS h FROM s LEFT JOIN m2 p ON p.stock_code = s.stock_code AND p.i = s.before LEFT JOIN m2 q ON q.stock_code = s.stock_code AND q.i = s.before + 1) s""",
+    b=V_BARS_SQL,
+    s="""SELECT *, CASE WHEN y IS NULL THEN count(y) OVER (PARTITION BY stock_code ORDER BY x) END AS before FROM (
+  SELECT stock_code, trade_date, CAST(row_number() OVER (PARTITION BY stock_code ORDER BY trade_date) - 1 AS DOUBLE) AS x,
+    CASE WHEN month(trade_date) % 3 <> 0 THEN close END AS y FROM b)""",
+    k="SELECT stock_code, x, y, row_number() OVER (PARTITION BY stock_code ORDER BY x) AS i, count(*) OVER (PARTITION BY stock_code) AS n FROM s WHERE y IS NOT NULL",
+    e="""SELECT k.stock_code, k.i, k.n, k.x, k.y, CASE WHEN k.i IN (1, k.n) THEN 0.0 ELSE k.x - l.x END AS a,
+  CASE WHEN k.i IN (1, k.n) THEN 1.0 ELSE 2 * (r.x - l.x) END AS b, CASE WHEN k.i IN (1, k.n) THEN 0.0 ELSE r.x - k.x END AS c,
+  CASE WHEN k.i IN (1, k.n) THEN 0.0 ELSE 6 * ((r.y - k.y) / (r.x - k.x) - (k.y - l.y) / (k.x - l.x)) END AS d
+  FROM k LEFT JOIN k l ON l.stock_code = k.stock_code AND l.i = k.i - 1 LEFT JOIN k r ON r.stock_code = k.stock_code AND r.i = k.i + 1""",
+    fw="""WITH RECURSIVE f AS (SELECT stock_code, i, n, x, y, c / b AS cp, d / b AS dp FROM e WHERE i = 1 UNION ALL
+  SELECT e.stock_code, e.i, e.n, e.x, e.y, e.c / (e.b - e.a * f.cp), (e.d - e.a * f.dp) / (e.b - e.a * f.cp) FROM f JOIN e ON e.stock_code = f.stock_code AND e.i = f.i + 1)
+  SELECT * FROM f""",
+    m2="""WITH RECURSIVE g AS (SELECT stock_code, i, x, y, dp AS m FROM fw WHERE i = n UNION ALL
+  SELECT fw.stock_code, fw.i, fw.x, fw.y, fw.dp - fw.cp * g.m FROM g JOIN fw ON fw.stock_code = g.stock_code AND fw.i = g.i - 1) SELECT * FROM g""")
+
+
+@register("fill_spline", SPLINE_SQL)
+def fill_spline(spark, sf_dir):
+    """M7, cubic: months without a close on the natural spline of their code,
+    in blocks that the series cross."""
+    b = v_bars(spark, sf_dir).select("stock_code", "trade_date", F.when(F.month("trade_date") % 3 != 0, F.col("close")).alias("close"))
+    out = fill_cubic(b, ["trade_date"], "close", ["stock_code"], block_rows=32, block_knots=16)
+    return out.withColumn("close", F.round("close", 4))
+
+
 @register("ohlc_daily", with_ctes("""
 SELECT stock_code, date_trunc('day', ts) AS period,
   arg_min(price, {'t': ts, 'k': event_id}) AS open, max(price) AS high, min(price) AS low,

@@ -216,16 +216,18 @@ def _dbscan_brute(points, eps, least):
     return {i: label.get(i, min((label[j] for j in near[i] if j in core), default=-1)) for i in points}
 
 
-@pytest.mark.parametrize("block_points", [7, 1024])
-def test_dbscan_against_brute_force(spark, block_points):
+@pytest.mark.parametrize("cell_points", [7, 1024])
+def test_dbscan_against_brute_force(spark, cell_points):
     rng = random.Random(6)
     points = {i: (0.9 * i, 0.0) for i in range(120)}                       # one chain
     points |= {200 + i: (rng.gauss(0, 3), 50 + rng.gauss(0, 3)) for i in range(60)}
     points |= {300 + i: (5.0, 100.0 + 2 * i) for i in range(20)}           # same first coordinate, no neighbours
     points |= {400 + i: (7.0, 200.0 + 0.01 * i) for i in range(25)}
+    points |= {500 + i: (-40.0, 7.0) for i in range(90)}                   # a third of the points are copies
+    points |= {600: (-40.5, 7.0), 601: (-41.2, 7.0), 602: (-39.1, 7.0)}
     df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in points.items()], ["id", "v"])
     for least in (2, 4):
-        got = {r.id: r.cluster for r in md.dbscan(df, "id", "v", 1.0, least, block_points).collect()}
+        got = {r.id: r.cluster for r in md.dbscan(df, "id", "v", 1.0, least, cell_points).collect()}
         assert got == _dbscan_brute(points, 1.0, least)
 
 
@@ -244,22 +246,6 @@ def test_smote_rows_neighbours_and_keys(spark):
     assert md.smote(df, "id", "y", "v", 1.0, 0.1).count() == 0
 
 
-def test_ward_labels_against_plain_agglomeration():
-    rng = np.random.default_rng(3)
-    pts = np.concatenate([rng.normal(c, 0.3, (9, 3)) for c in (0, 2, 5)])
-    for k in (1, 2, 3, 6):
-        clusters = [[i] for i in range(len(pts))]
-        while len(clusters) > k:
-            def cost(a, b):
-                ca, cb = pts[a].mean(0), pts[b].mean(0)
-                return len(a) * len(b) / (len(a) + len(b)) * ((ca - cb) ** 2).sum()
-            i, j = min(((i, j) for i in range(len(clusters)) for j in range(i + 1, len(clusters))),
-                       key=lambda p: cost(clusters[p[0]], clusters[p[1]]))
-            clusters[i] = clusters[i] + clusters.pop(j)
-        got = md.ward_labels(pts, np.ones(len(pts)), k)
-        assert {frozenset(np.flatnonzero(got == c).tolist()) for c in set(got)} == {frozenset(c) for c in clusters}
-
-
 def test_silhouette_of_all_points(spark):
     rng = np.random.default_rng(5)
     pts, lab = rng.normal(size=(40, 3)), rng.integers(0, 3, 40)
