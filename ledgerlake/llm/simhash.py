@@ -228,16 +228,17 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     g = _groups(docs, id_col, text_col, shingle, max_distance)
     # Per id the rows there are, and those that are their component's first.
     first = F.count_if(F.col("id").eqNullSafe(F.col("component_id")))
-    ids = written(g.groupBy("id").agg(F.count(F.lit(1)).alias("_rows"), first.alias("_firsts"))
-                  .where("_firsts > 0").select(F.col("id").alias("_id"), "_rows"), "simhash-first")
-    tagged = docs.join(ids, docs[id_col].eqNullSafe(F.col("_id"))).drop("_id")
-    single = tagged.where("_rows = 1").drop("_rows")
-    if ids.where("_rows > 1").limit(1).count() == 0:
+    ids = written(g.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), first.alias("firsts"))
+                  .where("firsts > 0").select(F.col("id").alias("key"), "rows"), "simhash-first")
+    # The input row travels as one column: its names cannot clash with those here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    tagged = packed.join(ids, F.col("id").eqNullSafe(F.col("key"))).drop("key")
+    single = tagged.where("rows = 1").select("row.*")
+    if ids.where("rows > 1").limit(1).count() == 0:
         return single
     # Rows that share an id are told apart by their component.
-    many = tagged.where("_rows > 1").drop("_rows")
-    with_fp = fingerprints(many, text_col, shingle, "_fp")
-    of_fp = g.select(F.col("fp").alias("_f"), F.col("component_id").alias("_c"), F.col("root").alias("_root")).distinct()
-    best = with_fp.join(of_fp, F.col("_fp") == F.col("_f")).where(F.col(id_col).eqNullSafe(F.col("_c")))
-    best = best.dropDuplicates(["_root"])
-    return single.unionByName(best.select(*docs.columns))
+    with_fp = fingerprints(tagged.where("rows > 1"), "text", shingle, "fp")
+    of_fp = g.select(F.col("fp").alias("known"), "component_id", "root").distinct()
+    best = with_fp.join(of_fp, F.col("fp") == F.col("known")).where(F.col("id").eqNullSafe(F.col("component_id")))
+    return single.unionByName(best.dropDuplicates(["root"]).select("row.*"))
