@@ -44,7 +44,8 @@ def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.join(labels, "doc_id").select("host", "bad")
 
 
-# The same rules and the same three levels of shrinkage; a host's number is
+# The same rules, the same three levels of shrinkage, and for hosts without
+# labels the priors of their domain, suffix and the root; a host's number is
 # compared with the threshold only, so rounding does not show.
 OP4_SQL = r"""
 WITH u AS (
@@ -78,11 +79,19 @@ s1 AS (SELECT sfx, CASE WHEN k < 2 OR v <= 0 OR m <= 0 OR m >= 1 THEN 1000 ELSE
 p2 AS (SELECT domain, (bad + s * m) / (n + s) AS m FROM domains JOIN s1 USING (sfx) JOIN p1 USING (sfx)),
 st2 AS (SELECT domain, sum(bad) / sum(n) AS m, greatest(sum(bad * bad / n) / sum(n) - (sum(bad) / sum(n)) ** 2, 0) AS v, count(*) AS k FROM hosts GROUP BY domain),
 s2 AS (SELECT domain, CASE WHEN k < 2 OR v <= 0 OR m <= 0 OR m >= 1 THEN 1000 ELSE least(greatest(m * (1 - m) / v - 1, 1), 1000) END AS s FROM st2),
-ab AS (SELECT host, bad + s * m AS a, n - bad + s * (1 - m) AS b FROM hosts JOIN s2 USING (domain) JOIN p2 USING (domain)),
-rep AS (SELECT host, greatest(a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))), 0) AS bound FROM ab)
+ab AS (
+  SELECT 'host' AS level, host AS key, bad + s * m AS a, n - bad + s * (1 - m) AS b FROM hosts JOIN s2 USING (domain) JOIN p2 USING (domain)
+  UNION ALL SELECT 'domain', domain, s * m, s * (1 - m) FROM s2 JOIN p2 USING (domain)
+  UNION ALL SELECT 'sfx', sfx, s * m, s * (1 - m) FROM s1 JOIN p1 USING (sfx)
+  UNION ALL SELECT 'root', '', s * m, s * (1 - m) FROM s0, total),
+rep AS (SELECT level, key, greatest(a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))), 0) AS bound FROM ab)
 SELECT u.page_id, u.host, u.path, hit.rule AS rule,
-  coalesce(hit.verdict, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-FROM u LEFT JOIN fits ON fits.page_id = u.page_id AND fits.url IS NOT DISTINCT FROM u.url LEFT JOIN rep ON rep.host = u.host
+  coalesce(hit.verdict, CASE WHEN coalesce(h.bound, d.bound, s.bound, r.bound) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN fits ON fits.page_id = u.page_id AND fits.url IS NOT DISTINCT FROM u.url
+LEFT JOIN rep h ON h.level = 'host' AND h.key = u.host
+LEFT JOIN rep d ON d.level = 'domain' AND d.key = array_to_string(list_slice(string_split(u.host, '.'), -2, -1), '.')
+LEFT JOIN rep s ON s.level = 'sfx' AND s.key = list_extract(string_split(u.host, '.'), -1)
+LEFT JOIN rep r ON r.level = 'root'
 """
 
 

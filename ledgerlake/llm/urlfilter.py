@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 # (verdict, host, path prefix) of the listed rules.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -88,6 +90,7 @@ def _reputation(outcomes: DataFrame, host: str, bad: str) -> tuple[DataFrame, ..
              .groupBy(one.alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(bad).cast("long")).alias("bad"))
              .withColumn("domain", registered_domain(F.col("host"))).withColumn("sfx", suffix(F.col("host")))
              .withColumn("root", F.lit(0)))
+    hosts = written(hosts, "url-hosts")         # a row per labelled host, read by every level
     domains = hosts.groupBy("domain", "sfx", "root").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("sfx", "root").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.groupBy("root").agg((F.sum("bad") / F.sum("n")).alias("m"))
@@ -146,11 +149,12 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, url: str = "url", rules=R
     with one of the new names are replaced."""
     new = ["host", "path", "rule", "verdict", "reputation_bound"]
     kept = [c for c in pages.columns if c not in new]
-    u = pages.select(*kept, url_host(url).alias("host"), url_path(url).alias("path"))
+    # The input row travels as one column: its names cannot clash with those here.
+    u = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), url_host(url).alias("host"), url_path(url).alias("path"))
     hosts = pages.select(url_host(url).alias("host")).distinct()
     rep = bounds_of_hosts(hosts, outcomes).select(F.col("host").alias("_rh"), F.col("bound").alias("reputation_bound"))
     hit = matching_rule(F.col("host"), F.col("path"), rules)
     j = u.withColumn("_hit", hit).join(rep, F.col("host") == F.col("_rh"), "left")
     by_rep = F.when(F.col("reputation_bound") > block_above, F.lit("block")).otherwise(F.lit("allow"))
-    return j.select(*kept, "host", "path", F.col("_hit.rule").alias("rule"),
+    return j.select("row.*", "host", "path", F.col("_hit.rule").alias("rule"),
                     F.coalesce("_hit.verdict", by_rep).alias("verdict"), "reputation_bound")
