@@ -6,8 +6,10 @@
   longest chain rounds, one self join each), whatever the size of a
   conversation.  Sorting by (conversation, depth, turn) is a topological order.
 * Arguments are parsed as variants and checked against the tool's schema.
-* Output is one canonical JSON object a row: keys sorted, no white space, nulls
-  left out.
+* Output is one JSON object a row in one spelling: keys sorted, no white space,
+  fields without a value left out.  Inside ``arguments`` a null that was given
+  stays, whole numbers and decimals are written without trailing zeros, and a
+  number with an exponent is written as a double.
 
 DataFrame functions only.  No conversation is gathered in one place: a result
 row is a call or a result, so a conversation with a third of all rows is just
@@ -28,6 +30,13 @@ _TYPES = {"string": "^STRING$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "numb
           "boolean": "^BOOLEAN$", "array": "^ARRAY<", "object": "^OBJECT<"}
 
 
+def _member(key: str) -> str:
+    """Path of an argument, whatever characters its name has."""
+    if "'" in key and '"' in key:
+        raise ValueError(f"an argument's name cannot hold both kinds of quotes: {key!r}")
+    return f'$["{key}"]' if "'" in key else f"$['{key}']"
+
+
 def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
     """Sorted array of what is wrong with a call's arguments; empty if valid.
 
@@ -40,17 +49,18 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
     for tool, fields in sorted(schemas.items()):
         checks = []
         for key, rule in sorted(fields.items()):
-            at = F.try_variant_get(v, f"$.{key}", "variant")
+            path = _member(key)
+            at = F.try_variant_get(v, path, "variant")
             kind = F.schema_of_variant(at)
             fits = kind.rlike(_TYPES[rule["type"]])
             if rule.get("required"):
                 checks.append(F.when(kind.isNull(), F.lit(f"{key}: missing")))
             checks.append(F.when(~fits, F.lit(f"{key}: type")))
             if "max_length" in rule:
-                text = F.try_variant_get(v, f"$.{key}", "string")
+                text = F.try_variant_get(v, path, "string")
                 checks.append(F.when(fits & (F.length(text) > rule["max_length"]), F.lit(f"{key}: length")))
             if "minimum" in rule:
-                number = F.try_variant_get(v, f"$.{key}", "double")
+                number = F.try_variant_get(v, path, "double")
                 checks.append(F.when(fits & (number < rule["minimum"]), F.lit(f"{key}: minimum")))
         keys = F.coalesce(F.json_object_keys(arguments), F.array().cast("array<string>"))
         unknown = F.transform(F.array_except(keys, F.array(*[F.lit(k) for k in sorted(fields)])),

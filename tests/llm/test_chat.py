@@ -57,6 +57,18 @@ def test_argument_errors(spark):
         assert got[i] == want, (n, a, got[i])
 
 
+def test_names_with_odd_characters_and_long_texts(spark):
+    odd = {"f": {"a.b": {"type": "string", "required": True}, "it's": {"type": "integer"}, "x y": {"type": "string", "max_length": 5}}}
+    long = "w\\n" * 200_000
+    calls = [(1, "a", None, 0, "f", '{"a.b":"v","it\'s":1}'), (1, "b", None, 1, "f", '{"a":{"b":"v"}}'),
+             (1, "c", None, 2, "f", '{"a.b":"' + long + '","x y":"123456"}')]
+    df = chat.link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame([(1, "c", 3, "r" * 1_000_000)], RESULTS), odd)
+    got = {r.call_id: r for r in df.collect()}
+    assert got["a"].errors == [] and got["b"].errors == ["a.b: missing", "a: unknown"] and got["c"].errors == ["x y: length"]
+    o = json.loads(got["c"].json)
+    assert o["arguments"]["a.b"] == "w\n" * 200_000 and len(o["content"]) == 1_000_000
+
+
 def test_long_chain_depth(spark):
     n = 300
     calls = [(7, f"k{i}", f"k{i - 1}" if i else None, n - i, "f", '{"a":"x"}') for i in range(n)]
