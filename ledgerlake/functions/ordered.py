@@ -145,6 +145,21 @@ BRACKET_ACCURACY = 10000
 BRACKET_LIMIT = 20_000  # values collected per (column, probability)
 
 
+SKETCH_VALUES = 4096     # values of a column that the first pass's sketch holds exactly
+SKETCH_ERROR = 0.004     # ranks off at most, as a share, with room to spare; checked by counting
+
+
+def sketch_quantiles(spark, asked: Sequence[tuple[bytes, Sequence[float]]]) -> list[list[float]]:
+    """Per (KLL sketch, ranks as shares) the values at these ranks; worked out
+    on literals, without reading anything."""
+    if not asked:
+        return []
+    row = spark.sql("SELECT 1 AS one").select(*[
+        F.kll_sketch_get_quantile_double(F.lit(bytearray(sketch)), F.array(*[F.lit(float(r)) for r in ranks])).alias(f"q{i}")
+        for i, (sketch, ranks) in enumerate(asked)]).first()
+    return [list(q) for q in row]
+
+
 class _Bracket:
     """A quantile in the making: the ranks it needs, those already known, and
     two values between which the others lie."""
@@ -184,13 +199,15 @@ def quantile_params(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """Global quantiles as a driver-side parameter dict {col: {p: value}}.
 
     Exact by narrowing brackets, whatever the size: pass 1 is one aggregate
-    with a count and a low-accuracy ``percentile_approx`` at p -/+ 2/A per
-    column, which enclose the ranks floor/ceil of p*(n-1).  Then, for all
-    quantiles still open at once, a pass counts the values below, at and
-    between the ends of their brackets: ranks on an end are known (ties cost
-    nothing).  Brackets with at most ``BRACKET_LIMIT`` values between are
-    collected; wider ones are narrowed by another approximate pass over their
-    inside, which leaves about 4/A of it.  Rows are never sorted or stored."""
+    with the count and a KLL sketch per column.  A column of at most
+    ``SKETCH_VALUES`` values is in its sketch as a whole: the quantiles follow
+    without another job.  For others the sketch's values at p -/+ the error
+    enclose the ranks floor/ceil of p*(n-1).  Then, for all quantiles still open
+    at once, a pass counts the values below, at and between the ends of their
+    brackets: ranks on an end are known (ties cost nothing).  Brackets with at
+    most ``BRACKET_LIMIT`` values between are collected; wider ones are narrowed
+    by an approximate pass over their inside, which leaves about
+    4/``BRACKET_ACCURACY`` of it.  Rows are never sorted or stored."""
     probs = [float(p) for p in probs]
     out: dict[str, dict[float, float]] = {c: {} for c in cols}
     if approx:
@@ -199,20 +216,30 @@ def quantile_params(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return out
     a = BRACKET_ACCURACY
     eps = 2.0 / a
-    ext = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
     val = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(val[c]).alias(f"n{i}"), F.min(val[c]).alias(f"a{i}"), F.max(val[c]).alias(f"z{i}"),
-                 F.percentile_approx(val[c], F.array(*[F.lit(x) for x in ext]), a).alias(f"q{i}")]
-    row = df.agg(*aggs).first()
+                 F.kll_sketch_agg_double(val[c], SKETCH_VALUES).alias(f"s{i}")]
+    row = df.agg(*aggs).first() if cols else None
+    some = [(i, c) for i, c in enumerate(cols) if row[f"n{i}"]]
+
+    def ranks(n):
+        """Two shares per quantile: its two neighbours, or ends around them."""
+        if n <= SKETCH_VALUES:
+            return [min(1.0, (f(p * (n - 1)) + 1) / n) for p in probs for f in (math.floor, math.ceil)]
+        return [min(1.0, max(0.0, p + d)) for p in probs for d in (-SKETCH_ERROR, SKETCH_ERROR)]
+
+    found = sketch_quantiles(df.sparkSession, [(row[f"s{i}"], ranks(row[f"n{i}"])) for i, _ in some])
     todo: dict[tuple, _Bracket] = {}
-    for i, c in enumerate(cols):
-        if row[f"n{i}"]:
-            qv = dict(zip(ext, row[f"q{i}"]))
-            for p in probs:
-                todo[c, p] = _Bracket(c, p * (row[f"n{i}"] - 1), qv[min(1.0, max(0.0, p - eps))],
-                                      qv[min(1.0, max(0.0, p + eps))], (row[f"a{i}"], row[f"z{i}"]))
+    for (i, c), q in zip(some, found):
+        n = row[f"n{i}"]
+        for k, p in enumerate(probs):
+            pos, lo, hi = p * (n - 1), q[2 * k], q[2 * k + 1]
+            if n <= SKETCH_VALUES:
+                out[c][p] = lo + (pos - math.floor(pos)) * (hi - lo)
+            else:
+                todo[c, p] = _Bracket(c, pos, lo, hi, (row[f"a{i}"], row[f"z{i}"]))
     done = dict(todo)
     while todo:
         aggs = []

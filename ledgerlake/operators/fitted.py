@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_columns
+from ..functions.ordered import sketch_quantiles
 from . import scaling
 
 K = 2000
@@ -73,9 +74,8 @@ def _quantiles(spark: SparkSession, rows: Sequence, probs: Sequence[float]) -> l
     asked, out = [], []
     for r in rows:
         at = [p * (r["n"] - 1) for p in probs]
-        ranks = [min(1.0, (f(x) + 1) / r["n"]) for x in at for f in (math.floor, math.ceil)]
-        asked.append(F.kll_sketch_get_quantile_double(F.lit(bytearray(r["sketch"])), F.array(*[F.lit(x) for x in ranks])))
-    found = spark.range(1).select(*[x.alias(f"q{i}") for i, x in enumerate(asked)]).first() if asked and probs else [[]] * len(asked)
+        asked.append((r["sketch"], [min(1.0, (f(x) + 1) / r["n"]) for x in at for f in (math.floor, math.ceil)]))
+    found = sketch_quantiles(spark, asked) if probs else [[]] * len(asked)
     for r, q in zip(rows, found):
         out.append([q[2 * i] + (p * (r["n"] - 1) - math.floor(p * (r["n"] - 1))) * (q[2 * i + 1] - q[2 * i]) for i, p in enumerate(probs)])
     return out

@@ -13,7 +13,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -329,13 +329,6 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5,
     return out.select(F.col("id").alias(key), F.coalesce("label", F.lit(-1)).cast("long").alias("cluster"))
 
 
-def pca(df: DataFrame, col: str, k: int = 2):
-    """Centred PCA (``PCA.transform`` does not subtract the mean)."""
-    centred = StandardScaler(inputCol=col, outputCol="_c", withMean=True, withStd=False).fit(df).transform(df)
-    model = PCA(k=k, inputCol="_c", outputCol="pca").fit(centred)
-    return model.transform(centred).drop("_c"), [float(x) for x in model.explainedVariance.toArray()]
-
-
 # -------------------------------------------------------------- regression
 def regressors(alpha_ridge: float, alpha_lasso: float, std_y: float, n: int, gbt_depth: int = 5) -> dict:
     """OLS (normal equations), ridge (regParam = alpha*std(y)/n makes

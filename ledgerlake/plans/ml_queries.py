@@ -14,6 +14,7 @@ from ..functions.ordered import materialize
 from ..operators.ml import boosting as bt
 from ..operators.ml import metrics as mt
 from ..operators.ml import models as md
+from ..operators.ml.subspace import pca
 from ..operators.ml.ward import ward
 from ..sources.tables import table
 from .credit import CTES as CREDIT_CTES
@@ -517,13 +518,41 @@ def cluster_compare(spark, sf_dir):
     return out.orderBy(F.desc_nulls_last("silhouette"))
 
 
-@register("pca2")
+def _top_vector_sql(name: str, matrix: str) -> str:
+    """CTEs <name>_v (i, v) and <name>_l (value): the first eigenvector of the
+    table ``matrix`` (i, j, v), by squaring it until only this one is left."""
+    return f"""
+{name}_p AS (WITH RECURSIVE p AS (
+    SELECT i, j, v / (SELECT sum(v) FROM {matrix} WHERE i = j) AS v, 0 AS step FROM {matrix}
+    UNION ALL (WITH q AS (SELECT a.i, b.j, sum(a.v * b.v) AS v, max(a.step) + 1 AS step FROM p a JOIN p b ON a.j = b.i WHERE a.step < 24 GROUP BY a.i, b.j)
+      SELECT i, j, v / sum(CASE WHEN i = j THEN v ELSE 0 END) OVER () AS v, step FROM q))
+  SELECT i, j, v FROM p WHERE step = 24),
+{name}_c AS (SELECT i, v FROM {name}_p WHERE j = (SELECT arg_max(i, v) FROM {name}_p WHERE i = j)),
+{name}_v AS (SELECT i, v / sqrt(sum(v * v) OVER ()) * sign(arg_max(v, abs(v)) OVER ()) AS v FROM {name}_c),
+{name}_l AS (SELECT sum(a.v * m.v * b.v) AS value FROM {matrix} m JOIN {name}_v a ON a.i = m.i JOIN {name}_v b ON b.i = m.j)"""
+
+
+PCA_SQL = f"""
+WITH x AS MATERIALIZED (SELECT vec_id, unnest(range(1, {DIM + 1})) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+c AS MATERIALIZED (SELECT vec_id, x.i, x.v - m.v AS v FROM x JOIN (SELECT i, avg(v) AS v FROM x GROUP BY i) m USING (i)),
+g AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) / (SELECT count(*) - 1 FROM embeddings) AS v FROM c a JOIN c b USING (vec_id) GROUP BY a.i, b.i),
+{_top_vector_sql("one", "g")},
+g2 AS MATERIALIZED (SELECT g.i, g.j, g.v - (SELECT value FROM one_l) * a.v * b.v AS v FROM g JOIN one_v a ON a.i = g.i JOIN one_v b ON b.i = g.j),
+{_top_vector_sql("two", "g2")}
+SELECT vec_id, round(sum(c.v * a.v), 5) AS pc1, round(sum(c.v * b.v), 5) AS pc2,
+  round((SELECT value FROM one_l) / (SELECT sum(v) FROM g WHERE i = j), 6) AS explained_1,
+  round((SELECT value FROM two_l) / (SELECT sum(v) FROM g WHERE i = j), 6) AS explained_2
+FROM c JOIN one_v a ON a.i = c.i JOIN two_v b ON b.i = c.i GROUP BY vec_id"""
+
+
+@register("pca2", PCA_SQL)
 def pca2(spark, sf_dir):
-    """Centred 2-component PCA with explained variance."""
-    out, ev = md.pca(embeddings(spark, sf_dir), "features", 2)
-    arr = vector_to_array("pca")
-    return out.select("vec_id", arr[0].alias("pc1"), arr[1].alias("pc2"), F.lit(ev[0]).alias("explained_1"),
-                      F.lit(ev[1]).alias("explained_2"))
+    """Two centred principal components with explained variance."""
+    e = embeddings(spark, sf_dir)
+    m = pca(e, vector_to_array("features"), 2)
+    out = m.transform(e, vector_to_array("features"))
+    return out.select("vec_id", F.round(F.col("pca")[0], 5).alias("pc1"), F.round(F.col("pca")[1], 5).alias("pc2"),
+                      *[F.lit(round(x, 6)).alias(f"explained_{i}") for i, x in enumerate(m.explained, 1)])
 
 
 SMOTE_SQL = f"""
