@@ -72,5 +72,5 @@ def test_registered():
     import __spark_entry__ as e
     assert e.queries()["pipeline"].__doc__ == cp.run.__doc__
     names = {n.split("_")[0] for n in e.queries() if n.startswith("op")}
-    assert {f"op{i}" for i in range(1, 11)} <= names
+    assert {f"op{i}" for i in range(1, 14)} <= names
     assert set(e.oracle_sql()) <= set(e.queries())
