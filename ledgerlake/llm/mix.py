@@ -1,180 +1,238 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Every source's documents, in a fixed order, are cut into blocks of equal size
-(characters).  With integer weights ``c`` that sum to ``H``, the ``j``-th block of a
-source (from 1) is released at slot ``floor((j - 1) * H / c)`` and due at
-``ceil(j * H / c)``; in every slot the released block with the earliest deadline
-is taken.  On one schedule with weights that sum to one this meets every
+(characters).  The weights as given are exact ratios ``c / H`` of integers; the
+``j``-th block of a source (from 1) is released at slot ``floor((j - 1) * H / c)``
+and due at ``ceil(j * H / c)``; in every slot the released block with the earliest
+deadline is taken.  On one schedule with weights that sum to one this meets every
 deadline, so after any number of slots each source is less than one block away
-from its share ``c / H``.  ``H`` grows with the mixture until rounding the
-weights to ``c / H`` moves no source by a block over all slots, so each source
-is less than two blocks away from its target share.  The schedule repeats after
-``H`` slots: it is worked out for one period, and block ``j`` of a source gets
-its slot by arithmetic.
+from its target share.
 
-The mixture is long enough for every source to be used up at least once.  No
-document is left out; a source with fewer blocks than its share starts over
-(a further epoch of the source).
+The schedule is worked out in ranges of slots, a task each.  What a range needs
+to know is which sources are ahead at its first slot (a source has been given its
+share rounded down or up, nothing else is possible).  Ranges start from a guess
+(earliest deadlines ahead) and are run again where the range before ended
+otherwise, until all borders agree; the result is the one of a single run from
+slot 0, which forgets its start quickly.  The driver and every range hold a row
+per source, nothing per slot, block or document.
+
+The mixture ends when every source has been used up once.  No document is left
+out; a source with fewer blocks than its share starts over (a further epoch of
+the source).
 
 The order inside a source is a hash of the row; positions come from sums over
 hashed buckets and a short running sum inside each, so a source with a third of
-all rows is spread over many tasks."""
+all rows is spread over many tasks.
+
+Defined cases.  A null source is a source of its own (the empty name).  Null
+texts count as empty; every document counts one character more than its text, so
+that empty ones have a place.  A long document begins in one block and fills
+those after it.  Repeated rows have a place each.  An empty table gives an empty
+mixture.  Input columns keep their values whatever their names, but those called
+like one of the new columns are replaced."""
 
 from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PERIOD = 1000              # slots of the shortest period: the resolution of the weights
+from .common import ship_package, written
+
+RANGE_SLOTS = 1 << 18      # slots that a task schedules
 PLACES = 512               # slots of a source that travel as one row
-BROADCAST_SLOTS = 1 << 23  # longer schedules are joined as Spark plans it
 BLOCK_CHARS = 1 << 16
 ALPHA = 0.7                # default weights: share of characters to this power
 BUCKET_ROWS = 4096
-MAX_SOURCES = 100_000      # the weights are a parameter-sized table
+BROADCAST_SOURCES = 100_000    # longer tables of a row per source are joined as Spark plans it
+NEW = ("mix_source", "mix_slot", "mix_epoch", "mix_block", "mix_offset")
 
 
-def integer_weights(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Positive integers in the proportion of ``weights`` that sum to the period
-    (largest remainders; at least 1 each; a longer period for many sources)."""
-    if not weights or any(not (w > 0) or math.isinf(w) for w in weights.values()):
-        raise ValueError("weights must be positive and finite")
-    period = max(period, 10 * len(weights))
-    total = math.fsum(weights.values())
-    exact = {s: w / total * period for s, w in sorted(weights.items())}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    by_rest = sorted(out, key=lambda s: (out[s] - exact[s], s))
-    while (left := period - sum(out.values())) != 0:
-        for s in (by_rest if left > 0 else reversed(by_rest)):
-            if left > 0:
-                out[s] += 1
-                left -= 1
-            elif left < 0 and out[s] > 1:
-                out[s] -= 1
-                left += 1
-            if left == 0:
-                break
-    return out
-
+# ---------------------------------------------------------------- schedule
 
-def pfair_period(c: Mapping[str, int]) -> list[str]:
-    """The source of every slot of one period."""
-    period = sum(c.values())
-    waiting = [(0, s, 1) for s in sorted(c)]          # (release, source, block)
+def exact_weights(weights: Sequence[float]) -> list[int]:
+    """Integers in exactly the proportion of the given numbers."""
+    if not weights or any(not (w > 0) or math.isinf(w) for w in weights):
+        raise ValueError("weights must be positive and finite")
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(w.denominator for w in exact))
+    c = [int(w * scale) for w in exact]
+    g = math.gcd(*c)
+    return [x // g for x in c]
+
+
+def guess_ahead(c: Sequence[int], total: int, at: int) -> list[int]:
+    """The sources that are given their share of ``at`` slots rounded up, if
+    those of the earliest deadlines were."""
+    done = [at * x // total for x in c]
+    open_ = [(-(-(n + 1) * total // x), s) for s, (n, x) in enumerate(zip(done, c)) if n * total < at * x]
+    return sorted(s for _, s in heapq.nsmallest(at - sum(done), open_))
+
+
+def run_range(c: Sequence[int], total: int, begin: int, end: int, ahead: Sequence[int]) -> tuple[np.ndarray, list[int]]:
+    """The source of every slot in [begin, end) and the sources ahead at the end."""
+    done = [begin * x // total for x in c]
+    for s in ahead:
+        done[s] += 1
+    waiting = [(n * total // x, s) for s, (n, x) in enumerate(zip(done, c))]        # (release, source)
     heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []            # (deadline, source, block)
-    out = []
-    for slot in range(period):
+    ready: list[tuple[int, int]] = []                                               # (deadline, source)
+    out = np.empty(end - begin, dtype=np.int32)
+    for slot in range(begin, end):
         while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-j * period // c[s]), s, j))
-        due, s, j = heapq.heappop(ready)
-        assert due > slot
-        out.append(s)
-        if j < c[s]:
-            heapq.heappush(waiting, (j * period // c[s], s, j + 1))
-    return out
-
-
-def fitting_weights(weights: Mapping[str, float], blocks: Mapping[str, int], period: int = PERIOD) -> dict[str, int]:
-    """Integer weights of the first period (growing by a quarter) whose rounding
-    errors come to less than a block up to the last deadline of ``blocks``."""
-    total = math.fsum(weights.values())
-    while True:
-        c = integer_weights(weights, period)
-        h = sum(c.values())
-        horizon = max(-(-blocks[s] * h // c[s]) for s in c)
-        if max(abs(c[s] / h - weights[s] / total) for s in c) * horizon < 1:
-            return c
-        period = h + h // 4
+            s = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(done[s] + 1) * total // c[s]), s))
+        s = heapq.heappop(ready)[1]
+        out[slot - begin] = s
+        done[s] += 1
+        heapq.heappush(waiting, (done[s] * total // c[s], s))
+    return out, [s for s, (n, x) in enumerate(zip(done, c)) if n > end * x // total]
+
+
+def schedule(spark, c: Sequence[int], slots: int, range_slots: int = RANGE_SLOTS) -> DataFrame:
+    """(s, part, first, slots): the slots of blocks ``first, first + 1, ...`` (from
+    0) of source ``s``, all of them with block // PLACES = part."""
+    ship_package(spark)
+    total, c = sum(c), list(c)
+    ranges = max(1, -(-slots // range_slots))
+    shared = spark.sparkContext.broadcast(c)         # a number per source
+    todo = spark.range(ranges).select(F.col("id").alias("r"), F.lit(None).cast("array<int>").alias("ahead"))
+
+    def begin_of(r, ahead):
+        if ahead is None:
+            return guess_ahead(shared.value, total, r * range_slots)
+        return [int(s) for s in ahead]
+
+    def end_of(r):
+        return min((r + 1) * range_slots, slots)
+
+    def borders(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            for r, ahead in zip(pdf["r"].tolist(), pdf["ahead"]):
+                before = begin_of(r, ahead)
+                after = run_range(shared.value, total, r * range_slots, end_of(r), before)[1]
+                yield pd.DataFrame({"r": [r], "ahead": [before], "after": [after]})
+
+    state = "r long, ahead array<int>, after array<int>"
+    if ranges > 1:
+        known = written(todo.repartition(ranges, "r").mapInPandas(borders, state), "mix-borders")
+        while True:
+            wrong = known.join(known.select((F.col("r") + 1).alias("r"), F.col("after").alias("right")), "r").where("ahead <> right")
+            again = written(wrong.select("r", F.col("right").alias("ahead")), "mix-again")
+            if again.isEmpty():
+                break
+            new = again.repartition(ranges, "r").mapInPandas(borders, state)
+            known = written(known.join(again.select("r"), "r", "left_anti").unionByName(new), "mix-borders")
+        todo = known.select("r", "ahead")
+
+    def places(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            for r, ahead in zip(pdf["r"].tolist(), pdf["ahead"]):
+                before = begin_of(r, ahead)
+                begin = r * range_slots
+                taken, _ = run_range(shared.value, total, begin, end_of(r), before)
+                up = set(before)
+                order = np.argsort(taken, kind="stable")
+                at = np.flatnonzero(np.concatenate([[True], np.diff(taken[order]) != 0, [True]])) if len(order) else np.zeros(1, int)
+                rows = []
+                for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+                    s = int(taken[order[i]])
+                    block, mine = begin * c[s] // total + (s in up), begin + order[i:j]
+                    while len(mine):
+                        n = PLACES - block % PLACES
+                        rows.append((s, block // PLACES, block, mine[:n]))
+                        block, mine = block + n, mine[n:]
+                yield pd.DataFrame(rows, columns=["s", "part", "first", "slots"])
+
+    return todo.repartition(ranges, "r").mapInPandas(places, "s int, part long, first long, slots array<long>")
+
+
+# ---------------------------------------------------------------- operator
+
+def _per_source(df: DataFrame, sources: int) -> DataFrame:
+    return F.broadcast(df) if sources <= BROADCAST_SOURCES else df
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source", block_chars: int = BLOCK_CHARS,
-                period: int = PERIOD) -> DataFrame:
+                range_slots: int = RANGE_SLOTS) -> DataFrame:
     """``docs`` with (mix_source, mix_slot, mix_epoch, mix_block, mix_offset): a
     row per document and epoch; sorting by (mix_slot, mix_offset) gives the
     mixture.
 
-    A null source is a source of its own (the empty name); null texts count as
-    empty (every document counts one character more than its text, so that
-    empty ones have a place).  Without ``weights`` they follow from the sources'
-    sizes; with them, sources not named and names without rows raise.  An empty
-    table gives an empty mixture.  Columns of ``docs`` with one of the new names
-    are replaced."""
-    docs = docs.drop("mix_source", "mix_slot", "mix_epoch", "mix_block", "mix_offset")
-    src = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    size = F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long") + 1
-    # Hashing the text too tells rows apart that repeat an id.
-    order = F.xxhash64(F.col(id_col), F.col(text_col))
-    d = docs.withColumns({"mix_source": src, "_size": size, "_order": order})
-    totals = d.groupBy("mix_source").agg(F.sum("_size").alias("chars"), F.count(F.lit(1)).alias("n"))
-    rows = totals.limit(MAX_SOURCES + 1).collect()     # a row per source
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    empty = d.withColumns({"mix_slot": F.lit(0).cast("long"), "mix_epoch": F.lit(0).cast("long"),
-                           "mix_block": F.lit(0).cast("long"), "mix_offset": F.lit(0).cast("long")})
-    if not rows:
-        return empty.drop("_size", "_order")
-    chars = {r["mix_source"]: r["chars"] for r in rows}
-    if weights is None:
-        weights = {s: n ** ALPHA for s, n in chars.items()}
-    elif set(weights) != set(chars):
-        raise ValueError(f"weights and sources differ in {sorted(set(weights) ^ set(chars))[:10]}")
-    blocks = {s: -(-n // block_chars) for s, n in chars.items()}
-    c = fitting_weights(weights, blocks, period)
-    slots = pfair_period(c)
-    h = len(slots)
-    places: dict[str, list[int]] = {s: [] for s in c}
-    for i, s in enumerate(slots):
-        places[s].append(i)
-    last = {s: (blocks[s] - 1) // c[s] * h + places[s][(blocks[s] - 1) % c[s]] for s in c}
-    horizon = max(last.values()) + 1
-    whole, rest = divmod(horizon, h)
-    plan = [(s, blocks[s], whole * c[s] + bisect_left(places[s], rest), c[s]) for s in sorted(c)]
+    Without ``weights`` they follow from the sources' sizes; with them, sources
+    not named and names without rows raise."""
     spark = docs.sparkSession
-    table = spark.createDataFrame(plan, "_s string, _blocks long, _scheduled long, _c long")
-    parts = spark.createDataFrame([(s, i // PLACES, of[i:i + PLACES]) for s, of in sorted(places.items())
-                                   for i in range(0, len(of), PLACES)], "_s string, _part long, _places array<long>")
-    if h <= BROADCAST_SLOTS:
-        parts = F.broadcast(parts)
+    # Input columns under names of their own: they cannot clash with those here,
+    # and those that nobody asks for are not carried.
+    held = {f"in_{i}": c for i, c in enumerate(c for c in docs.columns if c not in NEW)}
+    d = docs.select(
+        *[F.col(f"`{c}`").alias(n) for n, c in held.items()], F.col(id_col).alias("id"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+        (F.length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("long") + 1).alias("size"),
+        # Hashing the text too tells rows apart that repeat an id.
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("order"))
+    totals = sorted(d.groupBy("source").agg(F.sum("size"), F.count(F.lit(1))).collect())     # a row per source
+    if not totals:
+        return d.select(*[F.col(n).alias(c) for n, c in held.items()], F.col("source").alias("mix_source"),
+                        *[F.lit(0).cast("long").alias(c) for c in NEW[1:]])
+    names = [r[0] for r in totals]
+    if weights is None:
+        weights = {s: chars ** ALPHA for s, chars, _ in totals}
+    elif set(weights) != set(names):
+        raise ValueError(f"weights and sources differ in {sorted(set(weights) ^ set(names))[:10]}")
+    c = exact_weights([weights[s] for s in names])
+    blocks = [-(-chars // block_chars) for _, chars, _ in totals]
+    # Every source's last block is due by then.
+    longest = max(-(-n * sum(c) // x) for n, x in zip(blocks, c))
+    parts = written(schedule(spark, c, longest, range_slots), "mix-slots")
+    table = [(i, s, n, -(-rows // BUCKET_ROWS)) for i, ((s, _, rows), n) in enumerate(zip(totals, blocks))]
+    sources = spark.createDataFrame(table, "s int, source string, blocks long, buckets long")
+    # The mixture ends with the first block of the last source to be used up.
+    last = parts.join(_per_source(sources, len(names)), "s").where("first < blocks AND blocks <= first + size(slots)")
+    slots = last.agg(F.max(F.element_at("slots", (F.col("blocks") - F.col("first")).cast("int")))).first()[0] + 1
+    given = parts.groupBy("s").agg(F.sum(F.size(F.filter("slots", lambda x: x < slots))).alias("given"))
+    sources = sources.join(given, "s")
 
     # Start of every document in its source: the buckets before its own, then
     # the rows before it in the bucket.
-    per = {r["mix_source"]: -(-r["n"] // BUCKET_ROWS) for r in rows}
-    cuts = spark.createDataFrame(sorted(per.items()), "_s string, _buckets long")
-    d = d.join(F.broadcast(cuts), F.col("mix_source") == F.col("_s")).drop("_s")
+    d = d.join(_per_source(sources, len(names)), "source")
     # Signed 64-bit hashes to equal ranges: the top 31 bits times the buckets.
-    top = F.shiftrightunsigned("_order", 33)
-    d = d.withColumn("_bucket", F.floor(top * F.col("_buckets") / F.lit(float(1 << 31))).cast("long"))
-    sums = d.groupBy("mix_source", "_bucket").agg(F.sum("_size").alias("_sum"))
-    before = Window.partitionBy("mix_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("mix_source").alias("_s"), F.col("_bucket").alias("_b"),
-                         F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("mix_source", "_bucket").orderBy(top, "_order", F.col(id_col)).rowsBetween(
-        Window.unboundedPreceding, -1)
-    d = d.withColumn("_in", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    d = d.join(starts, (F.col("mix_source") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))).drop("_s", "_b")
-    d = d.withColumn("mix_offset", F.col("_base") + F.col("_in"))
-    d = d.withColumn("mix_block", F.floor(F.col("mix_offset") / block_chars).cast("long"))
-    d = d.join(F.broadcast(table), F.col("mix_source") == F.col("_s")).drop("_s")
-    epochs = F.floor((F.col("_scheduled") - 1 - F.col("mix_block")) / F.col("_blocks"))
-    d = d.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), epochs.cast("long"))))
-    j = F.col("mix_block") + F.col("mix_epoch") * F.col("_blocks")
-    d = d.withColumns({"_round": F.floor(j / F.col("_c")).cast("long"), "_k": F.pmod(j, F.col("_c"))})
-    d = d.join(parts, (F.col("mix_source") == F.col("_s")) & (F.floor(F.col("_k") / PLACES) == F.col("_part")))
-    d = d.withColumn("mix_slot", F.col("_round") * h + F.element_at("_places", (F.col("_k") % PLACES + 1).cast("int")))
-    return d.select(*docs.columns, "mix_source", "mix_slot", "mix_epoch", "mix_block", "mix_offset")
+    top = F.shiftrightunsigned("order", 33)
+    d = d.withColumn("bucket", F.floor(top * F.col("buckets") / F.lit(float(1 << 31))).cast("long"))
+    sums = d.groupBy("s", "bucket").agg(F.sum("size").alias("sum"))
+    before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("s", "bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("s", "bucket").orderBy(top, "order", "id").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["s", "bucket"])
+    d = d.withColumn("offset", F.col("base") + F.col("inside"))
+    d = d.withColumn("block", F.floor(F.col("offset") / block_chars).cast("long"))
+    epochs = F.floor((F.col("given") - 1 - F.col("block")) / F.col("blocks")).cast("long")
+    d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), epochs)))
+    d = d.withColumn("j", F.col("block") + F.col("epoch") * F.col("blocks")).withColumn("part", F.floor(F.col("j") / PLACES).cast("long"))
+    # A part of a source that two ranges share comes in two rows.
+    d = d.join(parts, ["s", "part"]).where("j >= first AND j < first + size(slots)")
+    slot = F.element_at("slots", (F.col("j") - F.col("first") + 1).cast("int"))
+    found = [F.col("source"), slot, F.col("epoch"), F.col("block"), F.col("offset")]
+    return d.select(*[F.col(n).alias(c) for n, c in held.items()], *[x.alias(c) for x, c in zip(found, NEW)])
 
 
 def mixed_rows(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> DataFrame:
     """The mixture itself: the rows of ``docs``, those of later epochs again, in
     the order of the schedule (partitions are consecutive ranges of slots)."""
     m = mix_sources(docs, weights, **options)
-    # Offsets spread a block's rows if slots are few.
-    return m.repartitionByRange("mix_slot", "mix_offset").sortWithinPartitions("mix_slot", "mix_offset").select(*docs.columns)
+    if not set(NEW) & set(docs.columns):
+        # Offsets spread a block's rows if slots are few.
+        return m.repartitionByRange("mix_slot", "mix_offset").sortWithinPartitions("mix_slot", "mix_offset").select(
+            *[F.col(f"`{c}`") for c in docs.columns])
+    # Columns with one of the new names come back as they were.
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       *[F.col(options.get(o, o.removesuffix("_col") if o != "id_col" else "doc_id")).alias(n)
+                         for o, n in (("id_col", "id"), ("text_col", "text"), ("source_col", "source"))])
+    return mixed_rows(held, weights, **{**options, "id_col": "id", "text_col": "text", "source_col": "source"}).select("row.*")

@@ -149,12 +149,13 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, url: str = "url", rules=R
     with one of the new names are replaced."""
     new = ["host", "path", "rule", "verdict", "reputation_bound"]
     kept = [c for c in pages.columns if c not in new]
-    # The input row travels as one column: its names cannot clash with those here.
-    u = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), url_host(url).alias("host"), url_path(url).alias("path"))
+    # Input columns under names of their own: they cannot clash with those here.
+    held = {f"in_{i}": c for i, c in enumerate(kept)}
+    u = pages.select(*[F.col(f"`{c}`").alias(n) for n, c in held.items()], url_host(url).alias("host"), url_path(url).alias("path"))
     hosts = pages.select(url_host(url).alias("host")).distinct()
     rep = bounds_of_hosts(hosts, outcomes).select(F.col("host").alias("_rh"), F.col("bound").alias("reputation_bound"))
     hit = matching_rule(F.col("host"), F.col("path"), rules)
     j = u.withColumn("_hit", hit).join(rep, F.col("host") == F.col("_rh"), "left")
     by_rep = F.when(F.col("reputation_bound") > block_above, F.lit("block")).otherwise(F.lit("allow"))
-    return j.select("row.*", "host", "path", F.col("_hit.rule").alias("rule"),
+    return j.select(*[F.col(n).alias(c) for n, c in held.items()], "host", "path", F.col("_hit.rule").alias("rule"),
                     F.coalesce("_hit.verdict", by_rep).alias("verdict"), "reputation_bound")

@@ -1,26 +1,70 @@
 """Pfair mixing: deviation below one block, whole results, brute positions."""
 
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from conftest import SF001
 from ledgerlake.llm import mix, queries
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_deviation_stays_below_one_block(seed):
+def plain_schedule(weights, slots):
+    """Slot by slot: the released block of the earliest deadline, in exact
+    fractions; (source, block) of every slot."""
+    total = sum(map(Fraction, weights.values()))
+    w = {s: Fraction(x) / total for s, x in weights.items()}
+    done = dict.fromkeys(w, 0)
+    out = []
+    for t in range(slots):
+        s = min((s for s in w if math.floor(done[s] / w[s]) <= t), key=lambda s: (math.ceil((done[s] + 1) / w[s]), s))
+        out.append((s, done[s]))
+        done[s] += 1
+        assert all(abs(done[x] - (t + 1) * w[x]) < 1 for x in w)
+    return out
+
+
+def slots_of(rows):
+    return {(r.s, r.first + k): t for r in rows for k, t in enumerate(r.slots)}
+
+
+@pytest.mark.parametrize("seed,range_slots", [(0, 1000), (1, 100), (2, 7), (3, 64), (4, 1), (5, 333)])
+def test_ranges_give_the_schedule_of_one_run(spark, seed, range_slots):
     rng = random.Random(seed)
-    w = {f"s{i}": rng.choice([0.001, 1, 3, 50]) * rng.random() + 1e-6 for i in range(rng.randint(1, 40))}
-    c = mix.integer_weights(w)
-    h = sum(c.values())
-    assert min(c.values()) >= 1 and h >= mix.PERIOD
-    taken = Counter()
-    for t, s in enumerate(mix.pfair_period(c) * 2, 1):
-        taken[s] += 1
-        assert all(-h < t * c[x] - taken[x] * h < h for x in c)
-    assert all(taken[s] == 2 * c[s] for s in c)
+    w = [rng.choice([0.001, 1, 3, 50]) * rng.random() + 1e-6 for _ in range(rng.randint(1, 40))]
+    n = 400 if range_slots > 1 else 40
+    got = slots_of(mix.schedule(spark, mix.exact_weights(w), n, range_slots).collect())
+    want = plain_schedule(dict(enumerate(w)), n)
+    assert got == {x: t for t, x in enumerate(want)}
+
+
+def test_exact_weights():
+    assert mix.exact_weights([0.5, 0.25, 0.25]) == [2, 1, 1]
+    w = [1e-9, 0.3, 7.0]
+    c = mix.exact_weights(w)
+    assert all(Fraction(a) * c[1] == Fraction(w[1]) * b for a, b in zip(w, c))
+    for bad in ([], [0], [-1], [float("nan")], [float("inf")]):
+        with pytest.raises(ValueError):
+            mix.exact_weights(bad)
+
+
+def test_tiny_weight_and_a_million_blocks():
+    """Below one block of the weights as given at every slot, over many ranges
+    whose borders come from the range before."""
+    w = [0.6, 0.39, 0.01 - 1e-6, 1e-6]
+    c = mix.exact_weights(w)
+    total, taken, ahead, changed = sum(c), np.zeros(4, dtype=np.int64), [], 0
+    for begin in range(0, 1_000_000, 100_000):
+        changed += ahead != mix.guess_ahead(c, total, begin)
+        of, ahead = mix.run_range(c, total, begin, begin + 100_000, ahead)
+        counts = np.cumsum(of[:, None] == np.arange(4), axis=0) + taken
+        share = (begin + 1 + np.arange(100_000))[:, None] * (np.array(c, dtype=float) / total)
+        assert np.abs(counts - share).max() < 1 + 1e-9      # shares are rounded here
+        taken = counts[-1]
+    assert taken[3] == 1
 
 
 def check(rows, docs, block_chars, weights=None):
@@ -29,8 +73,7 @@ def check(rows, docs, block_chars, weights=None):
     chars = Counter()
     for _, s, n in docs:
         chars[s or ""] += n
-    c = mix.integer_weights(weights or {s: n ** mix.ALPHA for s, n in chars.items()})
-    slots = mix.pfair_period(c)
+    weights = weights or {s: n ** mix.ALPHA for s, n in chars.items()}
     size = {d: n for d, _, n in docs}
     first = defaultdict(list)
     for r in rows:
@@ -41,13 +84,13 @@ def check(rows, docs, block_chars, weights=None):
         assert sum(n for _, n, _ in of) == chars[s]
         assert all(a + n == b for (a, n, _), (b, _, _) in zip(of, of[1:])) and of[0][0] == 0
     blocks = {s: -(-n // block_chars) for s, n in chars.items()}
-    at = {}
-    done, turn = Counter(), 0
-    while any(done[s] < blocks[s] for s in blocks):   # the schedule, slot by slot
-        s = slots[turn % len(slots)]
-        at[turn] = (s, done[s])
+    longest = max(math.ceil(blocks[s] * sum(map(Fraction, weights.values())) / Fraction(weights[s])) for s in blocks)
+    at, done = {}, Counter()
+    for t, (s, j) in enumerate(plain_schedule(dict(sorted(weights.items())), longest)):
+        if all(done[s] >= blocks[s] for s in blocks):
+            break
+        at[t] = (s, j)
         done[s] += 1
-        turn += 1
     have = defaultdict(set)
     for r in rows:
         s, j = at[r.mix_slot]
@@ -90,20 +133,31 @@ def test_hot_null_and_tiny_sources(spark, monkeypatch):
 
 def test_deviation_from_the_weights_as_given(spark):
     """A weight below a thousandth and thousands of slots: every source stays
-    within two blocks of its exact share, and below one of its rounded share."""
+    within one block of its exact share."""
     w = {"a": 0.60033, "b": 0.39957, "c": 0.0001}
     rows = [(i, "x" * 9, s) for i, s in enumerate(["a"] * 6000 + ["b"] * 2000 + ["c"])]    # a block each
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = sorted((r.mix_slot, r.mix_source, r.doc_id) for r in mix.mix_sources(df, w, block_chars=10).select(
+    got = sorted((r.mix_slot, r.mix_source, r.doc_id) for r in mix.mix_sources(df, w, block_chars=10, range_slots=1500).select(
         "mix_slot", "mix_source", "doc_id").collect())
     assert {d for _, _, d in got} == {d for d, _, _ in rows}
     assert [t for t, _, _ in got] == list(range(len(got))) and len(got) > 5000
-    taken = Counter()
+    taken, total = Counter(), sum(w.values())
     for t, s, _ in got:
         taken[s] += 1
-        assert all(abs(taken[x] - (t + 1) * w[x]) < 2 for x in w), t
-    c = mix.fitting_weights(w, {"a": 6000, "b": 2000, "c": 1})
-    assert max(abs(c[s] / sum(c.values()) - w[s]) for s in w) * len(got) < 1
+        assert all(abs(taken[x] - (t + 1) * w[x] / total) < 1 for x in w), t
+
+
+def test_clashing_columns_and_long_texts(spark):
+    names = ["row", "id", "order", "size", "s", "bucket", "block", "offset", "part", "first", "slots", "given", "_size", "a.b", "mix_slot"]
+    rows = [(i, "x" * (300_000 if i == 3 else 50), ["p", "q", None][i % 3]) for i in range(12)]
+    df = spark.createDataFrame([(*r, *[f"{n}{r[0]}" for n in names]) for r in rows],
+                               "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    out = mix.mixed_rows(df, block_chars=1000)
+    assert out.columns == df.columns
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in df.collect()}
+    rows = mix.mix_sources(df, block_chars=1000).collect()
+    assert all(r["a.b"] == f"a.b{r.doc_id}" and r.size == f"size{r.doc_id}" for r in rows)
+    check(rows, [(r.doc_id, r.source, len(r.text) + 1) for r in df.collect()], 1000)
 
 
 def test_empty_repeated_and_wrong_weights(spark):
@@ -113,6 +167,3 @@ def test_empty_repeated_and_wrong_weights(spark):
     assert mix.mix_sources(same, {"s": 1, "": 1}).where("mix_epoch = 0").count() == 4
     with pytest.raises(ValueError):
         mix.mix_sources(same, {"s": 1})
-    for bad in ({}, {"a": 0}, {"a": -1}, {"a": float("nan")}):
-        with pytest.raises(ValueError):
-            mix.integer_weights(bad)
