@@ -3,6 +3,7 @@ in the cluster's shared folder and file access from tasks."""
 
 from __future__ import annotations
 
+import contextlib
 import re
 import uuid
 
@@ -11,13 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir, ship_package
 
 
-__all__ = ["scratch_dir", "ship_package", "shuffle_partitions", "task_fs", "written"]
+__all__ = ["forget", "release_memory", "scratch_dir", "scratch_scope", "ship_package", "shuffle_partitions", "task_fs", "written"]
+
+
+_OPEN_SCOPES: list[list[str]] = []
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the session's ``spark.checkpoint.dir``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    for made in _OPEN_SCOPES:
+        made.append(path)
+    return path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables made inside are deleted at the end; what must outlive
+    it is written inside to a path made before."""
+    made: list[str] = []
+    _OPEN_SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _OPEN_SCOPES.remove(made)
+        for path in made:
+            forget(spark, path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -36,5 +63,18 @@ def task_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def release_memory() -> None:
+    """Give back what a finished batch held: Python workers go on into later
+    stages, and a freed heap otherwise stays theirs."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass            # another C library
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_dir, ship_package, task_fs
+from .common import release_memory, scratch_dir, ship_package, task_fs
 
 Q = 8
 WINDOW = 80             # characters of an item that are looked for at a time
@@ -47,7 +47,8 @@ BAND = 8                # width of half a diagonal band; at least the edits of a
 BLOCK_CHARS = 4 << 20   # benchmark characters that tasks hold at a time
 HITS = 1 << 20          # shared q-grams that a task holds at a time
 _PIECE = 1 << 20        # document characters that a task compares at a time
-_GROUP = 8 << 20        # document characters that meet a block once it is loaded
+_GROUP = 1 << 20        # document characters that go through the index together
+_GROUP_OF_BLOCKS = 16 << 20    # where it has several blocks, each loaded for a group
 _FILTER_BITS = 22
 LEAKS = "doc_id long, item_id long, edits int, first_char long, item_char long, n_chars long"
 
@@ -411,12 +412,12 @@ def store_index(benchmark: DataFrame, block_chars: int = BLOCK_CHARS, **columns)
     return uris
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``_GROUP`` characters, or of one longer text."""
-    i = 0
+def _groups(texts: list[str], blocks: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about a group's characters, or of one longer text."""
+    most, i = _GROUP if blocks == 1 else _GROUP_OF_BLOCKS, 0
     while i < len(texts):
         j, held = i, 0
-        while j < len(texts) and (j == i or held + len(texts[j]) <= _GROUP):
+        while j < len(texts) and (j == i or held + len(texts[j]) <= most):
             held += len(texts[j])
             j += 1
         yield i, j
@@ -441,10 +442,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         blocks = Blocks(uris)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, j in _groups(texts):
+            for i, j in _groups(texts, len(uris)):
                 rows = leaks_of(ids[i:j], texts[i:j], blocks)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            del texts
+            release_memory()
 
     return docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(search, LEAKS)
 
@@ -462,7 +465,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         blocks = Blocks(uris)
         for texts in parts:
             texts = [t or "" for t in texts]
-            bad = {r[0] for i, j in _groups(texts) for r in leaks_of(list(range(i, j)), texts[i:j], blocks)}
+            bad = {r[0] for i, j in _groups(texts, len(uris)) for r in leaks_of(list(range(i, j)), texts[i:j], blocks)}
             yield pd.Series([i not in bad for i in range(len(texts))], dtype=bool)
+            del texts
+            release_memory()
 
     return docs.where(clean(F.col(text_col).cast("string")))

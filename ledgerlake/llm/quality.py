@@ -19,6 +19,7 @@ the input's; other columns do not matter, whatever their names."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch_dir, ship_package, written
+from .common import release_memory, scratch_dir, ship_package, written
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -359,8 +360,7 @@ def score(docs: DataFrame, model: QualityModel | None, text_col: str = "text", o
     ship_package(spark)
     shared = None if model is None else spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf(BASE + ", base_failed boolean, probability double, kept boolean")
-    def rules(texts: pd.Series) -> pd.DataFrame:
+    def judge(texts: pd.Series) -> pd.DataFrame:
         bodies = [t or b"" for t in texts]
         df = pd.DataFrame([base_counts(t) for t in bodies], columns=[c.split()[0] for c in BASE.split(", ")], dtype="int64")
         failed = (df["n_words"] < MIN_WORDS) | (100 * df["n_repeat_words"] > MAX_REPEAT_PERCENT * df["n_words"])
@@ -374,6 +374,12 @@ def score(docs: DataFrame, model: QualityModel | None, text_col: str = "text", o
         df["probability"], df["kept"] = p, ~failed & (p >= KEEP_FROM)
         return df
 
+    @F.pandas_udf(BASE + ", base_failed boolean, probability double, kept boolean")
+    def rules(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            yield judge(texts)
+            release_memory()
+
     return docs.withColumn(out, rules(F.col(text_col).cast("binary")))
 
 

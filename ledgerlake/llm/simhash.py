@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import ship_package, written
+from .common import release_memory, ship_package, written
 
 BITS = 64
 # Variants that a task writes out at a time (memory) and that a prefix holds
@@ -73,8 +73,10 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 4, out:
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    def fp(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+            release_memory()
 
     return docs.withColumn(out, fp(F.col(text_col).cast("binary")))
 

@@ -32,14 +32,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_dir, ship_package, shuffle_partitions, task_fs
+from .common import release_memory, scratch_dir, ship_package, shuffle_partitions, task_fs
 
 MAGIC = b"DACTOK1\0"
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 SHARD_TOKENS = 1 << 24
 # Words whose ids a worker remembers (bounds its memory, not the result).
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 18
+CACHED_BYTES = 64        # longer words are encoded each time: with the number of words this bounds the cache
 MANIFEST = "part long, seq long, file string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -87,7 +88,7 @@ class WordEncoder(dict):
             chars = self.chars
             tokens = self.model.tokenize("".join([chars[b] for b in piece.encode("utf-8")]))
             out = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-            if len(self.pieces) < self.bound:
+            if len(self.pieces) < self.bound and len(piece) <= CACHED_BYTES:
                 self.pieces[piece] = out
         return out
 
@@ -96,7 +97,7 @@ class WordEncoder(dict):
             out = b"".join(map(self.piece, _RUNS.findall(word.decode("utf-8").lower())))
         else:
             out = self.whole(word)
-        if len(self) < self.bound:
+        if len(self) < self.bound and len(word) <= CACHED_BYTES:
             self[word] = out
         return out
 
@@ -282,8 +283,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
         def flush():
             nonlocal ids, coded, held, seq
             lengths = np.array([len(c) // 4 for c in coded], dtype=np.int64)
-            raw = encode_shard(ids, np.concatenate([[0], np.cumsum(lengths)]),
-                               np.frombuffer(b"".join(coded), dtype="<u4"))
+            joined, coded = b"".join(coded), []
+            raw = encode_shard(ids, np.concatenate([[0], np.cumsum(lengths)]), np.frombuffer(joined, dtype="<u4"))
+            del joined
             name = f"{part:06d}-{seq:05d}-{uuid.uuid4().hex}.dac"
             fs.create_dir(path, recursive=True)
             with fs.open_output_stream(f"{path}/{name}") as f:
@@ -303,6 +305,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
                     yield flush()
         if ids:
             yield flush()
+        release_memory()
 
     made = ranged.mapInArrow(shards, MANIFEST)
     made.write.parquet(f"{folder}/manifest")
@@ -332,6 +335,8 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                     [pa.array(shard.doc_ids(), pa.int64()), pa.array(b[:-1] + start),
                      pa.array(np.diff(b)), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                del shard, ids
+        release_memory()
 
     # A stated number of partitions: one by size would put small rows, and so
     # all the files that they name, in one task.

@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against brute-force renderings."""
 
+import os
 import zlib
 
 import numpy as np
@@ -68,6 +69,16 @@ def test_empty_and_odd_documents(spark):
             out.collect()
 
 
+def test_run_leaves_only_its_result(spark):
+    from ledgerlake.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).replace("file:", "", 1)
+    before = set(os.listdir(base))
+    rows = cp.run(spark, SF001).collect()
+    assert rows and {r.n_tokens > 0 for r in rows} == {True}
+    left = sorted(p.split("-")[0] for p in set(os.listdir(base)) - before if not p.startswith("rdd"))
+    assert left == ["pipeline", "tokens"], left
+
+
 def test_registered():
     import __spark_entry__ as e
     assert e.queries()["pipeline"].__doc__ == cp.run.__doc__
