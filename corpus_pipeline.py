@@ -11,10 +11,12 @@ order."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import scratch_dir
+from ledgerlake.llm.common import forget, scratch_dir, scratch_scope
 from ledgerlake.llm.decontam import drop_contaminated
 from ledgerlake.llm.mix import mixed_rows
 from ledgerlake.llm.quality import keep_good
@@ -61,10 +63,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``.  Intermediate tables are deleted once the
+    stage after them is written; the last stage's rows and token files stay."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_dir(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with contextlib.nullcontext() if (name, stage) == STAGES[-1] else scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            forget(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
