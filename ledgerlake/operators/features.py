@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import EPS, inf_to_null, numeric_columns
 from ..functions.ordered import DEFAULT_BLOCK_ROWS, dense_index, ordered_window_apply
+from .relational import join_groups
 
 TIME_FEATURES = ["year", "month", "day", "hour", "minute", "dayofweek", "quarter", "is_weekend",
                  "is_month_start", "is_month_end", "weekofyear", "days_in_month"]
@@ -161,8 +162,8 @@ def target_encode(df: DataFrame, columns: Sequence[str], target_col: str) -> Dat
     gmean = df.agg(F.avg(target_col)).first()[0]
     out = df
     for c in columns:
-        m = df.groupBy(c).agg(F.avg(target_col).alias(f"{c}_target_enc")).where(F.col(c).isNotNull())
-        out = out.join(m, c, "left")
+        m = df.groupBy(c).agg(F.avg(target_col).alias(f"{c}_target_enc"), F.count(F.lit(1)).alias("_rows"))
+        out = join_groups(out, m, c)
         out = out.withColumn(f"{c}_target_enc", F.coalesce(F.col(f"{c}_target_enc"), F.lit(gmean)))
     return out.select(*df.columns, *[f"{c}_target_enc" for c in columns])
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import numeric_columns, string_columns
 from ..functions.ordered import DEFAULT_BLOCK_ROWS, blocked, carry_fill, exact_quantiles, quantile_params
+from .relational import join_groups
 
 
 def _present(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
@@ -153,8 +154,9 @@ def fill_mode(df: DataFrame, columns=None) -> tuple[DataFrame, dict]:
 
 def fill_group(df: DataFrame, group_col: str, fill_method: str = "mean", columns=None) -> DataFrame:
     """M8: fill with the group's mean / median / mode.  The per-group table
-    (one row per group) is left-joined back; a null group key never matches,
-    so such rows stay null, as does an all-null group."""
+    (one row per group) is left-joined back without bringing a group's rows
+    together; a null group key never matches, so such rows stay null, as does
+    an all-null group."""
     if columns is None:
         columns = [c for c in (numeric_columns(df) if fill_method != "mode" else df.columns) if c != group_col]
     cols = [c for c in columns if c in df.columns and c != group_col]
@@ -170,7 +172,8 @@ def fill_group(df: DataFrame, group_col: str, fill_method: str = "mean", columns
         stats = stats.select(group_col, *[F.col(c).alias(f"_g_{c}") for c in cols])
     else:
         raise ValueError(f"unknown fill_method {fill_method!r}")
-    j = df.join(stats, group_col, "left")
+    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_rows"))
+    j = join_groups(df, sizes.join(stats, group_col, "left"), group_col)
     out = [F.coalesce(F.col(c), F.col(f"_g_{c}").cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
            for c in df.columns]
     return j.select(*out)
