@@ -142,10 +142,22 @@ def sink_news_formats(spark, sf_dir):
 def src_manifest_md5(spark, sf_dir):
     """Manifest (name, size, time, MD5) of staged document files."""
     base = _dir(spark, "manifest")
-    _docs(spark, sf_dir).repartition(4, "source").write.mode("overwrite").parquet(base)
+    stage_files(_docs(spark, sf_dir)).write.mode("overwrite").parquet(base)
     return fl.manifest(spark, base)
 
 
+STAGED_FILES, STAGED_ROWS = 4, 1 << 14
+
+
+def stage_files(docs, rows: int = STAGED_ROWS):
+    """Documents dealt by source to ``STAGED_FILES`` files, each source in
+    further parts where the files would hold more than about ``rows`` rows."""
+    parts = max(1, -(-docs.count() // (STAGED_FILES * rows)))
+    if parts == 1:
+        return docs.repartition(STAGED_FILES, "source")
+    return docs.repartition(STAGED_FILES * parts, "source", F.pmod(F.xxhash64("doc_id"), F.lit(STAGED_FILES * parts)))
+
+
 PAYLOAD_ITEM = T.StructType([T.StructField("title", T.StringType()), T.StructField("url", T.StringType()),
                              T.StructField("content", T.StringType()), T.StructField("digest", T.StringType()),
                              T.StructField("showTime", T.StringType())])
