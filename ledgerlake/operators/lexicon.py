@@ -26,6 +26,7 @@ from .text import Lexicon, polarity
 BROADCAST_WORDS = 200_000
 SHARD_WORDS = 200_000
 GROUP_CHARS = 4 << 20      # characters that go through a shard once it is loaded
+HELD_CHARS = 1 << 18       # characters whose words are held where nothing has to be loaded
 FOUND = ("tokens array<string>, sentiment_keywords array<string>, sector_keywords array<string>, "
          "positive_score int, negative_score int")
 
@@ -159,24 +160,24 @@ def analyse_with(df: DataFrame, text_col: str, words: DataFrame, min_len: int =
         if n <= broadcast_words:
             if "a" not in held:
                 held["a"] = _automaton(shared.value)
-            automata = [held["a"]]
+            automata, most = [held["a"]], HELD_CHARS
         else:
-            automata = Shards(uris)
+            automata, most = Shards(uris), GROUP_CHARS
         names = [c.split()[0] for c in FOUND.split(", ")]
         for texts in parts:
-            texts, out, i = [t or "" for t in texts], [], 0
+            texts, i = [t or "" for t in texts], 0
             while i < len(texts):
                 j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j]) <= GROUP_CHARS):
+                while j < len(texts) and (j == i or size + len(texts[j]) <= most):
                     size += len(texts[j])
                     j += 1
                 best: list[dict] = [{} for _ in range(i, j)]
                 for a in automata:
                     for text, of in zip(texts[i:j], best):
                         longest_at(a, text, of)
-                out += [score(text, of, min_len) for text, of in zip(texts[i:j], best)]
+                # A group's rows leave before the next ones are looked at.
+                yield pd.DataFrame([score(text, of, min_len) for text, of in zip(texts[i:j], best)], columns=names)
                 i = j
-            yield pd.DataFrame(out, columns=names)
 
     names = [c.split()[0] for c in FOUND.split(", ")]
     src = F.lower(F.col(text_col)) if lowercase else F.col(text_col)
