@@ -3,7 +3,6 @@ the ends of chains of merges."""
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
 
 from ledgerlake.operators.ml import metrics as mt
 from ledgerlake.operators.ml import models as md
@@ -58,3 +57,17 @@ def test_long_chains_end_in_few_rounds(spark, monkeypatch):
     ends = spark.createDataFrame([(0,), (200,)], "id long")
     got = {r["node"]: r["component"] for r in wd._roots(chain, ends, n).collect()}
     assert got == {i: 0 if i < 200 else 200 for i in range(1, n) if i != 200} and len(rounds) <= 10
+
+
+def test_search_reads_its_input_once(spark):
+    """Every pass of every k reads the stored frame."""
+    read = spark.sparkContext.accumulator(0)
+
+    def note(frames):
+        for f in frames:
+            read.add(len(f))
+            yield f
+
+    df = _points(spark, 5)[1].select("id", "vec").mapInPandas(note, "id long, vec array<double>")
+    rows = md.kmeans_search(df.select("id", array_to_vector("vec").alias("features")), range(2, 4), n_init=2)
+    assert [r[0] for r in rows] == [2, 3] and read.value == 20
