@@ -13,8 +13,11 @@ numbers (``2 ** -SHIFT`` of the largest gradient), so the result does not depend
 on how the rows are spread.
 
 To the driver come the sums of a level: nodes x features x bins, bounded by the
-parameters.  Rows carry their bins, label and margin; margins are stored again
-every ``STORE_EVERY`` trees, in between a pass works out the trees since."""
+parameters.  Rows are stored as blocks of a few thousand, each with the bins by
+feature, the labels and the margins as plain bytes, in parts that follow the
+rows, so a level (there are rounds x depth of them) starts few tasks and turns no
+row into Arrow anew.  Margins are stored again every ``STORE_EVERY`` trees, in
+between a pass works out the trees since."""
 
 from __future__ import annotations
 
@@ -32,7 +35,9 @@ from ...session import ship_package
 MAX_BINS = 32
 SHIFT = 24
 STORE_EVERY = 8
-BINNED = "bins array<smallint>, y double, margin double"
+PART_ROWS = 1 << 18      # of a stored part
+_LEAST_ROWS = 1 << 14    # below that a part costs more to start than to read
+BINNED = "bins binary, y binary, margin binary"      # of a block of rows
 
 
 @dataclass
@@ -53,19 +58,23 @@ class Tree:
         return len(self.feature) - 1
 
     def leaves(self, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        """The node that every row (of bins by feature) ends in."""
-        feature, cut, left = np.array(self.feature), np.array(self.bin), np.array(self.left)
-        to_left = np.array(self.missing_left)
-        node = np.zeros(len(bins), dtype=np.int64)
-        while True:
-            f = feature[node]
-            inner = np.flatnonzero(f >= 0)
-            if not len(inner):
-                return node
-            at, f = node[inner], f[inner]
-            b = bins[inner, f]
-            goes_left = np.where(b == missing[f], to_left[at], b <= cut[at])
-            node[inner] = left[at] + ~goes_left
+        """The node that every row of ``bins`` (a row per feature, a column per
+        row of data) ends in."""
+        n, width = bins.shape[1], int(missing.max()) + 1
+        feature = np.array(self.feature)
+        # Where a node sends each bin; a leaf sends all to itself.
+        after = np.repeat(np.arange(len(feature)), width).reshape(-1, width)
+        depth = np.zeros(len(feature), dtype=np.int64)
+        for i in np.flatnonzero(feature >= 0):       # a node is numbered before its children
+            goes_left = np.arange(width) <= self.bin[i]
+            goes_left[missing[feature[i]]] = self.missing_left[i]
+            after[i] = self.left[i] + ~goes_left
+            depth[self.left[i]] = depth[self.left[i] + 1] = depth[i] + 1
+        node, rows = np.zeros(n, dtype=np.int64), np.arange(n)
+        flat, after, first = bins.ravel(), after.ravel(), np.maximum(feature, 0) * n
+        for _ in range(depth.max()):
+            node = after[node * width + flat[first[node] + rows]]
+        return node
 
     def margins(self, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
         return np.array(self.weight)[self.leaves(bins, missing)]
@@ -111,12 +120,14 @@ class Boosted:
         def run(*columns):
             import pandas as pd
             m = shared.value
-            bins = np.stack([to_bins(c.to_numpy(dtype=float), e) for c, e in zip(columns, m.edges)], axis=1)
-            out = np.full(len(bins), m.params.base)
+            bins = np.stack([to_bins(c.to_numpy(dtype=float), e) for c, e in zip(columns, m.edges)])
+            out = np.full(bins.shape[1], m.params.base)
             for t in m.trees:
                 out += t.margins(bins, missing_bins(m.edges))
             return pd.Series(out)
 
+        # Else Spark works it out anew for every column made of it.
+        run = run.asNondeterministic()
         out = df.withColumn(margin, run(*[F.col(c).cast("double") for c in self.columns]))
         if self.params.objective == "squared":
             return out.withColumn(prediction, F.col(margin))
@@ -146,21 +157,35 @@ def quantile_edges(df: DataFrame, columns: Sequence[str], max_bins: int = MAX_BI
 
 
 def binned_rows(df: DataFrame, columns: Sequence[str], label: str, edges: Sequence[np.ndarray], base: float) -> DataFrame:
-    """(bins, y, margin) of every row, the margin at ``base``."""
-    n = len(edges)
+    """Blocks of rows: their bins by feature, labels and margins at ``base``."""
+    n, kind = len(edges), bin_type(edges)
 
     def run(batches):
         for batch in batches:
-            x = [batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in range(n)]
-            bins = np.stack([to_bins(v, e) for v, e in zip(x, edges)], axis=1)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(bins) + 1, dtype=np.int32) * n), pa.array(bins.ravel().astype(np.int16)))
-            yield pa.RecordBatch.from_arrays([flat, batch.column(n), pa.array(np.full(len(bins), base))], names=["bins", "y", "margin"])
+            if batch.num_rows:
+                x = [batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in range(n)]
+                y = batch.column(n).to_numpy(zero_copy_only=False).astype(float)
+                yield _block(np.stack([to_bins(v, e) for v, e in zip(x, edges)]).astype(kind), y, np.full(len(y), base))
 
     ship_package(df.sparkSession)
     return df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)],
                      F.col(label).cast("double").alias("y")).mapInArrow(run, BINNED)
 
 
+def bin_type(edges: Sequence[np.ndarray]) -> np.dtype:
+    """The smallest type that holds all bins."""
+    return np.min_scalar_type(int(missing_bins(edges).max()))
+
+
+def _block(bins: np.ndarray, y: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (bins, y, margin)], names=["bins", "y", "margin"])
+
+
+def parts_of(n: int, cores: int) -> int:
+    """Parts for ``n`` rows: one per core where the rows allow."""
+    return max(1, -(-n // PART_ROWS), min(cores, -(-n // _LEAST_ROWS)))
+
+
 # ---------------------------------------------------------------- passes
 
 def gradients(margin: np.ndarray, y: np.ndarray, objective: str) -> tuple[np.ndarray, np.ndarray]:
@@ -170,11 +195,12 @@ def gradients(margin: np.ndarray, y: np.ndarray, objective: str) -> tuple[np.nda
     return p - y, p * (1 - p)
 
 
-def _batches(batches, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _blocks(batches, edges: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    kind = bin_type(edges)
     for batch in batches:
-        if batch.num_rows:
-            bins = batch.column(0).flatten().to_numpy().astype(np.int64).reshape(-1, n)
-            yield bins, batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        for bins, y, margin in zip(*(batch.column(k) for k in range(3))):
+            yield (np.frombuffer(bins.as_buffer(), dtype=kind).reshape(len(edges), -1), np.frombuffer(y.as_buffer()),
+                   np.frombuffer(margin.as_buffer()))
 
 
 def histograms(binned: DataFrame, edges: Sequence[np.ndarray], params: Params, trees: Sequence[Tree], growing: Tree,
@@ -185,23 +211,25 @@ def histograms(binned: DataFrame, edges: Sequence[np.ndarray], params: Params, t
     width, n, place = int(missing.max()) + 1, len(edges), {node: k for k, node in enumerate(level)}
 
     def run(batches):
-        total = np.zeros((2, len(level) * n * width), dtype=np.int64)
-        for bins, y, margin in _batches(batches, n):
+        total = np.zeros((2, len(level), n, width), dtype=np.int64)
+        places = np.array([place.get(k, -1) for k in range(len(growing.feature))])
+        for bins, y, margin in _blocks(batches, edges):
             for t in trees:
                 margin = margin + t.margins(bins, missing)
-            node = growing.leaves(bins, missing)
-            at = np.array([place.get(k, -1) for k in range(len(growing.feature))])[node]
-            bins, at = bins[at >= 0], at[at >= 0]
-            grads = [g[np.isin(node, level)] for g in gradients(margin, y, params.objective)]
-            key = ((at[:, None] * n + np.arange(n)) * width + bins).ravel()
-            for k, g in enumerate(grads):
-                # Whole numbers below 2^53 in a batch: exact in doubles.
-                whole = np.round(g / scale * (1 << SHIFT))
-                total[k] += np.bincount(key, np.repeat(whole, n), minlength=total.shape[1]).astype(np.int64)
+            at = places[growing.leaves(bins, missing)]
+            # Whole numbers below 2^53 in a block: exact in doubles.
+            whole = [np.round(g / scale * (1 << SHIFT)) for g in gradients(margin, y, params.objective)]
+            if (at < 0).any():
+                bins, at, whole = bins[:, at >= 0], at[at >= 0], [g[at >= 0] for g in whole]
+            for f in range(n):
+                key = at * width + bins[f]
+                for k, g in enumerate(whole):
+                    total[k, :, f] += np.bincount(key, g, minlength=len(level) * width).astype(np.int64).reshape(-1, width)
+        total = total.reshape(2, -1)
         hit = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[0, hit]), pa.array(total[1, hit])], names=["k", "g", "h"])
 
-    sums = binned.select("bins", "y", "margin").mapInArrow(run, "k long, g long, h long").groupBy("k").agg(F.sum("g"), F.sum("h"))
+    sums = binned.mapInArrow(run, "k long, g long, h long").groupBy("k").agg(F.sum("g"), F.sum("h"))
     out = np.zeros((2, len(level) * n * width))
     for k, g, h in sums.collect():
         out[0, k], out[1, k] = g, h
@@ -243,10 +271,11 @@ def fit(df: DataFrame, columns: Sequence[str], label: str, params: Params | None
     cuts = [np.array(e, dtype=float) for e in edges] if edges is not None else quantile_edges(known, columns, max_bins)
     model = Boosted(list(columns), cuts, params)
     missing, base = missing_bins(cuts), params.base
-    binned = materialize(binned_rows(known, columns, label, cuts, base))
-    most = binned.agg(F.max(F.abs("y"))).first()[0]
-    if most is None:
+    n, most = known.agg(F.count(F.lit(1)), F.max(F.abs(F.col(label).cast("double")))).first()
+    if not n:
         return model
+    spread = known.repartition(parts_of(n, df.sparkSession.sparkContext.defaultParallelism))
+    binned = materialize(binned_rows(spread, columns, label, cuts, base))
     fresh: list[Tree] = []
     for _ in range(params.rounds):
         # No gradient is above 1 (logistic); residuals stay within the labels' range (squared).
@@ -276,15 +305,16 @@ def fit(df: DataFrame, columns: Sequence[str], label: str, params: Params | None
         model.trees.append(tree)
         fresh.append(tree)
         if len(fresh) == STORE_EVERY:
-            binned, fresh = materialize(_with_margins(binned, fresh, missing)), []
+            binned, fresh = materialize(_with_margins(binned, cuts, fresh)), []
     return model
 
 
-def _with_margins(binned: DataFrame, trees: Sequence[Tree], missing: np.ndarray) -> DataFrame:
+def _with_margins(binned: DataFrame, edges: Sequence[np.ndarray], trees: Sequence[Tree]) -> DataFrame:
+    missing = missing_bins(edges)
+
     def run(batches):
-        for batch in batches:
-            for bins, y, margin in _batches([batch], len(missing)):
-                for t in trees:
-                    margin = margin + t.margins(bins, missing)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(margin)], names=["bins", "y", "margin"])
+        for bins, y, margin in _blocks(batches, edges):
+            for t in trees:
+                margin = margin + t.margins(bins, missing)
+            yield _block(bins, y, margin)
     return binned.mapInArrow(run, BINNED)

@@ -95,3 +95,30 @@ def test_odd_inputs(spark):
     model = bt.fit(flat, ["a"], "y", bt.Params(rounds=1, depth=2, min_child=0.1, l2=0.0))
     by = {r.a if r.a == r.a else None: r.margin for r in model.transform(flat).collect()}
     assert by[None] > 0 and by[1.0] == 0
+
+
+def test_rows_are_stored_as_few_blocks(spark, monkeypatch):
+    stored = []
+
+    def kept(df):
+        out = materialize(df)
+        stored.append((out.rdd.getNumPartitions(), out.count()))
+        return out
+
+    from ledgerlake.functions.ordered import materialize
+    x, score, _ = rows_of(4, 3000)
+    y = (score > 0).astype(float)
+    p = bt.Params(rounds=9, depth=2)
+    df = frame(spark, x, y, 64)
+    monkeypatch.setattr(bt, "materialize", kept)
+    model = bt.fit(df, list("abcd"), "y", p, max_bins=8)
+    assert stored == [(1, 1), (1, 1)]
+    monkeypatch.setattr(bt, "PART_ROWS", 300)
+    assert bt.parts_of(3000, 4) == 10
+    assert bt.fit(df, list("abcd"), "y", p, max_bins=8).trees == model.trees
+
+
+def test_walk_by_tables():
+    tree = bt.Tree([1, -1, 0, -1, -1], [2, 0, 0, 0, 0], [False, True, True, True, True], [1, -1, 3, -1, -1], [0.0, 1, 2, 3, 4], [0.0] * 5)
+    bins = np.array([[0, 1, 0, 2, 1], [2, 0, 3, 4, 4]], dtype=np.uint8)      # missing: 2 and 4
+    assert tree.leaves(bins, np.array([2, 4])).tolist() == [1, 1, 3, 3, 4]
