@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip, numeric_columns
-from ..functions.ordered import quantile_params
+from ..functions.ordered import between, quantile_neighbours, quantile_params
 
 
 def _cols(df: DataFrame, columns) -> list[str]:
@@ -19,7 +19,10 @@ def _cols(df: DataFrame, columns) -> list[str]:
 def iqr_bounds(df: DataFrame, columns=None, factor: float = 1.5) -> dict[str, dict]:
     """Q1, Q3, IQR and the fences per column (exact quantiles)."""
     cols = _cols(df, columns)
-    q = quantile_params(df, cols, [0.25, 0.75])
+    return _fences(quantile_params(df, cols, [0.25, 0.75]), cols, factor)
+
+
+def _fences(q: dict[str, dict[float, float]], cols: Sequence[str], factor: float) -> dict[str, dict]:
     out = {}
     for c in cols:
         q1, q3 = q[c].get(0.25), q[c].get(0.75)
@@ -75,17 +78,32 @@ def zscore_mask(df: DataFrame, keys: Sequence[str], columns=None, threshold: flo
 
 def clip_outliers(df: DataFrame, columns=None, method: str = "iqr", factor: float = 1.5) -> tuple[DataFrame, dict]:
     """Winsorise to the IQR fences or to the 1% / 99% quantiles."""
+    return clip_and_quantiles(df, columns, method, factor)[:2]
+
+
+def clip_and_quantiles(df: DataFrame, columns=None, method: str = "iqr", factor: float = 1.5,
+                       probs: Sequence[float] = ()) -> tuple[DataFrame, dict, dict[str, dict[float, float]]]:
+    """:func:`clip_outliers`, and the quantiles ``probs`` of the clipped columns
+    by the same passes: clipping keeps the order of values, so the values around
+    a quantile are the clipped ones around it before.  Columns that may have NaN,
+    which clipping makes a value, are not among them."""
     cols = _cols(df, columns)
+    if method not in ("iqr", "quantile"):
+        raise ValueError(f"unknown clip method {method!r}")
+    ends = (0.25, 0.75) if method == "iqr" else (0.01, 0.99)
+    around, nans = quantile_neighbours(df, cols, sorted({*ends, *probs}))
+    q = {c: {p: between(*v) for p, v in x.items()} for c, x in around.items()}
     if method == "iqr":
-        b = {c: (v["lower"], v["upper"]) for c, v in iqr_bounds(df, cols, factor).items()}
-    elif method == "quantile":
-        q = quantile_params(df, cols, [0.01, 0.99])
-        b = {c: (q[c][0.01], q[c][0.99]) for c in cols if q[c]}
+        b = {c: (v["lower"], v["upper"]) for c, v in _fences(q, cols, factor).items()}
     else:
-        raise ValueError(f"unknown clip method {method!r}")
+        b = {c: (q[c][0.01], q[c][0.99]) for c in cols if q[c]}
     out = df.select(*[clip(F.col(c).cast("double"), *b[c]).alias(c) if c in b else F.col(c)
                       for c in df.columns])
-    return out, b
+
+    def clipped(c, p):
+        lo, hi, share = around[c][p]
+        return between(*(min(max(x, b[c][0]), b[c][1]) for x in (lo, hi)), share)
+    return out, b, {c: {p: clipped(c, p) for p in probs} for c in b if c not in nans}
 
 
 def remove_outliers(df: DataFrame, columns=None, method: str = "iqr", factor: float = 1.5,

@@ -135,23 +135,26 @@ class PreprocessingPipeline:
                 p = {"dropped": [c for c in before if c not in df.columns]}
             self.params["missing_value"] = p
             df = self._log("missing_value", df, t0, {"strategy": s})
-        o = cfg["outlier"]
+        o, n, known = cfg["outlier"], cfg["normalization"], {}
+        robust = n["enabled"] and n["method"] == "robust"
         if o["enabled"]:
             t0 = time.time()
             cols = self._numeric(df, o["columns"])
             if o["action"] == "clip":
-                df, b = ol.clip_outliers(df, cols, o["method"], o["factor"])
+                probs = sc.robust_probs(n.get("quantile_range", (25.0, 75.0))) if robust else []
+                df, b, known = ol.clip_and_quantiles(df, cols, o["method"], o["factor"], probs)
                 self.params["outlier"] = b
             elif o["action"] == "remove":
                 df = ol.remove_outliers(df, cols, o["method"], o["factor"], o.get("threshold"))
             else:
                 self.params["outlier"] = ol.outlier_counts(df, cols, o["method"], o["factor"], o.get("threshold"))
             df = self._log("outlier", df, t0, {"method": o["method"], "action": o["action"]})
-        n = cfg["normalization"]
         if n["enabled"]:
             t0 = time.time()
             cols = self._numeric(df, n["columns"])
             kw = {k: v for k, v in n.items() if k not in ("enabled", "method", "columns")}
+            if robust:
+                kw["known"] = known
             df, p = sc.scale(df, n["method"], cols, **kw)
             self.params["normalization"] = p
             df = self._log("normalization", df, t0, {"method": n["method"]})

@@ -51,10 +51,18 @@ def fit_zscore(df, columns=None, with_mean=True, with_std=True) -> dict:
     return out
 
 
-def fit_robust(df, columns=None, quantile_range=(25.0, 75.0)) -> dict:
+def robust_probs(quantile_range=(25.0, 75.0)) -> list[float]:
+    return sorted({quantile_range[0] / 100.0, 0.5, quantile_range[1] / 100.0})
+
+
+def fit_robust(df, columns=None, quantile_range=(25.0, 75.0), known: dict | None = None) -> dict:
+    """``known``: the quantiles of some columns of ``df``, found before."""
     cols = _cols(df, columns)
     lo, hi = quantile_range[0] / 100.0, quantile_range[1] / 100.0
-    q = quantile_params(df, cols, sorted({lo, 0.5, hi}))
+    q = {c: known[c] for c in cols if c in known} if known else {}
+    rest = [c for c in cols if c not in q]
+    if rest:
+        q.update(quantile_params(df, rest, robust_probs(quantile_range)))
     out = {}
     for c in cols:
         if not q[c]:

@@ -100,3 +100,27 @@ def test_quantile_params_narrow_their_brackets(spark, monkeypatch, limit, accura
     for c in ("cont", "tied", "skew"):
         exp = pdf[c].quantile(probs).values
         assert np.allclose([got[c][p] for p in probs], exp, rtol=1e-12, atol=1e-12), c
+
+
+def test_quantiles_of_clipped_columns_need_no_further_pass(spark, monkeypatch):
+    import numpy as np
+
+    from ledgerlake.operators import outliers as ol
+    from ledgerlake.operators import scaling as sc
+    from ledgerlake.operators.pipeline import PreprocessingPipeline
+    rng = np.random.default_rng(7)
+    rows = [(i, float(rng.lognormal()), int(rng.integers(0, 5)), None if i % 7 == 0 else float(rng.normal() ** 3),
+             float("nan") if i % 50 == 0 else float(i % 90)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "id long, skew double, tied int, gaps double, nans double")
+    few = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 1e9)], "id long, x double")
+    for frame, columns in ((df, ["id", "skew", "tied", "gaps", "nans"]), (few, ["id", "x"]), (df, ["id", "skew", "tied", "gaps"])):
+        for method, factor in (("iqr", 1.5), ("iqr", 0.0), ("iqr", -0.2), ("quantile", 1.5)):
+            out, bounds, known = ol.clip_and_quantiles(frame, columns, method, factor, sc.robust_probs())
+            assert set(known) == ({"id", "tied"} if "nans" in columns else set(columns))
+            assert sc.fit_robust(out, columns, known=known) == sc.fit_robust(out, columns)
+            assert bounds == ol.clip_outliers(frame, columns, method, factor)[1]
+    asked = []
+    real = sc.quantile_params
+    monkeypatch.setattr(sc, "quantile_params", lambda d, c, *a: asked.append(list(c)) or real(d, c, *a))
+    PreprocessingPipeline(order=["id"]).run(df.drop("nans"))
+    assert asked == []
