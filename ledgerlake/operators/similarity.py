@@ -15,8 +15,8 @@ vector that shares none of the prefix features has a cosine below ``t`` with
 A posting list is cut into parts, and a task multiplies one part of the askers
 with one part of the owners: a row per asker and neighbour comes out, never one
 per pair.  Owners whose prefix reaches a feature that more than ``hot`` owners
-have (dense data, low bounds) skip the index and meet all owners once, in
-blocks."""
+have (dense data, low bounds) skip the index and meet all owners once, in the
+large blocks of ``recommend.block_grid``: few copies of a vector, few candidates."""
 
 from __future__ import annotations
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import dense_index, materialize
+from .recommend import best_rows, block_grid
 from .relational import top_k_per_group_split
 
 PART = 1024           # vectors a task compares with as many others
@@ -128,14 +129,6 @@ def nearest(m: DataFrame, owner: str, feature: str, weight: str, k: int, hot: in
     has = has.select("u", "features", "weights", F.col("x.features").alias("f"), F.col("x.n").alias("n")).join(lists, "f")
     asks = asks.join(lists, "f")
 
-    # Askers and owners who never use the index meet in blocks of all owners.
-    many = asked.where(dense & (F.col("prefix") > 0)).select("u", "features", "weights", F.lit(-1).cast("long").alias("f"), F.lit(n).cast("long").alias("n"))
-    n_many = many.count()
-    asks = asks.unionByName(many.withColumn("asks", F.lit(n_many).cast("long")))
-    if n_many:
-        has = has.unionByName(vecs.select("u", "features", "weights", F.lit(-1).cast("long").alias("f"), F.lit(n).cast("long").alias("n"),
-                                          F.lit(n_many).cast("long").alias("asks")))
-
     def spread(df, own, own_n, other, other_n):
         all_parts = F.sequence(F.lit(0), F.greatest(F.ceil(F.col(other_n) / part), F.lit(1)).cast("int") - 1)
         return df.withColumn(own, parts(part, F.col(own_n), "search")).withColumn(other, F.explode(all_parts)).select(
@@ -148,4 +141,16 @@ def nearest(m: DataFrame, owner: str, feature: str, weight: str, k: int, hot: in
         return _best(a, b, k) if len(a) and len(b) else pd.DataFrame({"a": [], "b": [], "similarity": []})
 
     found = met.applyInPandas(compare, schema).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+    # Askers who never use the index meet blocks of all owners.
+    packed = [F.col("u"), F.col("features").alias("items"), F.col("weights").alias("scores"), F.lit(1.0).alias("norm")]
+    many = asked.where(dense & (F.col("prefix") > 0)).select(*packed)
+    if not many.isEmpty():
+        def in_blocks(a, b):
+            ia, ib = a["u"].to_numpy(), b["u"].to_numpy()
+            for r, c, value in best_rows(a, b, k):
+                yield pd.DataFrame({"a": ia[r], "b": ib[c], "similarity": value})
+
+        cells = vecs.agg(F.sum(F.size("features"))).first()[0]
+        found = found.unionByName(block_grid(vecs.select(*packed), many, None, cells, n, in_blocks, schema))
     return top_k_per_group_split(found, ["a"], k, [F.desc("similarity"), F.col("b")], "k")

@@ -87,3 +87,17 @@ def test_users_without_a_common_rare_item_never_meet(spark, monkeypatch):
     monkeypatch.setattr(sm, "_best", counted)
     assert sm.nearest(df, "user", "item", "score", 5).groupBy("a").count().where("count = 5").count() == 400
     assert seen.value < 0.15 * 400 ** 2
+
+
+def test_owners_without_index_meet_in_large_blocks(spark, monkeypatch):
+    """One block of 120 owners for parts of 4: no vector travels once per part."""
+    rng = random.Random(5)
+    cells = {(f"u{u:03d}", f"i{i}"): float(rng.randint(1, 9)) for u in range(120) for i in range(8) if rng.random() < 0.9}
+    blocks, real = [], sm.block_grid
+    monkeypatch.setattr(sm, "block_grid", lambda *a: blocks.append(a[4]) or real(*a))
+    got = {}
+    for r in sm.nearest(table_of(spark, cells), "user", "item", "score", 3, 0, 4, 8).collect():
+        got.setdefault(r.a, []).append(round(-r.similarity, 9))
+    assert blocks == [120]
+    for u, order in brute(cells, 3).items():
+        assert np.allclose(sorted(got[u]), [s for s, _ in order], atol=1e-8)
